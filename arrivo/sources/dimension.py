@@ -6,11 +6,11 @@ unchanged together with a reason, so the caller can log or raise."""
 
 from __future__ import annotations
 
-import os
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
+from pyspark.errors import AnalysisException
 
 from arrivo.sources.contract import ContractError, check_extension, read_header
 from arrivo.sources.tables import DIMENSION_HEADER
@@ -29,12 +29,12 @@ def read_dimension_csv(spark: SparkSession, path: str,
         check_extension(path)
     except ContractError as e:
         return DimensionRead(None, str(e))
-    if "://" not in path and not os.path.exists(path):
-        return DimensionRead(None, f"dimension file not found: {path}")
     try:
         names = read_header(spark, path)
     except ContractError as e:
         return DimensionRead(None, str(e))
+    except AnalysisException as e:                      # missing or unreadable path
+        return DimensionRead(None, f"cannot read dimension file {path}: {e.getCondition()}")
     if len(names) < len(header) or tuple(names[: len(header)]) != tuple(header):
         return DimensionRead(None, f"dimension header differs from {list(header)}: {list(names)}")
     schema = T.StructType(

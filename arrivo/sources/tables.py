@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 TRIP_COLUMNS = (
     "trip_year", "trip_month", "trip_day", "trip_dow", "carrier", "route_num",
@@ -22,6 +23,16 @@ DIMENSION_HEADER = ("tailnum", "type", "manufacturer", "issue_date", "model",
                     "status", "aircraft_type", "engine_type", "year")
 
 
+TRIPS_CONTRACT = {
+    "trip_year": T.IntegerType(), "trip_month": T.IntegerType(), "trip_day": T.IntegerType(),
+    "trip_dow": T.IntegerType(), "carrier": T.StringType(), "route_num": T.IntegerType(),
+    "vehicle_id": T.StringType(), "sched_minutes": T.IntegerType(),
+    "arr_delay": T.StringType(), "dep_delay": T.StringType(), "cancel_code": T.StringType(),
+    "origin": T.StringType(), "dest": T.StringType(), "distance": T.IntegerType(),
+    "taxi_out": T.StringType(), "cancelled": T.IntegerType(), "o_orderkey": T.LongType(),
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
