@@ -4,8 +4,8 @@
 the years present in the data; a tie goes to the past holiday (negative).
 For a date in year Y only the holidays of Y-1, Y and Y+1 can be nearest (a
 year's own holidays are always within 365 days, those two years away never
-are), so each row evaluates at most three calendars as plain expressions
-combined with ``least`` -- no UDF, no join, no per-row loop over all years.
+are), so a day evaluates at most three calendars as plain expressions combined
+with ``least`` -- no UDF and no loop over all years.
 
 ``scan``: the reference's fold: start at 999 and walk every holiday of every
 present year (years ascending, rules in calendar order); a holiday replaces
@@ -19,7 +19,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from arrivo.functions.calendar import CORRECTED, rule_dates
+from arrivo.functions.calendar import CORRECTED, calendar_frame, rule_dates
+from arrivo.operators.joins import BROADCAST_ROW_LIMIT
 
 # valid dates have years 1..9999, so a distinct year list is bounded
 MAX_YEARS = 10_000
@@ -75,25 +76,62 @@ def scan_holiday(date: Column, years: list[int], calendar=CORRECTED) -> Column:
         .otherwise(acc)).cast("int")
 
 
+def proximity_table(spark, years: list[int], mode: str = "nearest", calendar=CORRECTED
+                    ) -> DataFrame:
+    """(year, month, day, proximity) for every calendar day of every present
+    year: at most 366 rows per year, so the holiday logic runs once per
+    calendar day instead of once per data row.
+
+    nearest: each day is joined (equi-join on year) to the holidays of Y-1,
+    Y and Y+1 -- absent years have no holidays -- and the grouped minimum of
+    (distance key, signed days) is taken. scan: the ordered fold."""
+    ys = spark.createDataFrame([(int(y),) for y in years], "__y int")
+    days = ys.select("__y", F.explode(F.sequence(F.make_date("__y", F.lit(1), F.lit(1)),
+                                                 F.make_date("__y", F.lit(12), F.lit(31))))
+                     .alias("__date"))
+    if mode == "nearest":
+        hol = (calendar_frame(ys, "__y", calendar)
+               .select(F.col("year").alias("__hy"), F.col("holiday_date").alias("__h")))
+        cand = days.select("__y", "__date", F.explode(
+            F.array(F.col("__y") - 1, F.col("__y"), F.col("__y") + 1)).alias("__hy"))
+        diff = F.datediff("__h", "__date")
+        best = (cand.join(hol, "__hy")
+                .groupBy("__y", "__date")
+                .agg(F.min(F.struct(_key(diff).alias("k"), diff.alias("v"))).alias("__b")))
+        days, expr = best, F.col("__b.v")
+    elif mode == "scan":
+        expr = scan_holiday(F.col("__date"), years, calendar)
+    else:
+        raise ValueError(f"unknown proximity mode {mode!r}")
+    return days.select("__y", F.month("__date").alias("__m"), F.dayofmonth("__date").alias("__d"),
+                       expr.alias("__p"))
+
+
 def add_proximity(df: DataFrame, year: str, month: str, day: str, out: str,
                   mode: str = "nearest", calendar=CORRECTED, years: list[int] | None = None,
-                  drop_single_year: bool = True) -> DataFrame:
+                  drop_single_year: bool = True,
+                  broadcast_limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
     """E6 + P6 (T14): add ``out`` when year, month and day exist; drop the
-    year column when it holds a single value, even without a proximity."""
+    year column when it holds a single value, even without a proximity.
+
+    Rows get their value from the per-day table by an equi-join on (year,
+    month, day). The table has at most ``366 * len(years)`` rows, a bound
+    known before the join, so it is broadcast under the limit; a row whose
+    parts are not a valid date gets null."""
     if year not in df.columns:
         return df
     if years is None:
         years = distinct_years(df, year)
     out_df = df
-    if month in df.columns and day in df.columns:
-        d = row_date(F.col(year), F.col(month), F.col(day))
-        if mode == "nearest":
-            expr = nearest_holiday(d, F.col(year), years, calendar)
-        elif mode == "scan":
-            expr = scan_holiday(d, years, calendar)
-        else:
-            raise ValueError(f"unknown proximity mode {mode!r}")
-        out_df = out_df.withColumn(out, expr)
+    if month in df.columns and day in df.columns and years:
+        table = proximity_table(df.sparkSession, years, mode, calendar)
+        side = F.broadcast(table) if 366 * len(years) <= broadcast_limit else table
+        cond = ((df[year] == side["__y"]) & (df[month] == side["__m"])
+                & (df[day] == side["__d"]))
+        out_df = df.join(side, cond, "left").select(
+            *[df[c] for c in df.columns], side["__p"].cast("int").alias(out))
+    elif month in df.columns and day in df.columns:
+        out_df = df.withColumn(out, F.lit(None).cast("int"))
     if drop_single_year and len(years) == 1:
         out_df = out_df.drop(year)
     return out_df
