@@ -157,3 +157,35 @@ def train_and_score(prep: Prepared, algorithm: str = "lr", grid: Grid = REFERENC
                    F.count(F.lit(1)).alias("n")).first()
     n_train = train.count()
     return Scored(algorithm, cv_model, scaler, r["rmse"], n_train, r["n"], names)
+
+
+@dataclass
+class RunResult:
+    metrics: DataFrame
+    scored: Scored
+    prepared: Prepared
+    unknown_columns: tuple[str, ...]
+
+
+def run(spark: SparkSession, path: str, algorithm: str = "", dimension_path: str | None = None,
+        layout: Layout | None = None, contract=None, grid: Grid = REFERENCE_GRID) -> RunResult:
+    """The reference program's three forms in one call: ``(csv)``,
+    ``(csv, algorithm)`` and ``(csv, algorithm, dimension csv)``. An empty
+    or unknown algorithm means the forest; a failed dimension check leaves
+    the data unchanged and records the reason."""
+    from arrivo.layout import FLIGHTS
+    from arrivo.sources.contract import FLIGHT_CONTRACT, scan_contract
+    from arrivo.sources.dimension import read_dimension_csv
+
+    layout = layout or FLIGHTS
+    contract = contract or FLIGHT_CONTRACT
+    scan = scan_contract(spark, path, contract, required=(layout.cancelled, layout.label))
+    dim, reason = None, None
+    if dimension_path:
+        read = read_dimension_csv(spark, dimension_path)
+        dim, reason = read.frame, read.reason
+    prep = prepare(scan.frame, layout, algorithm, unknown=scan.unknown_columns, dimension=dim)
+    if reason:
+        prep.dimension_reason = reason
+    scored = train_and_score(prep, algorithm, grid=grid)
+    return RunResult(scored.metrics(spark), scored, prep, scan.unknown_columns)

@@ -1,0 +1,8 @@
+"""Streaming.
+
+The reference program is a batch job: it has no stream source, watermark,
+window, state or late-data handling, so nothing is built here. The fitted
+steps of :mod:`arrivo.plans.flow` are row-wise projections, filters and
+joins to small static frames, which Structured Streaming accepts as they
+are; fitting itself needs a bounded frame.
+"""
