@@ -22,6 +22,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -44,7 +45,7 @@ def number_sorted(freq: DataFrame, group: str, key: str, parts: int) -> DataFram
               .withColumn("__pid", F.spark_partition_id())
               .withColumn("__rid", F.monotonically_increasing_id()))
     # ids must not change if a partition is recomputed: cut the lineage
-    ranged = cut_lineage(ranged)
+    ranged = cut_lineage(ranged, "dictionary")
     stats = ranged.groupBy("__pid", group).agg(
         F.count(F.lit(1)).alias("__n"), F.min("__rid").alias("__first"))
     before = Window.partitionBy(group).orderBy("__pid").rowsBetween(
@@ -109,7 +110,9 @@ def fit_dictionaries(df: DataFrame, specs, broadcast_limit: int = BROADCAST_ROW_
             .select("p.dict", "p.key")
             .filter(F.col("key").isNotNull())
             .groupBy("dict", "key").agg(F.count(F.lit(1)).alias("freq")))
-    codes = number_sorted(freq, "dict", "key", default_parallelism(spark))
+    # small (one row per key) and read by every encoded column: keep it
+    codes = number_sorted(freq, "dict", "key", default_parallelism(spark)).persist(
+        StorageLevel.MEMORY_AND_DISK)
     summary = codes.groupBy("dict").agg(F.count(F.lit(1)).alias("n"),
                                         F.sum("freq").alias("total")).collect()
     sizes = {r["dict"]: r["n"] for r in summary}

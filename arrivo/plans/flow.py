@@ -13,7 +13,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -92,7 +91,8 @@ def prepare(raw: DataFrame, layout: Layout, algorithm: str = "lr", unknown=(),
             dimension: DataFrame | None = None, proximity_mode: str = "nearest",
             calendar=CORRECTED) -> Prepared:
     base, reason = clean(raw, layout, unknown, dimension)
-    base = base.persist(StorageLevel.MEMORY_AND_DISK)
+    # read by the policy fit, the dictionary fit and the final cut
+    base = cut_lineage(base, "cleaned")
     policy = fit_missing_policy(base, base.columns, protected=layout.protected())
     df = policy.transform(base)
     df = cast_text_columns(df, layout.text_to_int)
@@ -105,8 +105,8 @@ def prepare(raw: DataFrame, layout: Layout, algorithm: str = "lr", unknown=(),
     if is_linear(algorithm):
         df = add_interactions(df, layout)
     df = drop_strings(df)
-    df = cut_lineage(df)
-    base.unpersist()
+    df = cut_lineage(df, "prepared")
+    dicts.codes.unpersist()
     exclude = (layout.split_key,) if layout.split_key else ()
     features = feature_columns(df, layout.label, exclude)
     return Prepared(df, features, layout, policy, dicts, years, reason)
