@@ -4,14 +4,17 @@
 the years present in the data; a tie goes to the past holiday (negative).
 For a date in year Y only the holidays of Y-1, Y and Y+1 can be nearest (a
 year's own holidays are always within 365 days, those two years away never
-are), so a day evaluates at most three calendars as plain expressions combined
-with ``least`` -- no UDF and no loop over all years.
+are), so each day is joined to those three years' holidays only.
 
 ``scan``: the reference's fold: start at 999 and walk every holiday of every
 present year (years ascending, rules in calendar order); a holiday replaces
 the running value when its absolute distance is below it. A negative value
 therefore sticks (T11). The holiday list of all years is a constant array
 (Catalyst folds it) and the fold is a built-in ``aggregate``.
+
+Both modes are evaluated once per calendar day of the present years (a table
+of at most 366 rows per year) and reach the data rows by an equi-join on
+(year, month, day), so no holiday logic runs per data row.
 """
 
 from __future__ import annotations
@@ -51,19 +54,6 @@ def _key(diff: Column) -> Column:
     return F.abs(diff) * 2 + F.when(diff > 0, 1).otherwise(0)
 
 
-def nearest_holiday(date: Column, year: Column, years: list[int], calendar=CORRECTED) -> Column:
-    """E6 corrected: signed days (holiday - date) to the nearest holiday."""
-    present = [int(y) for y in years]
-    keys = [_key(F.datediff(h, date)) for h in rule_dates(year, calendar)]
-    for step in (-1, 1):
-        neighbour = year + step
-        cond = neighbour.isin(present) if present else F.lit(False)
-        keys += [F.when(cond, _key(F.datediff(h, date))) for h in rule_dates(neighbour, calendar)]
-    k = F.least(*keys)
-    half = F.floor(k / 2).cast("int")
-    return F.when(k % 2 == 1, half).otherwise(-half).cast("int")
-
-
 def scan_holiday(date: Column, years: list[int], calendar=CORRECTED) -> Column:
     """E6 as built: the ordered fold with initial value 999."""
     dates = [d for y in sorted(years) for d in rule_dates(F.lit(int(y)), calendar)]

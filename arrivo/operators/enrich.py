@@ -7,7 +7,10 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arrivo.operators.joins import BROADCAST_ROW_LIMIT
+from arrivo.operators.joins import BROADCAST_ROW_LIMIT, hot_keys_of, salted_join
+from arrivo.session import default_parallelism
+
+HOT_FRACTION = 0.05
 from arrivo.sources.dimension import read_dimension_csv
 
 
@@ -19,14 +22,17 @@ class Enriched:
 
 def join_dimension(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str = "tailnum",
                    attrs=("model", "engine_type"),
-                   broadcast_limit: int = BROADCAST_ROW_LIMIT) -> Enriched:
+                   broadcast_limit: int = BROADCAST_ROW_LIMIT,
+                   hot_fraction: float = HOT_FRACTION) -> Enriched:
     """Inner join on fact_key = dim_key keeping ``attrs``; rows of the fact
     without a match are lost and repeated dimension keys multiply rows, as in
     the reference. Both key columns are dropped (J2).
 
     The dimension side is broadcast when its counted size is under the
-    limit; otherwise the join shuffles and AQE's skew-join splitting handles
-    hot fact keys."""
+    limit. Otherwise the join shuffles: the fact's key frequencies are
+    counted (partial aggregation, a pass much cheaper than the join) and keys
+    holding at least ``hot_fraction`` of the rows are salted, so no single
+    task receives a hot key's rows."""
     if fact_key not in fact.columns:
         return Enriched(fact, f"fact has no key column {fact_key!r}")
     missing = [c for c in (dim_key, *attrs) if c not in dim.columns]
@@ -36,9 +42,17 @@ def join_dimension(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str
     n = usable.count()                                                    # S7 and size check
     if n == 0:
         return Enriched(fact, "dimension holds no usable row")
-    side = F.broadcast(usable) if n <= broadcast_limit else usable
-    joined = fact.join(side, fact[fact_key] == side[dim_key], "inner")
-    return Enriched(joined.drop(fact[fact_key]).drop(side[dim_key]), None)
+    if n <= broadcast_limit:
+        side = F.broadcast(usable)
+        joined = fact.join(side, fact[fact_key] == side[dim_key], "inner")
+        return Enriched(joined.drop(fact[fact_key]).drop(side[dim_key]), None)
+    freq = fact.groupBy(F.col(fact_key).alias("__key")).agg(F.count(F.lit(1)).alias("__n"))
+    total = fact.count()
+    hot = hot_keys_of(freq, "__key", "__n", total, hot_fraction)
+    side = usable.withColumnRenamed(dim_key, "__dim_key")
+    joined = salted_join(fact, F.col(fact_key), side, "__dim_key", hot,
+                         default_parallelism(fact.sparkSession), "inner")
+    return Enriched(joined.drop(fact_key, "__dim_key"), None)
 
 
 def enrich_from_csv(fact: DataFrame, spark: SparkSession, path: str, fact_key: str,

@@ -56,3 +56,10 @@ def test_required_columns(spark, tmp_path):
     path = write(tmp_path, "r.csv", "Year,DepDelay\n1,2\n")
     with pytest.raises(ContractError):
         scan_contract(spark, path, CONTRACT, required=("Cancelled",))
+
+
+def test_column_exists(spark):
+    from arrivo.sources.contract import column_exists
+    df = spark.createDataFrame([(1, 2)], "Year int, DepDelay int")
+    assert column_exists(df, "year") and column_exists(df, "DEPDELAY")
+    assert not column_exists(df, "Month")

@@ -67,3 +67,18 @@ def test_lookup_policies(spark):
     first = sorted(tuple(r) for r in lookup(f, "code_col", d, "c", duplicates="first").collect())
     assert first == [("A", "x"), ("B", "w"), ("Z", None)]
     assert lookup(f, "code_col", d, "c", duplicates="all").count() == 4
+
+
+def test_join_dimension_salted_hot_key(spark):
+    # N1 holds far more than 5 % of the fact rows; the dimension is forced off
+    # broadcast, so the hot key is salted. Repeated dimension keys still multiply.
+    rows = [("N1", i) for i in range(300)] + [(f"K{i}", i) for i in range(200)]
+    f = spark.createDataFrame(rows, "TailNum string, v int")
+    d = spark.createDataFrame([("N1", "A", "T"), ("N1", "A2", "T"), ("K7", "B", "U")],
+                              "tailnum string, model string, engine_type string")
+    res = join_dimension(f, d, "TailNum", broadcast_limit=0)
+    assert sorted(res.frame.columns) == ["engine_type", "model", "v"]
+    got = res.frame.groupBy("model").count().collect()
+    assert {r["model"]: r["count"] for r in got} == {"A": 300, "A2": 300, "B": 1}
+    plan = res.frame._jdf.queryExecution().optimizedPlan().toString()
+    assert "__salt" in plan
