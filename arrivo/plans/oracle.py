@@ -70,7 +70,8 @@ def _keep(c: str) -> str:
 def _policy_chain(columns) -> tuple[list[str], str]:
     ctes = ["s0 AS MATERIALIZED (SELECT * FROM filtered)"]
     for i, c in enumerate(columns):
-        ctes.append(f"d{i} AS MATERIALIZED (SELECT count(*) AS seen, count_if({_missing(c)}) AS miss "
+        ctes.append(f"d{i} AS MATERIALIZED (SELECT count(*) AS seen, "
+                    f"CAST(count_if({_missing(c)}) AS BIGINT) AS miss "
                     f"FROM s{i})")
         ctes.append(f"s{i + 1} AS MATERIALIZED (SELECT s{i}.* FROM s{i}, d{i} WHERE "
                     f"(d{i}.seen > 0 AND 10 * d{i}.miss >= 3 * d{i}.seen) OR ({_keep(c)}))")
@@ -108,9 +109,9 @@ def missing_policy_sql() -> str:
 def missing_profile_sql() -> str:
     parts = []
     for i, c in enumerate(TRIP_COLUMNS):
-        na = f"count_if({c} = 'NA')" if c in STRING_COLUMNS else "CAST(0 AS BIGINT)"
+        na = f"CAST(count_if({c} = 'NA') AS BIGINT)" if c in STRING_COLUMNS else "CAST(0 AS BIGINT)"
         parts.append(f"SELECT CAST({i} AS INTEGER) AS position, '{c}' AS column_name, "
-                     f"{na} AS na_count, count_if({c} IS NULL) AS null_count, "
+                     f"{na} AS na_count, CAST(count_if({c} IS NULL) AS BIGINT) AS null_count, "
                      f"count(*) AS row_count FROM trips")
     return _with(TRIPS) + "\n" + "\nUNION ALL\n".join(parts)
 
