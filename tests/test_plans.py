@@ -34,3 +34,19 @@ def test_prepared_plan_has_no_python(spark):
     assert "PythonUDF" not in p and "BatchEvalPython" not in p
     assert prep.frame.count() > 0
     assert TRIPS.label not in prep.features and "o_orderkey" not in prep.features
+
+
+def test_trips_shuffles_lineitem_side_twice_at_scale(spark):
+    # emulate large tables: no size-based broadcast, no runtime re-plan
+    old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold",
+                                          "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        p = plan_of(trips(spark, SF_SMALL))
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert p.count("hashpartitioning(l_") == 2
+    # the 25-row nation table is broadcast whatever the threshold
+    assert "hashpartitioning(n_nationkey" not in p and "hashpartitioning(c_nationkey" not in p
