@@ -2,11 +2,11 @@
 (fitted dictionaries) -> derive -> assemble -> split -> scale -> search ->
 score.
 
-Jobs before training: the missing-value histogram (1), all dictionaries and
-the year list together (1 + numbering), and the lineage cut of the prepared
-frame (1), on a persisted cleaned frame. The prepared frame is checkpointed
-into the shared checkpoint folder because the model search reads it many
-times and must survive executor loss.
+Passes over the data before training: the dedup shuffle, cut into the shared
+checkpoint folder; the missing-value histogram (one job for all columns); all
+dictionaries and the year list together (one aggregation + numbering); and the
+cut of the prepared frame, which the model search reads many times and which
+lost executors recompute from instead of from the raw scan.
 """
 
 from __future__ import annotations
