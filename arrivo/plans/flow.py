@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arrivo.functions.calendar import CORRECTED
-from arrivo.functions.holidays import MAX_YEARS, add_proximity
+from arrivo.functions.holidays import MAX_YEARS, add_proximity, distinct_years
 from arrivo.layout import Layout
 from arrivo.operators.clean import (cast_text_columns, dedup_rows, drop_and_filter,
                                     drop_null_label, drop_strings)
@@ -112,6 +112,32 @@ def prepare(raw: DataFrame, layout: Layout, algorithm: str = "lr", unknown=(),
     return Prepared(df, features, layout, policy, dicts, years, reason)
 
 
+def apply_prepared(prep: Prepared, raw: DataFrame, algorithm: str = "lr",
+                   unknown=()) -> DataFrame:
+    """The fitted steps applied to new rows. The missing-value decisions,
+    dictionary codes (unseen keys -> -1) and feature list come from the fit;
+    only the holiday calendar follows the years of the new rows, because it
+    is a calendar, not a learned value. Columns come out in the fitted
+    feature order, plus the label and split key when present."""
+    layout = prep.layout
+    df, _ = clean(raw, layout, unknown)
+    df = prep.policy.transform(df)
+    df = cast_text_columns(df, layout.text_to_int)
+    if layout.label in df.columns:
+        df = drop_null_label(df, layout.label)
+    df = encode_without_years(prep.dictionaries, df)
+    years = sorted(set(prep.years) | set(
+        distinct_years(df, layout.year) if layout.year in df.columns else []))
+    df = add_proximity(df, layout.year, layout.month, layout.day, layout.proximity,
+                       years=years, drop_single_year=False)
+    if layout.year not in prep.features and layout.year in df.columns:
+        df = df.drop(layout.year)
+    if is_linear(algorithm):
+        df = add_interactions(df, layout)
+    keep = [c for c in (layout.label, layout.split_key) if c and c in df.columns]
+    return df.select(*prep.features, *keep)
+
+
 def model_input(prep: Prepared) -> DataFrame:
     """Assembled rows with the split bucket (0..99) and fold id."""
     key = split_key_column(prep.frame, prep.layout.split_key)

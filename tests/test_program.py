@@ -55,3 +55,18 @@ def test_program_with_dimension(spark):
     bad = flow.run(spark, path, "rf", dimension_path=dpath + ".missing.csv", grid=SMALL)
     assert bad.prepared.dimension_reason is not None
     assert "model" not in bad.prepared.features
+
+
+def test_apply_prepared_reuses_the_fit(spark):
+    from arrivo.layout import TRIPS
+    raw = trips(spark, SF_SMALL)
+    prep = flow.prepare(raw, TRIPS, "lr")
+    again = flow.apply_prepared(prep, raw, "lr")
+    cols = prep.features + [TRIPS.label, TRIPS.split_key]
+    a = sorted(tuple(r) for r in prep.frame.select(*cols).collect())
+    b = sorted(tuple(r) for r in again.select(*cols).collect())
+    assert a == b
+    # a carrier the fit never saw gets -1
+    new = raw.limit(5).withColumn("carrier", F.lit("Unseen carrier"))
+    got = {r["carrier"] for r in flow.apply_prepared(prep, new, "lr").collect()}
+    assert got <= {-1}
