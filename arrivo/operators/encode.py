@@ -100,16 +100,24 @@ def fit_dictionaries(df: DataFrame, specs, broadcast_limit: int = BROADCAST_ROW_
                      hot_fraction: float = HOT_FRACTION) -> DictionaryModel:
     specs = tuple(DictSpec(s.name, tuple(c for c in s.columns if c in df.columns)) for s in specs)
     specs = tuple(s for s in specs if s.columns)
-    spark = df.sparkSession
     if not specs:
-        empty = spark.createDataFrame([], "dict string, key string, freq long, code int")
-        return DictionaryModel((), empty, {}, {}, broadcast_limit, hot_fraction)
+        return dictionary_model(None, (), df.sparkSession, broadcast_limit, hot_fraction)
     pairs = F.array(*[F.struct(F.lit(s.name).alias("dict"), F.col(c).cast("string").alias("key"))
                       for s in specs for c in s.columns])
     freq = (df.select(F.explode(pairs).alias("p"))
             .select("p.dict", "p.key")
             .filter(F.col("key").isNotNull())
             .groupBy("dict", "key").agg(F.count(F.lit(1)).alias("freq")))
+    return dictionary_model(freq, specs, df.sparkSession, broadcast_limit, hot_fraction)
+
+
+def dictionary_model(freq: DataFrame | None, specs, spark,
+                     broadcast_limit: int = BROADCAST_ROW_LIMIT,
+                     hot_fraction: float = HOT_FRACTION) -> DictionaryModel:
+    """Number the keys of ``freq`` (dict, key, freq) and wrap the result."""
+    if freq is None or not specs:
+        empty = spark.createDataFrame([], "dict string, key string, freq long, code int")
+        return DictionaryModel((), empty, {}, {}, broadcast_limit, hot_fraction)
     # small (one row per key) and read by every encoded column: keep it
     codes = number_sorted(freq, "dict", "key", default_parallelism(spark)).persist(
         StorageLevel.MEMORY_AND_DISK)
@@ -117,4 +125,4 @@ def fit_dictionaries(df: DataFrame, specs, broadcast_limit: int = BROADCAST_ROW_
                                         F.sum("freq").alias("total")).collect()
     sizes = {r["dict"]: r["n"] for r in summary}
     totals = {r["dict"]: r["total"] for r in summary}
-    return DictionaryModel(specs, codes, sizes, totals, broadcast_limit, hot_fraction)
+    return DictionaryModel(tuple(specs), codes, sizes, totals, broadcast_limit, hot_fraction)

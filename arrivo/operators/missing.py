@@ -117,14 +117,23 @@ def fit_missing_policy(df: DataFrame, columns=None, protected=(),
     strings = frozenset(c for c in columns if _is_string(df, c))
     if not columns:
         return MissingPolicy((), strings, df.count())
-    statuses = [_status(df, c).alias(f"s{i}") for i, c in enumerate(columns)]
-    hist = (df.select(*statuses)
+    hist = (df.select(*status_columns(df, columns))
             .groupBy(*[f"s{i}" for i in range(len(columns))])
             .agg(F.count(F.lit(1)).alias("n")))
     rows = hist.limit(histogram_limit + 1).collect()
     if len(rows) > histogram_limit:
         return _fit_sequential(df, columns, strings, protected)
     alive = [(tuple(r[f"s{i}"] for i in range(len(columns))), r["n"]) for r in rows]
+    return replay_policy(columns, strings, alive, protected)
+
+
+def status_columns(df: DataFrame, columns) -> list[Column]:
+    """Per-row status of each column: 0 present, 1 null, 2 ``NA`` (strings)."""
+    return [_status(df, c).alias(f"s{i}") for i, c in enumerate(columns)]
+
+
+def replay_policy(columns, strings, alive, protected=()) -> MissingPolicy:
+    """The ordered rule on a histogram ``[(status tuple, rows)]``."""
     decisions = []
     for i, c in enumerate(columns):
         seen = sum(n for _, n in alive)
@@ -137,7 +146,16 @@ def fit_missing_policy(df: DataFrame, columns=None, protected=(),
     left = sum(n for _, n in alive)
     if left == 0:
         raise PolicyError("the missing-value policy leaves no rows")
-    return MissingPolicy(tuple(decisions), strings, left)
+    return MissingPolicy(tuple(decisions), frozenset(strings), left)
+
+
+def survives(policy: MissingPolicy) -> Column:
+    """Row survival as a predicate over the status columns ``s0..sk``."""
+    cond = F.lit(True)
+    for d in policy.decisions:
+        if d.action == DROP_ROWS:
+            cond = cond & (F.col(f"s{d.position}") == 0)
+    return cond
 
 
 def _fit_sequential(df, columns, strings, protected) -> MissingPolicy:

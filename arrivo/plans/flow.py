@@ -3,9 +3,8 @@
 score.
 
 Passes over the data before training: the dedup shuffle, cut into the shared
-checkpoint folder; the missing-value histogram (one job for all columns); all
-dictionaries and the year list together (one aggregation + numbering); and the
-cut of the prepared frame, which the model search reads many times and which
+checkpoint folder; ONE aggregation that fits the missing-value policy and all
+dictionaries (and the year list) together; and the cut of the prepared frame, which the model search reads many times and which
 lost executors recompute from instead of from the raw scan.
 """
 
@@ -15,17 +14,20 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from arrivo.functions.calendar import CORRECTED
 from arrivo.functions.holidays import MAX_YEARS, add_proximity, distinct_years
 from arrivo.layout import Layout
 from arrivo.operators.clean import (cast_text_columns, dedup_rows, drop_and_filter,
                                     drop_null_label, drop_strings)
-from arrivo.operators.encode import DictionaryModel, DictSpec, fit_dictionaries
+from arrivo.functions.casts import text_to_int
+from arrivo.operators.encode import DictionaryModel, DictSpec, dictionary_model, fit_dictionaries
 from arrivo.operators.enrich import join_dimension
 from arrivo.operators.features import (add_interactions, append_scaled_squares, assemble,
                                        feature_columns, squared_feature_names)
-from arrivo.operators.missing import MissingPolicy, fit_missing_policy
+from arrivo.operators.missing import (HISTOGRAM_LIMIT, MissingPolicy, fit_missing_policy,
+                                      replay_policy, status_columns, survives)
 from arrivo.plans.model import (REFERENCE_GRID, Grid, add_folds, build_search, fit_scaler,
                                 hash_bucket, is_linear, rmse_expr, split_key_column)
 from arrivo.session import cut_lineage
@@ -63,6 +65,58 @@ def years_from(model: DictionaryModel) -> list[int]:
     return sorted(int(r[0]) for r in model.keys(YEAR_DICT).select("key").collect())
 
 
+ROW_MARK = "__row__"
+
+
+def fit_clean_steps(base: DataFrame, layout: Layout,
+                    histogram_limit: int = HISTOGRAM_LIMIT):
+    """Missing-value policy and every dictionary from ONE pass over ``base``.
+
+    Each row emits a histogram marker and its (dictionary, column, key)
+    pairs, all tagged with the row's status vector and whether its label
+    survives the cast; one ``groupBy`` counts them (partial aggregation
+    first). The policy is replayed on the marker counts; the dictionaries
+    take the pairs whose tags survive the decisions and whose column is
+    kept. The aggregate is cut once because both uses read it."""
+    columns = base.columns
+    strings = frozenset(c for c in columns
+                        if isinstance(base.schema[c].dataType, T.StringType))
+    specs = [DictSpec(s.name, tuple(c for c in s.columns if c in columns))
+             for s in dictionary_specs(layout)]
+    specs = [s for s in specs if s.columns]
+    label = F.col(layout.label)
+    label_ok = (text_to_int(label) if layout.label in layout.text_to_int else label).isNotNull()
+    pairs = [F.struct(F.lit(s.name).alias("dict"), F.lit(c).alias("col"),
+                      F.col(c).cast("string").alias("key")) for s in specs for c in s.columns]
+    pairs.append(F.struct(F.lit(ROW_MARK).alias("dict"), F.lit(None).cast("string").alias("col"),
+                          F.lit(None).cast("string").alias("key")))
+    s_cols = [f"s{i}" for i in range(len(columns))]
+    agg = (base.select(*status_columns(base, columns), label_ok.alias("__lok"),
+                       F.explode(F.array(*pairs)).alias("p"))
+           .select(*s_cols, "__lok", "p.dict", "p.col", "p.key")
+           .filter((F.col("dict") == ROW_MARK) | F.col("key").isNotNull())
+           .groupBy("dict", "col", "key", *s_cols, "__lok")
+           .agg(F.count(F.lit(1)).alias("n")))
+    agg = cut_lineage(agg, "fit")
+    hist = (agg.filter(F.col("dict") == ROW_MARK).groupBy(*s_cols)
+            .agg(F.sum("n").alias("n")).limit(histogram_limit + 1).collect())
+    if len(hist) > histogram_limit:
+        policy = fit_missing_policy(base, columns, protected=layout.protected(),
+                                    histogram_limit=histogram_limit)
+        cleaned = drop_null_label(cast_text_columns(policy.transform(base), layout.text_to_int),
+                                  layout.label)
+        return policy, fit_dictionaries(cleaned, specs)
+    alive = [(tuple(r[c] for c in s_cols), r["n"]) for r in hist]
+    policy = replay_policy(columns, strings, alive, layout.protected())
+    kept = [c for c in columns if c not in policy.dropped]
+    specs = [DictSpec(s.name, tuple(c for c in s.columns if c in kept)) for s in specs]
+    specs = [s for s in specs if s.columns]
+    freq = (agg.filter((F.col("dict") != ROW_MARK) & survives(policy) & F.col("__lok")
+                       & F.col("col").isin(kept))
+            .groupBy("dict", "key").agg(F.sum("n").alias("freq")))
+    return policy, dictionary_model(freq, specs, base.sparkSession)
+
+
 @dataclass
 class Prepared:
     frame: DataFrame
@@ -93,11 +147,10 @@ def prepare(raw: DataFrame, layout: Layout, algorithm: str = "lr", unknown=(),
     base, reason = clean(raw, layout, unknown, dimension)
     # read by the policy fit, the dictionary fit and the final cut
     base = cut_lineage(base, "cleaned")
-    policy = fit_missing_policy(base, base.columns, protected=layout.protected())
+    policy, dicts = fit_clean_steps(base, layout)
     df = policy.transform(base)
     df = cast_text_columns(df, layout.text_to_int)
     df = drop_null_label(df, layout.label)
-    dicts = fit_dictionaries(df, dictionary_specs(layout))
     years = years_from(dicts) if layout.year in df.columns else []
     df = encode_without_years(dicts, df)
     df = add_proximity(df, layout.year, layout.month, layout.day, layout.proximity,

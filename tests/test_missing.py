@@ -101,3 +101,32 @@ def test_profile_is_one_job(spark):
     plan = missing_profile(df.withColumn("c", F.lit("NA")))._jdf.queryExecution() \
         .executedPlan().toString()
     assert plan.count("HashAggregate") <= 2 and "Exchange" in plan
+
+
+def test_fused_fit_equals_separate_fits(spark):
+    from arrivo.layout import FLIGHTS
+    from arrivo.operators.clean import cast_text_columns, drop_null_label
+    from arrivo.operators.encode import fit_dictionaries
+    from arrivo.plans.flow import dictionary_specs, fit_clean_steps
+
+    rnd = random.Random(3)
+    rows = []
+    for i in range(60):
+        rows.append((rnd.choice(["AA", "NA", "UA", "NA", "DL"]),           # carrier: >= 30 % NA
+                     rnd.choice(["JFK", "LAX", "SFO", None]),
+                     rnd.choice(["JFK", "ORD", "NA"]),
+                     rnd.choice(["5", "12.5", "x", "NA", "-3"]),            # label, some casts fail
+                     rnd.choice([2007, 2008, None])))
+    df = spark.createDataFrame(rows, "UniqueCarrier string, Origin string, Dest string, "
+                                     "ArrDelay string, Year int")
+    policy, dicts = fit_clean_steps(df, FLIGHTS)
+    ref_policy = fit_missing_policy(df, protected=FLIGHTS.protected())
+    assert policy.decisions == ref_policy.decisions
+    assert "UniqueCarrier" in policy.dropped
+    cleaned = drop_null_label(cast_text_columns(ref_policy.transform(df), FLIGHTS.text_to_int),
+                              "ArrDelay")
+    ref = fit_dictionaries(cleaned, dictionary_specs(FLIGHTS))
+    got = sorted(tuple(r) for r in dicts.codes.select("dict", "key", "freq", "code").collect())
+    want = sorted(tuple(r) for r in ref.codes.select("dict", "key", "freq", "code").collect())
+    assert got == want
+    assert [s.columns for s in dicts.specs] == [s.columns for s in ref.specs]
