@@ -28,7 +28,7 @@ from arrivo.operators.features import (add_interactions, append_scaled_squares,
                                        feature_columns, squared_feature_names)
 from arrivo.operators.missing import (HISTOGRAM_LIMIT, MissingPolicy, fit_missing_policy,
                                       replay_policy, status_columns, survives)
-from arrivo.plans.model import (REFERENCE_GRID, Grid, add_folds, build_search, fit_scaler,
+from arrivo.plans.model import (REFERENCE_GRID, Grid, build_search, fit_scaler,
                                 hash_bucket, is_linear, rmse_expr, split_key_column)
 from arrivo.session import cut_lineage
 
