@@ -85,7 +85,8 @@ def proximity_table(spark, years: list[int], mode: str = "nearest", calendar=COR
         cand = days.select("__y", "__date", F.explode(
             F.array(F.col("__y") - 1, F.col("__y"), F.col("__y") + 1)).alias("__hy"))
         diff = F.datediff("__h", "__date")
-        best = (cand.join(hol, "__hy")
+        # at most (rules x years) rows, years bounded by MAX_YEARS
+        best = (cand.join(F.broadcast(hol), "__hy")
                 .groupBy("__y", "__date")
                 .agg(F.min(F.struct(_key(diff).alias("k"), diff.alias("v"))).alias("__b")))
         days, expr = best, F.col("__b.v")

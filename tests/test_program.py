@@ -62,6 +62,10 @@ def test_apply_prepared_reuses_the_fit(spark):
     raw = trips(spark, SF_SMALL)
     prep = flow.prepare(raw, TRIPS, "lr")
     again = flow.apply_prepared(prep, raw, "lr")
+    plan = again._jdf.queryExecution().executedPlan().toString()
+    # four dictionary lookups and the per-day holiday table, all broadcast
+    assert plan.count("BroadcastHashJoin") >= 5 and "SortMergeJoin" not in plan
+    assert "PythonUDF" not in plan
     cols = prep.features + [TRIPS.label, TRIPS.split_key]
     a = sorted(tuple(r) for r in prep.frame.select(*cols).collect())
     b = sorted(tuple(r) for r in again.select(*cols).collect())
