@@ -50,3 +50,17 @@ def test_trips_shuffles_lineitem_side_twice_at_scale(spark):
     assert p.count("hashpartitioning(l_") == 2
     # the 25-row nation table is broadcast whatever the threshold
     assert "hashpartitioning(n_nationkey" not in p and "hashpartitioning(c_nationkey" not in p
+
+
+def test_dedup_of_a_hot_row_is_exact_and_pre_aggregated(spark):
+    from arrivo.operators.clean import dedup_rows
+    hot = [(1, "hot", "NA")] * 3000
+    rest = [(i, f"k{i}", "x") for i in range(2, 6002)]
+    df = spark.createDataFrame(hot + rest, "a int, b string, c string").repartition(4)
+    out = dedup_rows(df)
+    assert out.count() == 6001
+    p = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" in p
+    phys = plan_of(out)
+    # partial aggregation on the map side, then the final one after the shuffle
+    assert phys.count("HashAggregate") >= 2
