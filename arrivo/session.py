@@ -3,7 +3,6 @@ checkpoint folder, and lineage cuts that survive executor loss."""
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -31,26 +30,22 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``.
-
-    The cluster's setting always wins. Only a local-mode session without
-    one (tests) gets a private folder; a cluster session without one is an
-    error, because a machine-local folder would not survive executor loss.
-    """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
-        "spark.checkpoint.dir", None)
+    """The shared folder named by ``spark.checkpoint.dir``; an error if the
+    session names none, because a machine-local folder would not survive a
+    lost executor."""
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not configured:
-        if not sc.master.startswith("local"):
-            raise RuntimeError(
-                "spark.checkpoint.dir is not set; point it at a shared folder "
-                "(HDFS, S3, ...) so lineage cuts survive executor loss")
-        configured = tempfile.mkdtemp(prefix="arrivo-ckpt-")
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir() or configured
+        raise RuntimeError("spark.checkpoint.dir is not set; point it at a folder that driver "
+                           "and executors share")
+    return configured
+
+
+def use_local_checkpoints(spark: SparkSession) -> None:
+    """Give a local-mode session (one machine; tests, benches) a folder of
+    its own if it names none. A cluster session is left as it is."""
+    if spark.sparkContext.master.startswith("local[") or spark.sparkContext.master == "local":
+        if not (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()):
+            spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="arrivo-ckpt-"))
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -60,25 +55,28 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def cut_lineage(df: DataFrame, name: str = "cut") -> DataFrame:
-    """Reliable ``checkpoint()`` into the shared checkpoint folder (never a
-    local checkpoint or a machine-local folder).
-
-    Used where a frame is reused by many jobs (model search) or where ids
-    must stay stable across recomputation (dictionary numbering). A lost
-    executor then recomputes from the checkpoint files, not from the raw
-    scan. (A Parquet table under ``scratch_path(spark, name)`` would do the
-    same; the checkpoint measured faster here.)"""
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` as Parquet under the shared checkpoint folder and read it
+    back. Used where a frame is read by many jobs or where ids must stay the
+    same: lost executors read the files again, and later reads are pruned
+    and pushed down like any scan. ``drop_cut`` deletes the files."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop_cut(df: DataFrame) -> None:
+    """Delete the files of a frame that ``cut_lineage`` returned."""
+    spark = df.sparkSession
+    root = checkpoint_root(spark).rstrip("/") + "/arrivo-scratch/"
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    base = jvm.org.apache.hadoop.fs.Path(root)
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        if path.getParent().toUri().getPath() == base.toUri().getPath():
+            path.getFileSystem(conf).delete(path, True)
 
 
 def default_parallelism(spark: SparkSession) -> int:
     """Number of shuffle partitions to use for explicit repartitions."""
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
-
-
-def env_int(name: str, default: int) -> int:
-    try:
-        return int(os.environ.get(name, default))
-    except ValueError:
-        return default

@@ -14,7 +14,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from arrivo.plans.queries import QUERIES  # noqa: E402
-from arrivo.session import local_session  # noqa: E402
+from arrivo.session import local_session, use_local_checkpoints  # noqa: E402
 
 HEADLINE = (
     "missing_policy", "encode_shared", "holiday_nearest", "dim_join", "interactions",
@@ -29,6 +29,7 @@ def main() -> None:
     spark = local_session(cpus, shuffle_partitions=max(8, 2 * cpus), driver_memory="16g",
                           app_name="arrivo-bench")
     spark.sparkContext.setLogLevel("ERROR")
+    use_local_checkpoints(spark)
     times = {}
     for name in names:
         t0 = time.time()

@@ -5,13 +5,14 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from arrivo.session import local_session  # noqa: E402
+from arrivo.session import local_session, use_local_checkpoints  # noqa: E402
 
 
 @pytest.fixture(scope="session")
 def spark():
     s = local_session(4, shuffle_partitions=4, driver_memory="4g")
     s.sparkContext.setLogLevel("ERROR")
+    use_local_checkpoints(s)
     yield s
 
 
