@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from arrivo.llm import mixing, quality, sharding
+from arrivo.llm import mixing, quality, sharding, simhash, toxicity
 
 QUERIES = {
+    "op2_toxicity": toxicity.op2_toxicity,
     "op5_mixing": mixing.op5_mixing,
     "op6_quality_rules": quality.op6_quality_rules,
+    "op8_simhash_near_dedup": simhash.op8_simhash_near_dedup,
     "op9_sharding": sharding.op9_sharding,
 }
 
