@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from arrivo.llm import mixing, quality, sharding, simhash, toxicity
+from arrivo.llm import mixing, quality, sharding, simhash, toxicity, warc
 
 QUERIES = {
     "op2_toxicity": toxicity.op2_toxicity,
+    "op3_warc": warc.op3_warc,
     "op5_mixing": mixing.op5_mixing,
     "op6_quality_rules": quality.op6_quality_rules,
     "op8_simhash_near_dedup": simhash.op8_simhash_near_dedup,
