@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from arrivo.llm import mixing, quality, sharding, simhash, toxicity, warc
+from arrivo.llm import htmltext, mixing, quality, sharding, simhash, toxicity, warc
 
 QUERIES = {
     "op2_toxicity": toxicity.op2_toxicity,
@@ -11,6 +11,7 @@ QUERIES = {
     "op6_quality_rules": quality.op6_quality_rules,
     "op8_simhash_near_dedup": simhash.op8_simhash_near_dedup,
     "op9_sharding": sharding.op9_sharding,
+    "op10_html_extraction": htmltext.op10_html_extraction,
 }
 
 ORACLE_SQL = {
