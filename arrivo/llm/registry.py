@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from arrivo.llm import htmltext, mixing, quality, sharding, simhash, toxicity, warc
+from arrivo.llm import htmltext, mixing, quality, sharding, simhash, tokencounts, toxicity, vptree, warc
 
 QUERIES = {
     "op2_toxicity": toxicity.op2_toxicity,
     "op3_warc": warc.op3_warc,
+    "op4_token_counts": tokencounts.op4_token_counts,
     "op5_mixing": mixing.op5_mixing,
     "op6_quality_rules": quality.op6_quality_rules,
+    "op7_nearest_neighbours": vptree.op7_nearest_neighbours,
     "op8_simhash_near_dedup": simhash.op8_simhash_near_dedup,
     "op9_sharding": sharding.op9_sharding,
     "op10_html_extraction": htmltext.op10_html_extraction,
