@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from arrivo.llm import htmltext, mixing, quality, sharding, simhash, tokencounts, toxicity, vptree, warc
+from arrivo.llm import bpe, htmltext, mixing, quality, sharding, simhash, tokencounts, toxicity, vptree, warc
 
 QUERIES = {
+    "op1_byte_bpe": bpe.op1_byte_bpe,
     "op2_toxicity": toxicity.op2_toxicity,
     "op3_warc": warc.op3_warc,
     "op4_token_counts": tokencounts.op4_token_counts,
