@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from arrivo.llm.common import hex_buckets, running_sums, table, word_count
+from arrivo.llm.common import hex_buckets, running_sums, table, unused, word_count
 from arrivo.session import cut_lineage
 
 WEIGHTS = (5, 2, 1)  # fixed by the data contract, repeated over the sources
@@ -91,14 +91,13 @@ def mix(docs: DataFrame, weights=WEIGHTS, max_times: int = MAX_TIMES, seed: str
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """Rows of ``docs`` with all their columns, each as often as the mix
     takes it."""
+    by_id, source, size, often, n = (unused(docs, c) for c in ("__id", "__source", "__size", "__times", "__n"))
     times = mix(docs, **options).filter("times > 0").select(
-        F.col("doc_id").alias("__id"), F.col("source").alias("__source"), F.col("size").alias("__size"),
-        F.col("times").alias("__times"))
-    text = options.get("text", "text")
-    on = (F.col("doc_id").eqNullSafe(F.col("__id")) & F.col("source").eqNullSafe(F.col("__source"))
-          & (word_count(F.col(text)) == F.col("__size")))
-    return docs.join(times, on).withColumn("__n", F.explode(F.sequence(F.lit(1), F.col("__times")))).select(
-        *docs.columns)
+        F.col("doc_id").alias(by_id), F.col("source").alias(source), F.col("size").alias(size),
+        F.col("times").alias(often))
+    on = (F.col("doc_id").eqNullSafe(F.col(by_id)) & F.col("source").eqNullSafe(F.col(source))
+          & (word_count(F.col(options.get("text", "text"))) == F.col(size)))
+    return docs.join(times, on).withColumn(n, F.explode(F.sequence(F.lit(1), F.col(often)))).select(*docs.columns)
 
 
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

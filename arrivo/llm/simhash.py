@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from arrivo.llm.common import small_batches, table
+from arrivo.llm.common import small_batches, table, unused
 from arrivo.session import cut_lineage
 
 SHINGLE_WORDS = 3
@@ -256,12 +256,15 @@ def keep_one_each(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, max_bits:
                   text: str = "text") -> DataFrame:
     """Rows of ``docs`` with all their columns, one of each component: the
     smallest doc_id's."""
+    own, row = unused(docs, "__own"), unused(docs, "__row")
+    # the right side's names differ from all of docs'
+    by_id, by_hash = unused(docs, "__id"), unused(docs, "__hash")
     keep = cut_lineage(near_duplicates(docs, shingle_words, max_bits, text).select(
-        F.col("component_id").alias("__id"), F.col("kept_hash").alias("__hash")).distinct(), "simhash-keep")
-    once = F.row_number().over(Window.partitionBy("doc_id", "__own").orderBy("doc_id"))
-    return (docs.withColumn("__own", F.xxhash64(F.col(text))).join(
-        keep, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__own") == F.col("__hash")), "left_semi")
-        .withColumn("__row", once).filter("__row = 1").select(*docs.columns))
+        F.col("component_id").alias(by_id), F.col("kept_hash").alias(by_hash)).distinct(), "simhash-keep")
+    once = F.row_number().over(Window.partitionBy("doc_id", own).orderBy("doc_id"))
+    return (docs.withColumn(own, F.xxhash64(F.col(text))).join(
+        keep, F.col("doc_id").eqNullSafe(F.col(by_id)) & (F.col(own) == F.col(by_hash)), "left_semi")
+        .withColumn(row, once).filter(F.col(row) == 1).select(*docs.columns))
 
 
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,7 +7,7 @@ them, and are composed into one transducer before any text is read:
 
 - reported speech marks events that follow a verb of saying (``r``),
 - negation marks events up to two words after a negation (``n``),
-- target marks events up to three words after a target (``t``),
+- target marks events up to four words after a target (``t``),
 - address turns a target up to two words after an event into ``a``.
 
 The first arcs carry weights too: the insult lexicon is learned, whole words
@@ -128,7 +128,7 @@ PLAIN = ["Y", "N", "R", "O"]
 def grammar() -> Machine:
     machine = reported(INPUT)
     for build, marks in ((lambda a: window(a, "N", 2, "n"), ("r",)),
-                         (lambda a: window(a, "Y", 3, "t"), ("r", "n")),
+                         (lambda a: window(a, "Y", 4, "t"), ("r", "n")),
                          (lambda a: addressed(a, 2), ("r", "n", "t"))):
         machine = compose(machine, build(events(marks) + PLAIN), INPUT)
     return machine
