@@ -29,7 +29,7 @@ from collections.abc import Iterator
 
 import pandas as pd
 import zstandard
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arrivo.llm.common import small_batches, table
@@ -143,9 +143,12 @@ def _bundled(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield close()
 
 
-@F.pandas_udf("string")
-def _base32(hexes: pd.Series) -> pd.Series:
-    return hexes.map(lambda h: base64.b32encode(bytes.fromhex(h)).decode())
+def _base32(hexes: Column) -> Column:
+    @F.pandas_udf("string")
+    def run(batch: pd.Series) -> pd.Series:
+        return batch.map(lambda h: base64.b32encode(bytes.fromhex(h)).decode())
+
+    return run(hexes)
 
 
 def with_revisits(pages: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
@@ -163,7 +166,7 @@ def with_revisits(pages: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
     repeat = F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first"))
     # ids as text: pandas would turn a column of longs with nulls into floats
     return joined.select(F.col("page_id").cast("string").alias("page_id"), "url", "html",
-                         _base32("sha").alias("digest"),
+                         _base32(F.col("sha")).alias("digest"),
                          F.when(repeat, F.col("first")).cast("string").alias("refers_to"))
 
 
