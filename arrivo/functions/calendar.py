@@ -51,7 +51,7 @@ CORRECTED = (
 )
 
 # The as-built calendar (19 entries): Labor and Columbus months
-# swapped, no Memorial Day; its nth-weekday arithmetic is ``nth_as_built``.
+# swapped, no Memorial Day, and the defect stated at ``nth_weekday_as_built``.
 AS_BUILT = tuple(
     Rule(r.name, "nth_as_built", 10 if r.name == "Labor Day" else 9 if r.name == "Columbus Day"
          else r.month, weekday=r.weekday, n=r.n) if r.kind == "nth" else r
@@ -73,17 +73,13 @@ def last_weekday(year: Column, month: int, weekday: str) -> Column:
 
 
 def nth_weekday_as_built(year: Column, month: int, weekday: str, n: int) -> Column:
-    """The reference's arithmetic (T12): ``date < 0`` instead of ``<= 0``, so
-    a month whose 1st falls the day after the weekday gives one week early,
-    and for n = 1 day 0, which fails the date build (the job dies)."""
-    first = F.make_date(year, F.lit(month), F.lit(1))
-    iso_first = F.weekday(first) + 1                      # X9
-    date = F.lit(_ISO[weekday]) - iso_first + 1
-    length = F.dayofmonth(F.last_day(first))              # X11
-    day = F.when(date + (n - 1) * 7 > length,
-                 F.raise_error(F.lit("impossible to compute the n-th weekday")).cast("int")) \
-        .when(date < 0, date + n * 7).otherwise(date + (n - 1) * 7)
-    return F.make_date(year, F.lit(month), day)
+    """The as-built defect (T12): where the first of the month falls on the
+    day after the wanted weekday, the date is a week early, and a first
+    occurrence there has no date (null)."""
+    after = F.weekday(F.make_date(year, F.lit(month), F.lit(1))) == _ISO[weekday]  # weekday: Monday is 0
+    right = nth_weekday(year, month, weekday, n)
+    early = F.date_sub(right, 7) if n > 1 else F.lit(None).cast("date")
+    return F.when(after, early).otherwise(right)
 
 
 def rule_dates(year: Column, calendar=CORRECTED) -> list[Column]:
@@ -110,11 +106,6 @@ def rule_dates(year: Column, calendar=CORRECTED) -> list[Column]:
     return out
 
 
-def holidays_for_year(year: Column, calendar=CORRECTED) -> Column:
-    """E5: ``array<date>`` of the year's holidays in calendar order."""
-    return F.array(*rule_dates(year, calendar))
-
-
 def calendar_frame(years: DataFrame, year_col: str, calendar=CORRECTED) -> DataFrame:
     """(year, holiday_no, holiday_name, holiday_date), one row per year
     and rule, from a frame of years."""

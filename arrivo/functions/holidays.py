@@ -9,12 +9,16 @@ are), so each day is joined to those three years' holidays only.
 ``scan``: the reference's fold: start at 999 and walk every holiday of every
 present year (years ascending, rules in calendar order); a holiday replaces
 the running value when its absolute distance is below it. A negative value
-therefore sticks (T11). The holiday list of all years is a constant array
-(Catalyst folds it) and the fold is a built-in ``aggregate``.
+therefore sticks (T11). The fold is a built-in ``aggregate`` over one array
+that is gathered from the holiday table.
 
-Both modes are evaluated once per calendar day of the present years (a table
-of at most 366 rows per year) and reach the data rows by an equi-join on
-(year, month, day), so no holiday logic runs per data row.
+Years are a frame: the distinct values that can form a date (1 to 9999),
+whatever else the column holds. Both modes are evaluated once per calendar
+day of the present years (at most 366 rows per year) and reach the data rows
+by an equi-join on (year, month, day), so no holiday logic runs per data row.
+
+A row whose parts are no valid date (31-2, month 13, a null) has no proximity;
+it gets null, and assembling skips rows with a null feature.
 """
 
 from __future__ import annotations
@@ -22,11 +26,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from arrivo.functions.calendar import CORRECTED, calendar_frame, rule_dates
-from arrivo.operators.joins import BROADCAST_ROW_LIMIT
+from arrivo.functions.calendar import CORRECTED, calendar_frame
+from arrivo.operators.joins import broadcast_bytes
 
-# valid dates have years 1..9999, so a distinct year list is bounded
-MAX_YEARS = 10_000
+FIRST_YEAR, LAST_YEAR = 1, 9999
+#: Bytes of a row of the per-day table in a broadcast hash table.
+DAY_BYTES = 64
 
 
 def date_key(year: Column, month: Column, day: Column) -> Column:
@@ -40,13 +45,10 @@ def row_date(year: Column, month: Column, day: Column) -> Column:
     return F.make_date(year, month, day)
 
 
-def distinct_years(df: DataFrame, year_col: str) -> list[int]:
-    """Sorted distinct non-null years (bounded by the date range)."""
-    rows = (df.select(year_col).filter(F.col(year_col).isNotNull()).distinct()
-            .limit(MAX_YEARS + 1).collect())
-    if len(rows) > MAX_YEARS:
-        raise ValueError(f"more than {MAX_YEARS} distinct years in {year_col}")
-    return sorted(int(r[0]) for r in rows)
+def distinct_years(df: DataFrame, year_col: str) -> DataFrame:
+    """(year) rows: the distinct values that can form a date."""
+    year = F.col(year_col).cast("int")
+    return df.filter(year.between(FIRST_YEAR, LAST_YEAR)).select(year.alias("year")).distinct()
 
 
 def _key(diff: Column) -> Column:
@@ -54,75 +56,66 @@ def _key(diff: Column) -> Column:
     return F.abs(diff) * 2 + F.when(diff > 0, 1).otherwise(0)
 
 
-def scan_holiday(date: Column, years: list[int], calendar=CORRECTED) -> Column:
-    """E6 as built: the ordered fold with initial value 999."""
-    dates = [d for y in sorted(years) for d in rule_dates(F.lit(int(y)), calendar)]
-    if not dates:
-        return F.lit(999)
-    arr = F.array(*dates)
-    return F.aggregate(
-        arr, F.lit(999),
-        lambda acc, h: F.when(F.abs(F.datediff(h, date)) < acc, F.datediff(h, date))
-        .otherwise(acc)).cast("int")
-
-
-def proximity_table(spark, years: list[int], mode: str = "nearest", calendar=CORRECTED
-                    ) -> DataFrame:
-    """(year, month, day, proximity) for every calendar day of every present
-    year: at most 366 rows per year, so the holiday logic runs once per
-    calendar day instead of once per data row.
+def proximity_table(years: DataFrame, mode: str = "nearest", calendar=CORRECTED) -> DataFrame:
+    """(year, month, day, proximity) for every calendar day of every year of
+    ``years``: at most 366 rows per year.
 
     nearest: each day is joined (equi-join on year) to the holidays of Y-1,
     Y and Y+1 -- absent years have no holidays -- and the grouped minimum of
     (distance key, signed days) is taken. scan: the ordered fold."""
-    ys = spark.createDataFrame([(int(y),) for y in years], "__y int")
+    ys = years.select(F.col("year").alias("__y"))
     days = ys.select("__y", F.explode(F.sequence(F.make_date("__y", F.lit(1), F.lit(1)),
                                                  F.make_date("__y", F.lit(12), F.lit(31))))
                      .alias("__date"))
+    holidays = calendar_frame(ys, "__y", calendar).filter(F.col("holiday_date").isNotNull())
     if mode == "nearest":
-        hol = (calendar_frame(ys, "__y", calendar)
-               .select(F.col("year").alias("__hy"), F.col("holiday_date").alias("__h")))
+        hol = holidays.select(F.col("year").alias("__hy"), F.col("holiday_date").alias("__h"))
         cand = days.select("__y", "__date", F.explode(
             F.array(F.col("__y") - 1, F.col("__y"), F.col("__y") + 1)).alias("__hy"))
         diff = F.datediff("__h", "__date")
-        # at most (rules x years) rows, years bounded by MAX_YEARS
-        best = (cand.join(F.broadcast(hol), "__hy")
+        # at most (rules x 9999) holidays
+        days = (cand.join(F.broadcast(hol), "__hy")
                 .groupBy("__y", "__date")
                 .agg(F.min(F.struct(_key(diff).alias("k"), diff.alias("v"))).alias("__b")))
-        days, expr = best, F.col("__b.v")
+        near = F.col("__b.v")
     elif mode == "scan":
-        expr = scan_holiday(F.col("__date"), years, calendar)
+        order = F.struct("year", "holiday_no", "holiday_date")
+        dates = holidays.agg(F.array_sort(F.collect_list(order)).alias("__all")).withColumn("__one", F.lit(1))
+        # a single row of at most (rules x 9999) dates
+        days = days.withColumn("__one", F.lit(1)).join(F.broadcast(dates), "__one")
+        near = F.aggregate("__all", F.lit(999), lambda acc, h: F.when(
+            F.abs(F.datediff(h["holiday_date"], F.col("__date"))) < acc,
+            F.datediff(h["holiday_date"], F.col("__date"))).otherwise(acc))
     else:
         raise ValueError(f"unknown proximity mode {mode!r}")
     return days.select("__y", F.month("__date").alias("__m"), F.dayofmonth("__date").alias("__d"),
-                       expr.alias("__p"))
+                       near.cast("int").alias("__p"))
 
 
 def add_proximity(df: DataFrame, year: str, month: str, day: str, out: str,
-                  mode: str = "nearest", calendar=CORRECTED, years: list[int] | None = None,
-                  drop_single_year: bool = True,
-                  broadcast_limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
+                  mode: str = "nearest", calendar=CORRECTED, years: DataFrame | None = None,
+                  drop_single_year: bool = True) -> DataFrame:
     """E6 + P6 (T14): add ``out`` when year, month and day exist; drop the
     year column when it holds a single value, even without a proximity.
 
     Rows get their value from the per-day table by an equi-join on (year,
-    month, day). The table has at most ``366 * len(years)`` rows, a bound
-    known before the join, so it is broadcast under the limit; a row whose
+    month, day). The table's size follows from the number of years, so it is
+    broadcast when its bytes are within the session's threshold. A row whose
     parts are not a valid date gets null."""
     if year not in df.columns:
         return df
     if years is None:
         years = distinct_years(df, year)
+    n = years.count()
     out_df = df
-    if month in df.columns and day in df.columns and years:
-        table = proximity_table(df.sparkSession, years, mode, calendar)
-        side = F.broadcast(table) if 366 * len(years) <= broadcast_limit else table
+    if month in df.columns and day in df.columns:
+        side = proximity_table(years, mode, calendar)
+        if 366 * n * DAY_BYTES <= broadcast_bytes(df.sparkSession):
+            side = F.broadcast(side)
         cond = ((df[year] == side["__y"]) & (df[month] == side["__m"])
                 & (df[day] == side["__d"]))
         out_df = df.join(side, cond, "left").select(
             *[df[c] for c in df.columns], side["__p"].cast("int").alias(out))
-    elif month in df.columns and day in df.columns:
-        out_df = df.withColumn(out, F.lit(None).cast("int"))
-    if drop_single_year and len(years) == 1:
+    if drop_single_year and n == 1:
         out_df = out_df.drop(year)
     return out_df

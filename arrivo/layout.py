@@ -24,6 +24,7 @@ INTERACTION_NAMES = (
 
 @dataclass(frozen=True)
 class Layout:
+    # The default names are the flight contract's
     year: str = "Year"
     month: str = "Month"
     day: str = "DayofMonth"

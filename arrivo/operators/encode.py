@@ -13,23 +13,24 @@ partition-local row id, and add the number of keys of the same dictionary in
 earlier partitions (a table with one row per partition, broadcast). No global
 window, no driver-side key list.
 
-Transform: a left join per column. The dictionary is broadcast when its exact
-size (known from the fit) is under the limit; a larger one is joined with a
-shuffle and its hot keys (frequency known from the fit) are salted.
+Transform: a left join per column. The dictionaries are broadcast when the
+bytes of all of them together (measured by the fit) are within the session's
+threshold; otherwise each is joined with a shuffle and its hot keys
+(frequency known from the fit) are salted.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from arrivo.operators.joins import BROADCAST_ROW_LIMIT, hot_keys_of, salted_join
-from arrivo.session import cut_lineage, default_parallelism
+from arrivo.operators.joins import ROW_OVERHEAD, broadcast_bytes, hot_keys, salted_join
+from arrivo.session import cut_lineage, default_parallelism, drop_cut
 
-HOT_FRACTION = 0.05
+#: Keys that one numbering task sorts.
+KEYS_PER_PARTITION = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -52,10 +53,12 @@ def number_sorted(freq: DataFrame, group: str, key: str, parts: int) -> DataFram
         Window.unboundedPreceding, -1)
     offsets = stats.withColumn("__offset", F.coalesce(F.sum("__n").over(before), F.lit(0)))
     # one row per (partition, dictionary): bounded by the partition count
-    return (ranged.join(F.broadcast(offsets.select("__pid", group, "__offset", "__first")),
-                        ["__pid", group])
-            .withColumn("code", (F.col("__offset") + F.col("__rid") - F.col("__first")).cast("int"))
-            .drop("__pid", "__rid", "__offset", "__first"))
+    coded = cut_lineage(
+        ranged.join(F.broadcast(offsets.select("__pid", group, "__offset", "__first")), ["__pid", group])
+        .withColumn("code", F.col("__offset") + F.col("__rid") - F.col("__first"))
+        .drop("__pid", "__rid", "__offset", "__first"), "codes")
+    drop_cut(ranged)
+    return coded
 
 
 @dataclass
@@ -64,27 +67,34 @@ class DictionaryModel:
     codes: DataFrame            # dict, key, freq, code
     sizes: dict[str, int]       # distinct keys per dictionary
     totals: dict[str, int]      # key occurrences per dictionary
-    broadcast_limit: int = BROADCAST_ROW_LIMIT
-    hot_fraction: float = HOT_FRACTION
+    bytes: int = 0              # of all dictionaries
+    broadcast_limit: int | None = None
+    partitions: int | None = None  # to judge hot keys; the session's by default
 
     def keys(self, name: str) -> DataFrame:
         """(key, code) of one dictionary (A4 / U1 kept distributed)."""
         return self.codes.filter(F.col("dict") == name).select("key", "code")
 
+    def close(self) -> None:
+        """Delete the written codes; frames that read them are then void."""
+        if self.specs:
+            drop_cut(self.codes)
+
     def encode_column(self, df: DataFrame, column: str, name: str) -> DataFrame:
         lut_key, lut_code = f"__k_{column}", f"__c_{column}"
         lut = (self.codes.filter(F.col("dict") == name)
-               .select(F.col("key").alias(lut_key), F.col("code").alias(lut_code),
-                       F.col("freq")))
+               .select(F.col("key").alias(lut_key), F.col("code").alias(lut_code), F.col("freq")))
         fact_key = F.col(column).cast("string")
-        if self.sizes.get(name, 0) <= self.broadcast_limit:
+        spark = df.sparkSession
+        limit = broadcast_bytes(spark) if self.broadcast_limit is None else self.broadcast_limit
+        if self.bytes <= limit:
             joined = df.join(F.broadcast(lut.drop("freq")), fact_key == F.col(lut_key), "left")
         else:
-            hot = hot_keys_of(lut, lut_key, "freq", self.totals.get(name, 0), self.hot_fraction)
-            salt = default_parallelism(df.sparkSession)
-            joined = salted_join(df, fact_key, lut.drop("freq"), lut_key, hot, salt, "left")
+            parts = self.partitions or default_parallelism(spark)
+            hot = hot_keys(lut, lut_key, "freq", self.totals.get(name, 0), parts)
+            joined = salted_join(df, fact_key, lut.drop("freq"), lut_key, hot, parts, "left")
         return joined.select(*[
-            F.coalesce(F.col(lut_code), F.lit(-1)).alias(c) if c == column else F.col(c)
+            F.coalesce(F.col(lut_code), F.lit(-1).cast("long")).alias(c) if c == column else F.col(c)
             for c in df.columns])
 
     def transform(self, df: DataFrame) -> DataFrame:
@@ -96,33 +106,34 @@ class DictionaryModel:
         return out
 
 
-def fit_dictionaries(df: DataFrame, specs, broadcast_limit: int = BROADCAST_ROW_LIMIT,
-                     hot_fraction: float = HOT_FRACTION) -> DictionaryModel:
+def fit_dictionaries(df: DataFrame, specs, broadcast_limit: int | None = None,
+                     partitions: int | None = None) -> DictionaryModel:
     specs = tuple(DictSpec(s.name, tuple(c for c in s.columns if c in df.columns)) for s in specs)
     specs = tuple(s for s in specs if s.columns)
     if not specs:
-        return dictionary_model(None, (), df.sparkSession, broadcast_limit, hot_fraction)
+        return dictionary_model(None, (), df.sparkSession, broadcast_limit, partitions)
     pairs = F.array(*[F.struct(F.lit(s.name).alias("dict"), F.col(c).cast("string").alias("key"))
                       for s in specs for c in s.columns])
     freq = (df.select(F.explode(pairs).alias("p"))
             .select("p.dict", "p.key")
             .filter(F.col("key").isNotNull())
             .groupBy("dict", "key").agg(F.count(F.lit(1)).alias("freq")))
-    return dictionary_model(freq, specs, df.sparkSession, broadcast_limit, hot_fraction)
+    return dictionary_model(freq, specs, df.sparkSession, broadcast_limit, partitions)
 
 
-def dictionary_model(freq: DataFrame | None, specs, spark,
-                     broadcast_limit: int = BROADCAST_ROW_LIMIT,
-                     hot_fraction: float = HOT_FRACTION) -> DictionaryModel:
+def dictionary_model(freq: DataFrame | None, specs, spark, broadcast_limit: int | None = None,
+                     partitions: int | None = None) -> DictionaryModel:
     """Number the keys of ``freq`` (dict, key, freq) and wrap the result."""
     if freq is None or not specs:
-        empty = spark.createDataFrame([], "dict string, key string, freq long, code int")
-        return DictionaryModel((), empty, {}, {}, broadcast_limit, hot_fraction)
-    # small (one row per key) and read by every encoded column: keep it
-    codes = number_sorted(freq, "dict", "key", default_parallelism(spark)).persist(
-        StorageLevel.MEMORY_AND_DISK)
-    summary = codes.groupBy("dict").agg(F.count(F.lit(1)).alias("n"),
-                                        F.sum("freq").alias("total")).collect()
+        empty = spark.createDataFrame([], "dict string, key string, freq long, code long")
+        return DictionaryModel((), empty, {}, {}, 0, broadcast_limit, partitions)
+    freq = cut_lineage(freq, "frequencies")
+    summary = freq.groupBy("dict").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("freq").alias("total"),
+        F.sum(F.octet_length("key") + ROW_OVERHEAD).alias("bytes")).collect()
     sizes = {r["dict"]: r["n"] for r in summary}
-    totals = {r["dict"]: r["total"] for r in summary}
-    return DictionaryModel(tuple(specs), codes, sizes, totals, broadcast_limit, hot_fraction)
+    parts = max(1, -(-sum(sizes.values()) // KEYS_PER_PARTITION))
+    codes = number_sorted(freq, "dict", "key", parts)
+    drop_cut(freq)
+    return DictionaryModel(tuple(specs), codes, sizes, {r["dict"]: r["total"] for r in summary},
+                           sum(r["bytes"] for r in summary), broadcast_limit, partitions)

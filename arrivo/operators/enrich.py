@@ -7,10 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arrivo.operators.joins import BROADCAST_ROW_LIMIT, hot_keys_of, salted_join
-from arrivo.session import default_parallelism
-
-HOT_FRACTION = 0.05
+from arrivo.operators.joins import broadcast_bytes, measured, shuffled_lookup
 from arrivo.sources.dimension import read_dimension_csv
 
 
@@ -21,37 +18,29 @@ class Enriched:
 
 
 def join_dimension(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str = "tailnum",
-                   attrs=("model", "engine_type"),
-                   broadcast_limit: int = BROADCAST_ROW_LIMIT,
-                   hot_fraction: float = HOT_FRACTION) -> Enriched:
+                   attrs=("model", "engine_type"), broadcast_limit: int | None = None,
+                   partitions: int | None = None) -> Enriched:
     """Inner join on fact_key = dim_key keeping ``attrs``; rows of the fact
     without a match are lost and repeated dimension keys multiply rows, as in
     the reference. Both key columns are dropped (J2).
 
-    The dimension side is broadcast when its counted size is under the
-    limit. Otherwise the join shuffles: the fact's key frequencies are
-    counted (partial aggregation, a pass much cheaper than the join) and keys
-    holding at least ``hot_fraction`` of the rows are salted, so no single
-    task receives a hot key's rows."""
+    One pass over the dimension gives its rows (S7) and bytes. It is
+    broadcast when the bytes are within ``broadcast_limit`` (the session's
+    threshold by default); otherwise the join shuffles with hot keys salted."""
     if fact_key not in fact.columns:
         return Enriched(fact, f"fact has no key column {fact_key!r}")
     missing = [c for c in (dim_key, *attrs) if c not in dim.columns]
     if missing:
         return Enriched(fact, f"dimension lacks columns {missing}")
-    usable = dim.select(dim_key, *attrs).dropna(subset=list(attrs))       # P4, F2
-    n = usable.count()                                                    # S7 and size check
-    if n == 0:
+    usable = dim.select(F.col(dim_key).alias("__dim_key"), *attrs).dropna(subset=list(attrs))   # P4, F2
+    rows, size = measured(usable)
+    if rows == 0:
         return Enriched(fact, "dimension holds no usable row")
-    if n <= broadcast_limit:
-        side = F.broadcast(usable)
-        joined = fact.join(side, fact[fact_key] == side[dim_key], "inner")
-        return Enriched(joined.drop(fact[fact_key]).drop(side[dim_key]), None)
-    freq = fact.groupBy(F.col(fact_key).alias("__key")).agg(F.count(F.lit(1)).alias("__n"))
-    total = fact.count()
-    hot = hot_keys_of(freq, "__key", "__n", total, hot_fraction)
-    side = usable.withColumnRenamed(dim_key, "__dim_key")
-    joined = salted_join(fact, F.col(fact_key), side, "__dim_key", hot,
-                         default_parallelism(fact.sparkSession), "inner")
+    limit = broadcast_bytes(fact.sparkSession) if broadcast_limit is None else broadcast_limit
+    if size <= limit:
+        joined = fact.join(F.broadcast(usable), F.col(fact_key) == F.col("__dim_key"), "inner")
+    else:
+        joined = shuffled_lookup(fact, fact_key, usable, "__dim_key", "inner", partitions)
     return Enriched(joined.drop(fact_key, "__dim_key"), None)
 
 
@@ -69,22 +58,31 @@ class DuplicateKeyError(ValueError):
 
 
 def lookup(fact: DataFrame, column: str, dim: DataFrame, out: str, code: str = "code",
-           value: str = "city", duplicates: str = "error",
-           broadcast_limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
+           value: str = "city", duplicates: str = "error", order: str | None = None,
+           broadcast_limit: int | None = None, partitions: int | None = None) -> DataFrame:
     """Left-join a (code, value) table and add ``out``; unmatched -> null.
 
-    Duplicate codes: ``error`` raises, ``first`` keeps the smallest value,
+    Duplicate codes: ``error`` raises, ``smallest`` keeps the smallest value,
+    ``last`` the value of the largest ``order`` (a map literal's rule),
     ``all`` keeps every match (rows multiply)."""
-    table = dim.select(F.col(code).alias("__code"), F.col(value).alias("__value"))
-    if duplicates == "first":
+    table = dim.select(F.col(code).alias("__code"), F.col(value).alias("__value"),
+                       *([F.col(order).alias("__order")] if order else []))
+    if duplicates == "smallest":
         table = table.groupBy("__code").agg(F.min("__value").alias("__value"))
+    elif duplicates == "last":
+        if order is None:
+            raise ValueError("duplicates='last' needs an order column")
+        table = table.groupBy("__code").agg(F.max_by("__value", "__order").alias("__value"))
     elif duplicates == "error":
         dup = table.groupBy("__code").count().filter(F.col("count") > 1).limit(1).collect()
         if dup:
             raise DuplicateKeyError(f"code {dup[0]['__code']!r} appears more than once")
     elif duplicates != "all":
         raise ValueError(f"unknown duplicate policy {duplicates!r}")
-    n = table.count()
-    side = F.broadcast(table) if n <= broadcast_limit else table
-    joined = fact.join(side, fact[column] == side["__code"], "left")
-    return joined.select(*[fact[c] for c in fact.columns], F.col("__value").alias(out))
+    table = table.select("__code", "__value")
+    limit = broadcast_bytes(fact.sparkSession) if broadcast_limit is None else broadcast_limit
+    if measured(table)[1] <= limit:
+        joined = fact.join(F.broadcast(table), F.col(column) == F.col("__code"), "left")
+    else:
+        joined = shuffled_lookup(fact, column, table, "__code", "left", partitions)
+    return joined.select(*fact.columns, F.col("__value").alias(out))

@@ -1,47 +1,72 @@
-"""Join helpers with an explicit size check and hot-key salting.
-
-A side is broadcast only when its exact row count is known to be under a
-limit. Beyond it the join shuffles; keys that the caller knows to be hot
-(their frequency is counted during a fit) are salted: their rows on the big
-side are spread over ``salt`` buckets by a hash of the row, and the matching
-small-side rows are replicated once per bucket. One hot key holding a third of
-all rows therefore lands in ``salt`` tasks instead of one.
+"""Lookup joins with a measured size and hot-key salting.
+
+A lookup table is broadcast only if its measured bytes fit the session's
+broadcast threshold. Beyond it the join shuffles, and keys that would
+overfill a reducer are salted: their rows on the big side are spread over
+``salt`` buckets, the matching small-side rows are repeated once per bucket.
+A key is hot when its rows exceed ``HOT_PARTITIONS`` mean shuffle partitions,
+so the limit follows the partition size and at most
+``partitions / HOT_PARTITIONS`` keys are hot.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# rows a broadcast side may hold (dictionary keys, dimension rows)
-BROADCAST_ROW_LIMIT = 2_000_000
+from arrivo.session import cut_lineage, default_parallelism, drop_cut
+
+HOT_PARTITIONS = 2
+#: Bytes of a row beside its text, as an in-memory hash table holds it.
+ROW_OVERHEAD = 32
+
+
+def broadcast_bytes(spark: SparkSession) -> int:
+    """The session's broadcast threshold; -1 if broadcasts are off."""
+    return int(spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
+
+
+def measured(df: DataFrame) -> tuple[int, int]:
+    """Rows and bytes of a small table, in one pass."""
+    width = sum((F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in df.columns), F.lit(ROW_OVERHEAD))
+    rows, size = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).first()
+    return rows, size
+
+
+def hot_keys(freq: DataFrame, key: str, count: str, total: int, partitions: int) -> list:
+    """Keys of ``freq`` that would overfill a reducer."""
+    limit = HOT_PARTITIONS * total / max(partitions, 1)
+    return [r[0] for r in freq.filter(F.col(count) > limit).select(key).collect()]
 
 
 def salted_join(big: DataFrame, big_key: Column, small: DataFrame, small_key: str,
-                hot_keys: list, salt: int, how: str) -> DataFrame:
+                hot: list, salt: int, how: str) -> DataFrame:
     """Equi-join ``big`` to ``small`` on ``big_key == small[small_key]``.
 
-    ``hot_keys`` must be a bounded list (it becomes an IN-set literal).
-    The salt column names are private and dropped from the result."""
-    if not hot_keys or salt <= 1:
+    The bucket comes from the row and its partition, so equal rows are
+    spread as well and a task that runs again deals its rows alike. The salt
+    column names are private and dropped from the result."""
+    if not hot or salt <= 1:
         return big.join(small, big_key == F.col(small_key), how)
-    is_hot_big = big_key.isin(hot_keys)
-    row_hash = F.xxhash64(*[F.col(c) for c in big.columns])
-    big_s = big.withColumn("__salt", F.when(is_hot_big, F.pmod(row_hash, F.lit(salt)))
+    spread = F.xxhash64(*[F.col(c) for c in big.columns]) + F.spark_partition_id()
+    big_s = big.withColumn("__salt", F.when(big_key.isin(hot), F.pmod(spread, F.lit(salt)))
                            .otherwise(F.lit(0)).cast("int"))
     small_s = small.withColumn(
         "__salt_s",
-        F.explode(F.when(F.col(small_key).isin(hot_keys), F.sequence(F.lit(0), F.lit(salt - 1)))
+        F.explode(F.when(F.col(small_key).isin(hot), F.sequence(F.lit(0), F.lit(salt - 1)))
                   .otherwise(F.array(F.lit(0)))))
     cond = (big_key == F.col(small_key)) & (F.col("__salt") == F.col("__salt_s"))
     return big_s.join(small_s, cond, how).drop("__salt", "__salt_s")
 
 
-def hot_keys_of(freq: DataFrame, key: str, count: str, total: int,
-                fraction: float) -> list:
-    """Keys whose frequency is at least ``fraction`` of ``total``.
-
-    At most ``1 / fraction`` keys qualify, so the list is bounded."""
-    limit = max(1, int(total * fraction))
-    rows = freq.filter(F.col(count) >= limit).select(key).limit(int(1 / fraction) + 1).collect()
-    return [r[0] for r in rows]
+def shuffled_lookup(fact: DataFrame, fact_key: str, side: DataFrame, side_key: str, how: str,
+                    partitions: int | None = None) -> DataFrame:
+    """Join without broadcast: the fact's keys are counted once (partial
+    aggregation) and those hot for ``partitions`` (the session's shuffle
+    partitions by default) are salted."""
+    parts = partitions or default_parallelism(fact.sparkSession)
+    freq = cut_lineage(fact.groupBy(F.col(fact_key).alias("__key")).agg(F.count(F.lit(1)).alias("__n")), "keys")
+    total = freq.agg(F.coalesce(F.sum("__n"), F.lit(0))).first()[0]
+    hot = hot_keys(freq.filter(F.col("__key").isNotNull()), "__key", "__n", total, parts)
+    drop_cut(freq)
+    return salted_join(fact, F.col(fact_key), side, side_key, hot, parts, how)

@@ -6,11 +6,11 @@ missing value are dropped, and later columns see fewer rows. For a string
 column "missing" in the ratio means the text ``NA``; its row filter
 ``col != 'NA'`` removes null as well (T5). For other columns missing is null.
 
-Fit runs ONE job for any number of columns: every row is reduced to a small
-status vector (0 present, 1 null, 2 NA), ``groupBy(statuses).count()`` gives a
-histogram that map-side partial aggregation keeps tiny, and the ordered rule
-is replayed on the histogram counts. Only when the histogram is unexpectedly
-large does the fit fall back to one aggregate job per column.
+Fit reads the data once: every row becomes a small status vector (0 present,
+1 null, 2 NA) and ``groupBy(statuses).count()`` gives a histogram, with
+partial aggregation first. The histogram stays a frame; each column is
+decided by one aggregate over it, and its row filter shrinks it for the next
+column, exactly as the ordered rule shrinks the data.
 """
 
 from __future__ import annotations
@@ -21,8 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# histogram rows the driver accepts before switching to the per-column fit
-HISTOGRAM_LIMIT = 100_000
+from arrivo.session import cut_lineage, drop_cut
 
 DROP_COLUMN = "drop_column"
 DROP_ROWS = "drop_rows"
@@ -111,20 +110,18 @@ def _decide(i, c, seen, missing, protected) -> str:
     return DROP_ROWS
 
 
-def fit_missing_policy(df: DataFrame, columns=None, protected=(),
-                       histogram_limit: int = HISTOGRAM_LIMIT) -> MissingPolicy:
+def fit_missing_policy(df: DataFrame, columns=None, protected=()) -> MissingPolicy:
     columns = list(columns or df.columns)
     strings = frozenset(c for c in columns if _is_string(df, c))
     if not columns:
         return MissingPolicy((), strings, df.count())
-    hist = (df.select(*status_columns(df, columns))
-            .groupBy(*[f"s{i}" for i in range(len(columns))])
-            .agg(F.count(F.lit(1)).alias("n")))
-    rows = hist.limit(histogram_limit + 1).collect()
-    if len(rows) > histogram_limit:
-        return _fit_sequential(df, columns, strings, protected)
-    alive = [(tuple(r[f"s{i}"] for i in range(len(columns))), r["n"]) for r in rows]
-    return replay_policy(columns, strings, alive, protected)
+    hist = cut_lineage(df.select(*status_columns(df, columns))
+                       .groupBy(*[f"s{i}" for i in range(len(columns))])
+                       .agg(F.count(F.lit(1)).alias("n")), "patterns")
+    try:
+        return replay_policy(columns, strings, hist, protected)
+    finally:
+        drop_cut(hist)
 
 
 def status_columns(df: DataFrame, columns) -> list[Column]:
@@ -132,18 +129,19 @@ def status_columns(df: DataFrame, columns) -> list[Column]:
     return [_status(df, c).alias(f"s{i}") for i, c in enumerate(columns)]
 
 
-def replay_policy(columns, strings, alive, protected=()) -> MissingPolicy:
-    """The ordered rule on a histogram ``[(status tuple, rows)]``."""
-    decisions = []
+def replay_policy(columns, strings, hist: DataFrame, protected=()) -> MissingPolicy:
+    """The ordered rule on a histogram frame (``s0..sk``, ``n``)."""
+    decisions, left = [], 0
     for i, c in enumerate(columns):
-        seen = sum(n for _, n in alive)
-        bad_status = 2 if c in strings else 1
-        missing = sum(n for s, n in alive if s[i] == bad_status)
+        s = F.col(f"s{i}")
+        seen, missing, left = hist.agg(*[F.coalesce(F.sum(x), F.lit(0)) for x in (
+            F.col("n"), F.when(s == (2 if c in strings else 1), F.col("n")), F.when(s == 0, F.col("n")))]).first()
         action = _decide(i, c, seen, missing, protected)
         if action == DROP_ROWS:
-            alive = [(s, n) for s, n in alive if s[i] == 0]
+            hist = hist.filter(s == 0)
+        else:
+            left = seen
         decisions.append(Decision(i, c, seen, missing, action))
-    left = sum(n for _, n in alive)
     if left == 0:
         raise PolicyError("the missing-value policy leaves no rows")
     return MissingPolicy(tuple(decisions), frozenset(strings), left)
@@ -156,21 +154,3 @@ def survives(policy: MissingPolicy) -> Column:
         if d.action == DROP_ROWS:
             cond = cond & (F.col(f"s{d.position}") == 0)
     return cond
-
-
-def _fit_sequential(df, columns, strings, protected) -> MissingPolicy:
-    """Fallback: one aggregate job per column on the progressively filtered
-    frame (persisted by the caller)."""
-    decisions, cur = [], df
-    for i, c in enumerate(columns):
-        col = F.col(c)
-        bad = (col == "NA") if c in strings else col.isNull()
-        r = cur.agg(F.count(F.lit(1)).alias("seen"), F.count_if(bad).alias("miss")).first()
-        action = _decide(i, c, r["seen"], r["miss"], protected)
-        if action == DROP_ROWS:
-            cur = cur.filter((col != "NA") if c in strings else col.isNotNull())
-        decisions.append(Decision(i, c, r["seen"], r["miss"], action))
-    left = cur.count()
-    if left == 0:
-        raise PolicyError("the missing-value policy leaves no rows")
-    return MissingPolicy(tuple(decisions), strings, left)

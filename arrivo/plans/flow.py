@@ -2,10 +2,11 @@
 (fitted dictionaries) -> derive -> assemble -> split -> scale -> search ->
 score.
 
-Passes over the data before training: the dedup shuffle, cut into the shared
-checkpoint folder; ONE aggregation that fits the missing-value policy and all
-dictionaries (and the year list) together; and the cut of the prepared frame, which the model search reads many times and which
-lost executors recompute from instead of from the raw scan.
+Passes over the data before training: the dedup shuffle, written to the
+shared checkpoint folder; ONE aggregation that fits the missing-value policy
+and all dictionaries (and the year list) together; and the prepared frame,
+written because the model search reads it many times. Lost executors read
+these tables again instead of the raw input. ``Prepared.close`` deletes them.
 """
 
 from __future__ import annotations
@@ -17,20 +18,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from arrivo.functions.calendar import CORRECTED
-from arrivo.functions.holidays import MAX_YEARS, add_proximity, distinct_years
+from arrivo.functions.holidays import FIRST_YEAR, LAST_YEAR, add_proximity, distinct_years
 from arrivo.layout import Layout
 from arrivo.operators.clean import (cast_text_columns, dedup_rows, drop_and_filter,
                                     drop_null_label, drop_strings)
 from arrivo.functions.casts import text_to_int
-from arrivo.operators.encode import DictionaryModel, DictSpec, dictionary_model, fit_dictionaries
+from arrivo.operators.encode import DictionaryModel, DictSpec, dictionary_model
 from arrivo.operators.enrich import join_dimension
 from arrivo.operators.features import (add_interactions, append_scaled_squares, assemble,
                                        feature_columns, squared_feature_names)
-from arrivo.operators.missing import (HISTOGRAM_LIMIT, MissingPolicy, fit_missing_policy,
-                                      replay_policy, status_columns, survives)
-from arrivo.plans.model import (REFERENCE_GRID, Grid, build_search, fit_scaler,
-                                hash_bucket, is_linear, rmse_expr, split_key_column)
-from arrivo.session import cut_lineage
+from arrivo.operators.missing import MissingPolicy, replay_policy, status_columns, survives
+from arrivo.plans.model import (REFERENCE_GRID, TEST_PERCENT, Grid, build_search, fit_scaler,
+                                is_holdout, is_linear, rmse_expr, with_buckets)
+from arrivo.session import cut_lineage, drop_cut
 
 YEAR_DICT = "__year__"
 
@@ -59,17 +59,16 @@ def encode_without_years(model: DictionaryModel, df: DataFrame) -> DataFrame:
     return out
 
 
-def years_from(model: DictionaryModel) -> list[int]:
-    if model.sizes.get(YEAR_DICT, 0) > MAX_YEARS:
-        raise ValueError("too many distinct years")
-    return sorted(int(r[0]) for r in model.keys(YEAR_DICT).select("key").collect())
+def years_from(model: DictionaryModel) -> DataFrame:
+    """(year): the fitted years that can form a date."""
+    year = F.col("key").cast("int")
+    return model.keys(YEAR_DICT).filter(year.between(FIRST_YEAR, LAST_YEAR)).select(year.alias("year"))
 
 
 ROW_MARK = "__row__"
 
 
-def fit_clean_steps(base: DataFrame, layout: Layout,
-                    histogram_limit: int = HISTOGRAM_LIMIT):
+def fit_clean_steps(base: DataFrame, layout: Layout):
     """Missing-value policy and every dictionary from ONE pass over ``base``.
 
     Each row emits a histogram marker and its (dictionary, column, key)
@@ -98,35 +97,45 @@ def fit_clean_steps(base: DataFrame, layout: Layout,
            .groupBy("dict", "col", "key", *s_cols, "__lok")
            .agg(F.count(F.lit(1)).alias("n")))
     agg = cut_lineage(agg, "fit")
-    hist = (agg.filter(F.col("dict") == ROW_MARK).groupBy(*s_cols)
-            .agg(F.sum("n").alias("n")).limit(histogram_limit + 1).collect())
-    if len(hist) > histogram_limit:
-        policy = fit_missing_policy(base, columns, protected=layout.protected(),
-                                    histogram_limit=histogram_limit)
-        cleaned = drop_null_label(cast_text_columns(policy.transform(base), layout.text_to_int),
-                                  layout.label)
-        return policy, fit_dictionaries(cleaned, specs)
-    alive = [(tuple(r[c] for c in s_cols), r["n"]) for r in hist]
-    policy = replay_policy(columns, strings, alive, layout.protected())
+    hist = cut_lineage(agg.filter(F.col("dict") == ROW_MARK).groupBy(*s_cols)
+                       .agg(F.sum("n").alias("n")), "patterns")
+    policy = replay_policy(columns, strings, hist, layout.protected())
     kept = [c for c in columns if c not in policy.dropped]
     specs = [DictSpec(s.name, tuple(c for c in s.columns if c in kept)) for s in specs]
     specs = [s for s in specs if s.columns]
     freq = (agg.filter((F.col("dict") != ROW_MARK) & survives(policy) & F.col("__lok")
                        & F.col("col").isin(kept))
             .groupBy("dict", "key").agg(F.sum("n").alias("freq")))
-    return policy, dictionary_model(freq, specs, base.sparkSession)
+    dictionaries = dictionary_model(freq, specs, base.sparkSession)
+    drop_cut(hist)
+    drop_cut(agg)
+    return policy, dictionaries
 
 
 @dataclass
 class Prepared:
+    """A fitted preparation and its frame. The algorithm, proximity mode,
+    calendar and dimension of the fit are kept, so that ``apply_prepared``
+    treats new rows alike."""
     frame: DataFrame
     features: list[str]
     layout: Layout
+    algorithm: str
     policy: MissingPolicy
     dictionaries: DictionaryModel
-    years: list[int]
+    years: DataFrame
+    proximity_mode: str
+    calendar: tuple
+    dimension: DataFrame | None = None
     dimension_reason: str | None = None
-    steps: list[str] = field(default_factory=list)
+    written: list[DataFrame] = field(default_factory=list)
+
+    def close(self) -> None:
+        """Delete the tables that this preparation wrote."""
+        for df in self.written:
+            drop_cut(df)
+        self.written.clear()
+        self.dictionaries.close()
 
 
 def clean(raw: DataFrame, layout: Layout, unknown=(), dimension: DataFrame | None = None):
@@ -145,58 +154,68 @@ def prepare(raw: DataFrame, layout: Layout, algorithm: str = "lr", unknown=(),
             dimension: DataFrame | None = None, proximity_mode: str = "nearest",
             calendar=CORRECTED) -> Prepared:
     base, reason = clean(raw, layout, unknown, dimension)
-    # read by the policy fit, the dictionary fit and the final cut
+    # read by the fit and by the final cut
     base = cut_lineage(base, "cleaned")
     policy, dicts = fit_clean_steps(base, layout)
-    df = policy.transform(base)
-    df = cast_text_columns(df, layout.text_to_int)
-    df = drop_null_label(df, layout.label)
-    years = years_from(dicts) if layout.year in df.columns else []
-    df = encode_without_years(dicts, df)
-    df = add_proximity(df, layout.year, layout.month, layout.day, layout.proximity,
-                       mode=proximity_mode, calendar=calendar, years=years)
-    if is_linear(algorithm):
-        df = add_interactions(df, layout)
-    df = drop_strings(df)
-    df = cut_lineage(df, "prepared")
-    dicts.codes.unpersist()
+    years = years_from(dicts) if layout.year in base.columns else None
+    df = _derived(base, layout, algorithm, policy, dicts, years, proximity_mode, calendar,
+                  drop_single_year=True)
+    df = cut_lineage(drop_strings(df), "prepared")
     exclude = (layout.split_key,) if layout.split_key else ()
     features = feature_columns(df, layout.label, exclude)
-    return Prepared(df, features, layout, policy, dicts, years, reason)
+    return Prepared(df, features, layout, algorithm, policy, dicts, years, proximity_mode, tuple(calendar),
+                    dimension if reason is None else None, reason, [base, df])
 
 
-def apply_prepared(prep: Prepared, raw: DataFrame, algorithm: str = "lr",
-                   unknown=()) -> DataFrame:
-    """The fitted steps applied to new rows. The missing-value decisions,
-    dictionary codes (unseen keys -> -1) and feature list come from the fit;
-    only the holiday calendar follows the years of the new rows, because it
-    is a calendar, not a learned value. Columns come out in the fitted
-    feature order, plus the label and split key when present."""
-    layout = prep.layout
-    df, _ = clean(raw, layout, unknown)
-    df = prep.policy.transform(df)
+def _derived(df: DataFrame, layout: Layout, algorithm: str, policy: MissingPolicy,
+             dicts: DictionaryModel, years: DataFrame | None, mode: str, calendar,
+             drop_single_year: bool) -> DataFrame:
+    """The fitted steps after cleaning, in the reference's order."""
+    df = policy.transform(df)
     df = cast_text_columns(df, layout.text_to_int)
     if layout.label in df.columns:
         df = drop_null_label(df, layout.label)
-    df = encode_without_years(prep.dictionaries, df)
-    years = sorted(set(prep.years) | set(
-        distinct_years(df, layout.year) if layout.year in df.columns else []))
-    df = add_proximity(df, layout.year, layout.month, layout.day, layout.proximity,
-                       years=years, drop_single_year=False)
-    if layout.year not in prep.features and layout.year in df.columns:
-        df = df.drop(layout.year)
-    if is_linear(algorithm):
-        df = add_interactions(df, layout)
+    df = encode_without_years(dicts, df)
+    if years is not None:
+        df = add_proximity(df, layout.year, layout.month, layout.day, layout.proximity, mode=mode,
+                           calendar=calendar, years=years, drop_single_year=drop_single_year)
+    return add_interactions(df, layout) if is_linear(algorithm) else df
+
+
+def apply_prepared(prep: Prepared, raw: DataFrame, unknown=()) -> DataFrame:
+    """The fitted steps applied to new rows. The dimension, missing-value
+    decisions, dictionary codes (unseen keys -> -1), proximity mode, calendar
+    and feature list come from the fit; only the years of the calendar follow
+    the new rows as well, because it is a calendar, not a learned value.
+    Columns come out in the fitted feature order, plus the label and split
+    key when present."""
+    layout = prep.layout
+    df, _ = clean(raw, layout, unknown, prep.dimension)
+    years = prep.years
+    if years is not None and layout.year in df.columns:
+        years = cut_lineage(years.unionByName(distinct_years(df, layout.year)).distinct(), "years")
+    df = _derived(df, layout, prep.algorithm, prep.policy, prep.dictionaries, years, prep.proximity_mode,
+                  prep.calendar, drop_single_year=False)
     keep = [c for c in (layout.label, layout.split_key) if c and c in df.columns]
     return df.select(*prep.features, *keep)
 
 
-def model_input(prep: Prepared) -> DataFrame:
+def model_input(prep: Prepared, features: list[str] | None = None) -> DataFrame:
     """Assembled rows with the split bucket (0..99) and fold id."""
-    key = split_key_column(prep.frame, prep.layout.split_key)
-    df = (prep.frame.withColumn("__bucket", hash_bucket(key, 100))
-          .withColumn("fold", hash_bucket(key, 3)))
-    return assemble(df, prep.features)
+    return assemble(with_buckets(prep.frame, prep.layout.split_key), features or prep.features)
+
+
+def scaled_parts(prep: Prepared, features: list[str], squares: bool, test_percent: int = TEST_PERCENT):
+    """(scaler, training rows, hold-out rows): only label, fold and scaled
+    vector, with the scaler fitted on the training rows."""
+    data = model_input(prep, features).select(prep.layout.label, "fold", "bucket", "features")
+    scaler = fit_scaler(data.filter(~is_holdout(test_percent)))
+    scaled = scaler.transform(data)
+    if squares:
+        scaled = append_scaled_squares(scaled, features)
+    train, test = (scaled.filter(c).select(prep.layout.label, "fold", "scaledFeatures")
+                   for c in (~is_holdout(test_percent), is_holdout(test_percent)))
+    return scaler, train, test
 
 
 @dataclass
@@ -218,24 +237,24 @@ class Scored:
 
 
 def train_and_score(prep: Prepared, algorithm: str = "lr", grid: Grid = REFERENCE_GRID,
-                    test_percent: int = 1, parallelism: int = 2) -> Scored:
-    data = model_input(prep)
-    train = data.filter(F.col("__bucket") >= test_percent)
-    test = data.filter(F.col("__bucket") < test_percent)
-    scaler = fit_scaler(train)
-    train_s, test_s = scaler.transform(train), scaler.transform(test)
-    names = list(prep.features)
-    if is_linear(algorithm):
-        train_s = append_scaled_squares(train_s, prep.features)
-        test_s = append_scaled_squares(test_s, prep.features)
-        names = squared_feature_names(prep.features)
+                    test_percent: int = TEST_PERCENT, parallelism: int = 2,
+                    features: list[str] | None = None, squares: bool | None = None) -> Scored:
+    """Search, refit and hold-out score. ``features`` and ``squares`` restrict
+    the model; by default it takes all features, and squares when linear."""
+    features = list(features or prep.features)
+    squares = is_linear(algorithm) if squares is None else squares
+    scaler, train, test = scaled_parts(prep, features, squares, test_percent)
+    # every fit reads the training rows, which are three columns
+    train = cut_lineage(train, "train")
     cv = build_search(algorithm, prep.layout.label, grid=grid, parallelism=parallelism)
-    cv_model = cv.fit(train_s)
-    scored = cv_model.transform(test_s)
+    cv_model = cv.fit(train)
+    scored = cv_model.transform(test)
     r = scored.agg(rmse_expr(prep.layout.label, "prediction").alias("rmse"),
                    F.count(F.lit(1)).alias("n")).first()
     n_train = train.count()
-    return Scored(algorithm, cv_model, scaler, r["rmse"], n_train, r["n"], names)
+    drop_cut(train)
+    return Scored(algorithm, cv_model, scaler, r["rmse"], n_train, r["n"],
+                  squared_feature_names(features) if squares else features)
 
 
 @dataclass
@@ -247,11 +266,13 @@ class RunResult:
 
 
 def run(spark: SparkSession, path: str, algorithm: str = "", dimension_path: str | None = None,
-        layout: Layout | None = None, contract=None, grid: Grid = REFERENCE_GRID) -> RunResult:
+        layout: Layout | None = None, contract=None, grid: Grid = REFERENCE_GRID,
+        proximity_mode: str = "nearest", calendar=CORRECTED) -> RunResult:
     """The reference program's three forms in one call: ``(csv)``,
     ``(csv, algorithm)`` and ``(csv, algorithm, dimension csv)``. An empty
     or unknown algorithm means the forest; a failed dimension check leaves
-    the data unchanged and records the reason."""
+    the data unchanged and records the reason. ``proximity_mode="scan"`` with
+    ``calendar=AS_BUILT`` gives the reference's own holiday feature."""
     from arrivo.layout import FLIGHTS
     from arrivo.sources.contract import FLIGHT_CONTRACT, scan_contract
     from arrivo.sources.dimension import read_dimension_csv
@@ -263,7 +284,8 @@ def run(spark: SparkSession, path: str, algorithm: str = "", dimension_path: str
     if dimension_path:
         read = read_dimension_csv(spark, dimension_path)
         dim, reason = read.frame, read.reason
-    prep = prepare(scan.frame, layout, algorithm, unknown=scan.unknown_columns, dimension=dim)
+    prep = prepare(scan.frame, layout, algorithm, unknown=scan.unknown_columns, dimension=dim,
+                   proximity_mode=proximity_mode, calendar=calendar)
     if reason:
         prep.dimension_reason = reason
     scored = train_and_score(prep, algorithm, grid=grid)

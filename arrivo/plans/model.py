@@ -34,23 +34,24 @@ def hash_bucket(key: Column, n: int) -> Column:
 
 
 def split_key_column(df: DataFrame, key: str | None) -> Column:
-    """The split key, or (no key column) a hash of the whole row; rows are
-    distinct after the dedup, so the row hash separates them."""
+    """The split key, or (no key column) a hash of the whole row. Rows that
+    are equal in the prepared frame then share a bucket, so none of them is
+    in both parts."""
     if key:
         return F.col(key)
     return F.xxhash64(*[F.col(c) for c in df.columns])
 
 
-def split_by_key(df: DataFrame, key: str | None, test_percent: int = TEST_PERCENT
-                 ) -> tuple[DataFrame, DataFrame]:
-    """K3 (T17): test = hash bucket of the key mod 100 below test_percent."""
-    b = hash_bucket(split_key_column(df, key), 100)
-    return df.filter(b >= test_percent), df.filter(b < test_percent)
+def with_buckets(df: DataFrame, key: str | None) -> DataFrame:
+    """K3, K9 (T17): ``bucket`` (0 to 99) and ``fold``, repeatable from the
+    key alone."""
+    k = split_key_column(df, key)
+    return df.withColumns({"bucket": hash_bucket(k, 100), "fold": hash_bucket(k, NUM_FOLDS)})
 
 
-def add_folds(df: DataFrame, key: str | None, k: int = NUM_FOLDS, out: str = "fold") -> DataFrame:
-    """K9: repeatable fold ids for CrossValidator.foldCol."""
-    return df.withColumn(out, hash_bucket(split_key_column(df, key), k))
+def is_holdout(test_percent: int = TEST_PERCENT) -> Column:
+    """Whether a row of ``with_buckets`` is kept for the final score."""
+    return F.col("bucket") < test_percent
 
 
 def fit_scaler(train: DataFrame, col: str = "features", out: str = "scaledFeatures"):
@@ -69,6 +70,7 @@ class Grid:
     lr_elastic: tuple = LR_ELASTIC_NET
     rf_depths: tuple = RF_MAX_DEPTHS
     rf_trees: tuple = RF_NUM_TREES
+    bootstrap: bool = True
 
 
 REFERENCE_GRID = Grid()
@@ -87,7 +89,7 @@ def build_search(algorithm: str, label: str, features: str = "scaledFeatures",
     else:
         est = RandomForestRegressor(featuresCol=features, labelCol=label,
                                     featureSubsetStrategy="auto", impurity="variance",
-                                    maxBins=RF_MAX_BINS, seed=seed)
+                                    maxBins=RF_MAX_BINS, seed=seed, bootstrap=grid.bootstrap)
         maps = (ParamGridBuilder().addGrid(est.maxDepth, list(grid.rf_depths))
                 .addGrid(est.numTrees, list(grid.rf_trees)).build())
     evaluator = RegressionEvaluator(metricName="rmse", labelCol=label, predictionCol="prediction")
@@ -114,12 +116,6 @@ def grid_report(spark: SparkSession, cv_model: CrossValidatorModel, algorithm: s
               "avg_rmse double")
 
 
-def rmse(df: DataFrame, label: str, prediction: str = "prediction") -> float:
-    """A6."""
-    return RegressionEvaluator(metricName="rmse", labelCol=label,
-                               predictionCol=prediction).evaluate(df)
-
-
 def rmse_expr(label: str, prediction: str) -> Column:
     """A6 as one aggregate expression."""
     return F.sqrt(F.avg(F.pow(F.col(label) - F.col(prediction), 2)))

@@ -11,6 +11,8 @@ downstream SQL states the resulting column list.
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from arrivo.functions.calendar import CORRECTED
 from arrivo.layout import INTERACTION_NAMES
 from arrivo.sources.tables import TRIP_COLUMNS
@@ -24,11 +26,13 @@ trips AS MATERIALIZED (
     CAST(isodow(l.l_shipdate) AS INTEGER) AS trip_dow,
     s.s_name AS carrier,
     CAST(l.l_partkey AS INTEGER) AS route_num,
-    CAST(l.l_partkey AS VARCHAR) AS vehicle_id,
+    CASE WHEN l.l_linenumber = 6 THEN 'NA' ELSE CAST(l.l_partkey AS VARCHAR) END AS vehicle_id,
     CASE WHEN l.l_linenumber = 7 AND l.l_tax > 0.04 THEN NULL
          ELSE 30 + 10 * l.l_linenumber END AS sched_minutes,
     CASE WHEN o.o_orderkey % 50 = 0 THEN 'NA'
-         ELSE CAST(CAST(trunc(l.l_extendedprice / 1000) AS INTEGER) - 30 AS VARCHAR) END AS arr_delay,
+         ELSE CAST(3 * (CAST(round(100 * l.l_discount) AS INTEGER) - 5) + 4 * CAST(l.l_linenumber AS INTEGER)
+                   + CAST(trunc(l.l_quantity / 2) AS INTEGER) + 2 * CAST(month(l.l_shipdate) AS INTEGER)
+                   + CAST(trunc(l.l_extendedprice / 10000) AS INTEGER) - 40 AS VARCHAR) END AS arr_delay,
     CASE WHEN o.o_orderkey % 25 = 3 THEN 'NA'
          ELSE CAST(CAST(round(100 * l.l_discount) AS INTEGER) - 5 AS VARCHAR) END AS dep_delay,
     CASE WHEN o.o_orderkey % 10 < 4 THEN 'NA' ELSE o.o_orderpriority END AS cancel_code,
@@ -196,7 +200,7 @@ def holiday_scan_sql() -> str:
 
 
 def _dict_cte(name: str, key_sql: str) -> str:
-    return (f"{name} AS (SELECT k, CAST(dense_rank() OVER (ORDER BY k) - 1 AS INTEGER) AS code "
+    return (f"{name} AS (SELECT k, dense_rank() OVER (ORDER BY k) - 1 AS code "
             f"FROM (SELECT DISTINCT k FROM ({key_sql}) WHERE k IS NOT NULL))")
 
 
@@ -221,7 +225,10 @@ def _encoded(columns, dict_name):
 
 DIM = """
 dim AS (SELECT CAST(p_partkey AS VARCHAR) AS tailnum, p_type AS model, p_brand AS engine_type
-        FROM part WHERE p_size > 5 AND p_type IS NOT NULL AND p_brand IS NOT NULL)"""
+        FROM part WHERE p_size % 10 <> 0
+        UNION ALL
+        SELECT CAST(p_partkey AS VARCHAR), p_type || ' II', p_brand
+        FROM part WHERE p_size BETWEEN 41 AND 43)"""
 
 DIM_COLUMNS = [c for c in TRIP_COLUMNS if c != "vehicle_id"] + ["model", "engine_type"]
 
@@ -328,6 +335,102 @@ def standard_scale_sql() -> str:
     return _with(*prepared_ctes(), _stats_cte()) + "\n" + sel
 
 
+# Years in which an as-built rule is a week early (or, being a
+# first occurrence, has no date), as far as the data reaches
+AS_BUILT_EARLY = {
+    "Labor Day": (1991, 1996, 2002), "Thanksgiving": (1991, 1996, 2002), "MLK Day": (1991, 2002),
+    "Presidents' Day": (1994, 2000, 2005), "Boston Marathon": (1997, 2003), "Columbus Day": (1992, 1998),
+}
+
+
+def holiday_calendar_as_built_sql() -> str:
+    """The right rules with two months swapped and Memorial Day left out, and
+    the early years taken from the table."""
+    swapped = {"Labor Day": 10, "Columbus Day": 9}
+    calendar = tuple(replace(r, month=swapped.get(r.name, r.month)) for r in CORRECTED if r.name != "Memorial Day")
+    rows = []
+    for i, (r, e) in enumerate(zip(calendar, _rule_sql("y", calendar))):
+        rule = "Labor Day" if r.name == "Burning Man" else r.name
+        if rule in AS_BUILT_EARLY:
+            early = "NULL" if rule == "Labor Day" else f"CAST({e} - 7 AS DATE)"
+            e = f"CASE WHEN y IN {AS_BUILT_EARLY[rule]} THEN {early} ELSE {e} END"
+        rows.append(f"SELECT y AS year, CAST({i + 1} AS INTEGER) AS holiday_no, {_sql_str(r.name)} AS "
+                    f"holiday_name, {e} AS holiday_date FROM years")
+    return (_with(TRIPS, "years AS (SELECT DISTINCT trip_year AS y FROM trips)") + "\n" + "\nUNION ALL\n".join(rows))
+
+
+def apply_fitted_sql() -> str:
+    """Codes of the trips to the first places, applied to all trips. The
+    policy's decisions are those of all rows (``missing_decisions``); its
+    filters and the codes are restated here."""
+    kept = " AND ".join(_keep(c) for c in FILTERED_COLUMNS if c not in POLICY_DROPS)
+    fit = "(SELECT * FROM c2 WHERE dest < 'NATION_2')"
+    return (_with(
+        TRIPS, DIM, DIM_JOINED.replace("FROM trips t", "FROM (SELECT DISTINCT * FROM trips) t"),
+        f"kept AS (SELECT * FROM joined WHERE cancelled = 0 AND {kept})",
+        _cast_cte("kept", "c1"), "c2 AS MATERIALIZED (SELECT * FROM c1 WHERE arr_delay IS NOT NULL)",
+        _dict_cte("ap", f"SELECT origin AS k FROM {fit} UNION SELECT dest AS k FROM {fit}"),
+        _dict_cte("dm", f"SELECT model AS k FROM {fit}"),
+        holidays_cte("SELECT DISTINCT trip_year AS y FROM c2"), nearest_cte("c2")) + """
+SELECT c2.o_orderkey, c2.arr_delay, coalesce(o.code, -1) AS origin, coalesce(d.code, -1) AS dest, c2.distance,
+       c2.taxi_out, coalesce(dm.code, -1) AS model, p.proximity AS "proximityToHoliday"
+FROM c2 LEFT JOIN ap o ON c2.origin = o.k LEFT JOIN ap d ON c2.dest = d.k LEFT JOIN dm ON c2.model = dm.k
+JOIN prox p ON c2.trip_year = p.trip_year AND c2.trip_month = p.trip_month AND c2.trip_day = p.trip_day""")
+
+
+def _one_feature_ctes(feature: str = "taxi_out") -> str:
+    """x: the scaled feature, y: the label, over training and hold-out rows."""
+    return _with(*prepared_ctes()) + f"""
+, st AS (SELECT avg({feature}) AS m, stddev_samp({feature}) AS s FROM prepared WHERE bucket >= 1)
+, xy AS (SELECT ({feature} - m) / s AS x, arr_delay AS y, bucket,
+                {_bucket('o_orderkey', 3)} AS fold FROM prepared, st)
+, tr AS (SELECT * FROM xy WHERE bucket >= 1)"""
+
+
+def lr_fit_sql() -> str:
+    return _one_feature_ctes() + """
+SELECT round(regr_slope(y, x), 6) AS slope, round(regr_intercept(y, x), 6) AS intercept FROM tr"""
+
+
+def lr_elastic_sql() -> str:
+    """Soft threshold: the ridge part of the penalty is relative to the
+    label's standard deviation, the lasso part is not."""
+    return _one_feature_ctes() + """
+, mo AS (SELECT covar_pop(x, y) AS c, var_pop(x) AS v, stddev_pop(y) AS sy, avg(y) AS my, avg(x) AS mx FROM tr)
+, gr AS (SELECT reg, mix, sign(c) * greatest(abs(c) - reg * mix, 0) / (v + reg * (1 - mix) / sy) AS w, my, mx
+         FROM mo, unnest([0.1, 0.2, 0.3]::DOUBLE[]) a(reg), unnest([0.5, 0.8, 1.0]::DOUBLE[]) b(mix))
+SELECT reg AS reg_param, mix AS elastic_net, round(w, 3) AS slope, round(my - w * mx, 3) AS intercept FROM gr"""
+
+
+def cv_mean_rmse_sql() -> str:
+    return _one_feature_ctes() + """
+, fm AS (SELECT k, avg(y) AS m FROM tr, range(3) r(k) WHERE fold <> k GROUP BY k)
+SELECT round(avg(e), 5) AS avg_rmse
+FROM (SELECT sqrt(avg(power(y - m, 2))) AS e FROM tr JOIN fm ON tr.fold = fm.k GROUP BY fold)"""
+
+
+def rf_stump_sql() -> str:
+    """Best split by the sum of squares within the two sides."""
+    return _with(*prepared_ctes()) + """
+, tr AS (SELECT dep_delay AS x, arr_delay AS y FROM prepared WHERE bucket >= 1)
+, cut AS (SELECT c.x AS point, sum(power(t.y, 2)) FILTER (t.x <= c.x) - power(sum(t.y) FILTER (t.x <= c.x), 2)
+                 / count(*) FILTER (t.x <= c.x)
+               + sum(power(t.y, 2)) FILTER (t.x > c.x) - power(sum(t.y) FILTER (t.x > c.x), 2)
+                 / count(*) FILTER (t.x > c.x) AS sse,
+               avg(t.y) FILTER (t.x <= c.x) AS lo, avg(t.y) FILTER (t.x > c.x) AS hi
+          FROM (SELECT DISTINCT x FROM tr) c, tr t GROUP BY c.x HAVING count(*) FILTER (t.x > c.x) > 0)
+, best AS (SELECT * FROM cut ORDER BY sse, point LIMIT 1)
+SELECT dep_delay, round(CASE WHEN dep_delay <= point THEN lo ELSE hi END, 6) AS prediction
+FROM (SELECT DISTINCT dep_delay FROM prepared), best"""
+
+
+def score_one_feature_sql() -> str:
+    return _one_feature_ctes() + """
+, f AS (SELECT regr_slope(y, x) AS a, regr_intercept(y, x) AS b, count(*) AS n FROM tr)
+SELECT 'linear' AS algorithm, round(sqrt(avg(power(y - a * x - b, 2))), 5) AS rmse,
+       any_value(n) AS train_rows, count(*) AS test_rows FROM xy, f WHERE bucket < 1"""
+
+
 def scaled_squares_sql() -> str:
     names = list(FEATURES) + [f"{f}Squared" for f in FEATURES if "interaction" not in f.lower()]
     scaled = [f"CASE WHEN s{i} = 0 THEN 0.0 ELSE ({f} - m{i}) / s{i} END"
@@ -339,7 +442,7 @@ def scaled_squares_sql() -> str:
         f"SELECT CAST({i} AS INTEGER) AS position, '{n}' AS feature, round(t{i}, 4) + 0.0 AS "
         f"total FROM sums" for i, n in enumerate(names))
     return (_with(*prepared_ctes(), _stats_cte())
-            + f", sums AS (SELECT {sums} FROM prepared, stats WHERE bucket < 1)\n" + sel)
+            + f", sums AS (SELECT {sums} FROM prepared, stats WHERE bucket >= 1)\n" + sel)
 
 
 def rmse_sql() -> str:
@@ -353,8 +456,7 @@ def oracle_sql() -> dict[str, str]:
     a = TRIP_COLUMNS
     return {
         "contract_scan": _with(TRIPS) + "\nSELECT *, cancel_code AS extracode FROM trips",
-        "dedup_rows": _with(TRIPS) + "\nSELECT DISTINCT trip_year, trip_month, carrier, origin, "
-                                     "dest FROM trips",
+        "dedup_rows": _with(TRIPS) + "\nSELECT DISTINCT * FROM trips",
         "drop_and_filter": _with(TRIPS, FILTERED) + "\nSELECT * FROM filtered",
         "missing_profile": missing_profile_sql(),
         "missing_decisions": missing_decisions_sql(),
@@ -382,6 +484,27 @@ FROM trips t LEFT JOIN places po ON t.origin = po.code LEFT JOIN places pd ON t.
         "holiday_calendar": holiday_calendar_sql(),
         "holiday_nearest": holiday_nearest_sql(),
         "holiday_scan": holiday_scan_sql(),
+        "holiday_calendar_as_built": holiday_calendar_as_built_sql(),
+        "dim_join_salted": _with(TRIPS, DIM) + "\nSELECT t.o_orderkey, t.taxi_out, d.model, d.engine_type "
+                                               "FROM trips t JOIN dim d ON t.vehicle_id = d.tailnum",
+        "dim_lookup_salted": _with(TRIPS) + """
+SELECT t.o_orderkey, t.dest, CASE WHEN r.r_name = 'ASIA' THEN 'later' ELSE r.r_name END AS dest_city
+FROM trips t JOIN nation n ON t.dest = n.n_name JOIN region r ON n.n_regionkey = r.r_regionkey""",
+        "encode_one_airport": _with(TRIPS, _dict_cte("ap", "SELECT dest AS k FROM trips"))
+        + "\nSELECT t.o_orderkey, ap.code AS dest, t.taxi_out FROM trips t JOIN ap ON t.dest = ap.k",
+        "encode_salted": _with(TRIPS, _dict_cte("ap", "SELECT origin AS k FROM trips UNION SELECT dest FROM trips"),
+                               _dict_cte("ca", "SELECT carrier AS k FROM trips")) + """
+SELECT t.o_orderkey, ca.code AS carrier, o.code AS origin, d.code AS dest
+FROM trips t JOIN ca ON t.carrier = ca.k JOIN ap o ON t.origin = o.k JOIN ap d ON t.dest = d.k""",
+        "assemble_skips": _with(TRIPS, _cast_cte()) + """
+SELECT o_orderkey, taxi_out, dep_delay, sched_minutes, distance FROM casted
+WHERE dep_delay IS NOT NULL AND sched_minutes IS NOT NULL AND distance IS NOT NULL""",
+        "apply_fitted": apply_fitted_sql(),
+        "lr_fit": lr_fit_sql(),
+        "lr_elastic": lr_elastic_sql(),
+        "cv_mean_rmse": cv_mean_rmse_sql(),
+        "rf_stump": rf_stump_sql(),
+        "score_one_feature": score_one_feature_sql(),
         "interactions": interactions_sql(),
         "squares_columns": squares_columns_sql(),
         "drop_strings": _with(TRIPS, _cast_cte()) + "\nSELECT " + ", ".join(

@@ -8,19 +8,20 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arrivo.functions.calendar import CORRECTED, calendar_frame
+from arrivo.functions.calendar import AS_BUILT, CORRECTED, calendar_frame
 from arrivo.functions.holidays import add_proximity, date_key, distinct_years, row_date
 from arrivo.layout import TRIPS
 from arrivo.operators.clean import (cast_text_columns, dedup_rows, drop_and_filter,
                                     drop_constant, drop_strings, keep_not_cancelled)
 from arrivo.operators.encode import DictSpec, fit_dictionaries
-from arrivo.operators.enrich import enrich_from_csv, lookup
-from arrivo.operators.features import (add_interactions, add_squared_columns,
-                                       append_scaled_squares, squared_feature_names)
+from arrivo.operators.enrich import enrich_from_csv, join_dimension, lookup
+from arrivo.operators.features import (add_interactions, add_squared_columns, assemble,
+                                       squared_feature_names)
 from arrivo.operators.missing import fit_missing_policy, missing_profile
 from arrivo.plans import flow
-from arrivo.plans.model import REFERENCE_GRID, build_search, fit_scaler, grid_report, hash_bucket
-from arrivo.session import scratch_path
+from arrivo.plans.model import (LR_ELASTIC_NET, LR_REG_PARAMS, REFERENCE_GRID, Grid, grid_report,
+                                is_holdout, rmse_expr, with_buckets)
+from arrivo.session import cut_lineage, scratch_path
 from arrivo.sources.contract import scan_contract
 from arrivo.sources.tables import (DIMENSION_HEADER, TRIPS_CONTRACT, place_lookup, trips,
                                    vehicle_dimension)
@@ -29,31 +30,42 @@ L = TRIPS
 
 
 def q_contract_scan(spark: SparkSession, sf: str) -> DataFrame:
-    """Trips written as CSV (with one column outside the contract
-    whose header needs normalising), read back through the contract."""
-    path = scratch_path(spark, "trips") + ".csv"
-    (trips(spark, sf).withColumn("extra-code", F.col("cancel_code"))
-     .write.option("header", True).csv(path))
-    scan = scan_contract(spark, path, TRIPS_CONTRACT, required=(L.cancelled, L.label))
+    """Trips written as two CSV folders with different column orders
+    (and one column outside the contract whose header needs normalising),
+    read back through the contract."""
+    t = trips(spark, sf).withColumn("extra-code", F.col("cancel_code"))
+    halves = [t.filter(F.col("o_orderkey") % 2 == i) for i in (0, 1)]
+    paths = []
+    for half, columns in zip(halves, (t.columns, t.columns[::-1])):
+        paths.append(scratch_path(spark, "trips") + ".csv")
+        half.select(*[F.col(f"`{c}`") for c in columns]).write.option("header", True).csv(paths[-1])
+    scan = scan_contract(spark, paths, TRIPS_CONTRACT, required=(L.cancelled, L.label))
     assert scan.unknown_columns == ("extracode",), scan.unknown_columns
     return scan.frame
 
 
 def q_dedup_rows(spark, sf):
-    return dedup_rows(trips(spark, sf).select("trip_year", "trip_month", "carrier", "origin",
-                                              "dest"))
+    """P1 over whole rows, some of which are repeated."""
+    t = trips(spark, sf)
+    return dedup_rows(t.unionByName(t.filter(F.col(L.taxi_out).isin("1", "4"))))
 
 
 def q_drop_and_filter(spark, sf):
-    return drop_and_filter(trips(spark, sf), L)
+    """An unknown column goes as well."""
+    return drop_and_filter(trips(spark, sf).withColumn("extracode", F.col("carrier")), L, ("extracode",))
 
 
 def q_missing_profile(spark, sf):
     return missing_profile(trips(spark, sf))
 
 
+def _cut_trips(spark, sf):
+    """Trips as a written table, for queries that fit and then transform."""
+    return cut_lineage(trips(spark, sf), "trips")
+
+
 def _filtered(spark, sf):
-    return drop_and_filter(trips(spark, sf), L)
+    return cut_lineage(drop_and_filter(trips(spark, sf), L), "filtered")
 
 
 def q_missing_decisions(spark, sf):
@@ -92,6 +104,22 @@ def q_dim_join(spark, sf):
     return enr.frame
 
 
+def q_dim_join_salted(spark, sf):
+    """J1 beyond the broadcast limit: hot keys are salted."""
+    t = trips(spark, sf).select("o_orderkey", L.vehicle, L.taxi_out)
+    return join_dimension(t, vehicle_dimension(spark, sf), L.vehicle, L.dim_key, (L.dim_model, L.dim_engine),
+                          broadcast_limit=0, partitions=128).frame
+
+
+def q_dim_lookup_salted(spark, sf):
+    """S10 beyond the broadcast limit, and the last of repeated codes."""
+    t = trips(spark, sf).select("o_orderkey", "dest")
+    places = place_lookup(spark, sf)
+    twice = places.select("code", "city", F.lit(1).alias("no")).unionByName(
+        places.filter(F.col("city") == "ASIA").select("code", F.lit("later").alias("city"), F.lit(2).alias("no")))
+    return lookup(t, "dest", twice, "dest_city", duplicates="last", order="no", broadcast_limit=0, partitions=128)
+
+
 def q_dim_lookup(spark, sf):
     t = trips(spark, sf).select("o_orderkey", "trip_year", "origin", "dest")
     places = place_lookup(spark, sf)
@@ -107,7 +135,7 @@ def q_category_keys(spark, sf):
 
 
 def _encode(spark, sf, spec):
-    t = trips(spark, sf)
+    t = _cut_trips(spark, sf)
     return fit_dictionaries(t, [spec]).transform(t)
 
 
@@ -119,12 +147,25 @@ def q_encode_single(spark, sf):
     return _encode(spark, sf, DictSpec("carrier", (L.carrier,)))
 
 
+def q_encode_one_airport(spark, sf):
+    """E1 where only one of the two airport columns is present."""
+    t = _cut_trips(spark, sf).drop(L.origin)
+    return fit_dictionaries(t, [AIRPORT]).transform(t).select("o_orderkey", L.dest, L.taxi_out)
+
+
+def q_encode_salted(spark, sf):
+    """J3 beyond the broadcast limit: hot carriers are salted."""
+    t = _cut_trips(spark, sf).select("o_orderkey", L.carrier, L.origin, L.dest)
+    return fit_dictionaries(t, [AIRPORT, DictSpec("carrier", (L.carrier,))], broadcast_limit=0,
+                            partitions=128).transform(t)
+
+
 def q_encode_int_key(spark, sf):
     return _encode(spark, sf, DictSpec("route", (L.route,)))
 
 
 def q_encode_dim(spark, sf):
-    df = q_dim_join(spark, sf)
+    df = cut_lineage(q_dim_join(spark, sf), "joined")
     return fit_dictionaries(df, [DictSpec("model", (L.dim_model,)),
                                  DictSpec("engine_type", (L.dim_engine,))]).transform(df)
 
@@ -134,10 +175,15 @@ def q_holiday_calendar(spark, sf):
     return calendar_frame(years, L.year, CORRECTED)
 
 
+def q_holiday_calendar_as_built(spark, sf):
+    """The as-built rules; dates they cannot give are null."""
+    years = distinct_years(trips(spark, sf), L.year)
+    return calendar_frame(years, "year", AS_BUILT)
+
+
 def _proximity(spark, sf, mode):
-    t = trips(spark, sf).select(L.year, L.month, L.day)
-    return add_proximity(t, L.year, L.month, L.day, "proximity", mode=mode,
-                         years=distinct_years(t, L.year), drop_single_year=False)
+    t = cut_lineage(trips(spark, sf).select(L.year, L.month, L.day), "dates")
+    return add_proximity(t, L.year, L.month, L.day, "proximity", mode=mode, drop_single_year=False)
 
 
 def q_holiday_nearest(spark, sf):
@@ -149,7 +195,7 @@ def q_holiday_scan(spark, sf):
 
 
 def _interactions(spark, sf):
-    t = cast_text_columns(trips(spark, sf), L.text_to_int)
+    t = cast_text_columns(_cut_trips(spark, sf), L.text_to_int)
     t = fit_dictionaries(t, [AIRPORT]).transform(t)
     return add_interactions(t, L).select(
         "o_orderkey", L.label, L.month, L.day, L.dep_delay, L.taxi_out, L.origin, L.dest,
@@ -185,29 +231,36 @@ def q_assemble(spark, sf):
                        *[arr[i].alias(f) for i, f in enumerate(prep.features)])
 
 
-def q_hash_split(spark, sf):
-    orders = trips(spark, sf).select("o_orderkey").distinct()
-    b = hash_bucket(F.col("o_orderkey"), 100)
-    return orders.select("o_orderkey", b.alias("bucket"),
-                         F.when(b < 1, "test").otherwise("train").alias("split"))
+def q_assemble_skips(spark, sf):
+    """rows with a null feature (a text that is no number, a missing
+    schedule) are skipped."""
+    t = cast_text_columns(trips(spark, sf), L.text_to_int)
+    out = assemble(t, [L.dep_delay, "sched_minutes", "distance"])
+    return out.select("o_orderkey", L.taxi_out, L.dep_delay, "sched_minutes", "distance")
 
 
-def q_cv_folds(spark, sf):
-    orders = trips(spark, sf).select("o_orderkey").distinct()
-    return (orders.filter(hash_bucket(F.col("o_orderkey"), 100) >= 1)
-            .select("o_orderkey", hash_bucket(F.col("o_orderkey"), 3).alias("fold")))
+def q_apply_fitted(spark, sf):
+    """A preparation fitted on trips to the first places,
+    with the dimension, applied to all trips; unseen keys get -1."""
+    t = _cut_trips(spark, sf)
+    prep = flow.prepare(t.filter(F.col(L.dest) < "NATION_2"), L, "lr", dimension=vehicle_dimension(spark, sf))
+    return flow.apply_prepared(prep, t).select(
+        "o_orderkey", L.label, L.origin, L.dest, "distance", L.taxi_out, L.dim_model, L.proximity)
 
 
-def _scaled(spark, sf):
-    prep = _prepared(spark, sf)
-    data = flow.model_input(prep)
-    train = data.filter(F.col("__bucket") >= 1)
-    test = data.filter(F.col("__bucket") < 1)
-    return prep, fit_scaler(train), train, test
+def q_hash_split(spark, sf):
+    orders = with_buckets(trips(spark, sf).select("o_orderkey").distinct(), "o_orderkey")
+    return orders.select("o_orderkey", "bucket", F.when(is_holdout(), "test").otherwise("train").alias("split"))
+
+
+def q_cv_folds(spark, sf):
+    orders = with_buckets(trips(spark, sf).select("o_orderkey").distinct(), "o_orderkey")
+    return orders.filter(~is_holdout()).select("o_orderkey", "fold")
 
 
 def q_standard_scale(spark, sf):
-    prep, scaler, _, _ = _scaled(spark, sf)
+    prep = _prepared(spark, sf)
+    scaler, _, _ = flow.scaled_parts(prep, prep.features, squares=False)
     rows = [(i, f, float(m), float(s)) for i, (f, m, s) in
             enumerate(zip(prep.features, scaler.mean.toArray(), scaler.std.toArray()))]
     df = spark.createDataFrame(rows, "position int, feature string, mean double, std double")
@@ -216,11 +269,12 @@ def q_standard_scale(spark, sf):
 
 
 def q_scaled_squares(spark, sf):
-    prep, scaler, _, test = _scaled(spark, sf)
-    sq = append_scaled_squares(scaler.transform(test), prep.features)
+    """E12 on the training rows."""
+    prep = _prepared(spark, sf)
+    _, train, _ = flow.scaled_parts(prep, prep.features, squares=True)
     names = squared_feature_names(prep.features)
     arr = vector_to_array(F.col("scaledFeatures"))
-    sums = sq.agg(*[F.sum(arr[i]).alias(f"s{i}") for i in range(len(names))])
+    sums = train.agg(*[F.sum(arr[i]).alias(f"s{i}") for i in range(len(names))])
     stack = ", ".join(f"{i}, '{n}', s{i}" for i, n in enumerate(names))
     return sums.selectExpr(f"stack({len(names)}, {stack}) AS (position, feature, total)") \
         .select("position", "feature", (F.round("total", 4) + F.lit(0.0)).alias("total"))
@@ -229,25 +283,67 @@ def q_scaled_squares(spark, sf):
 def q_rmse(spark, sf):
     """A6 with a mean predictor: the training mean of the label scored on
     the hold-out rows."""
+    data = flow.model_input(_prepared(spark, sf))
+    mean = data.filter(~is_holdout()).agg(F.avg(L.label)).first()[0]
+    return data.filter(is_holdout()).withColumn("prediction", F.lit(mean)).agg(
+        F.round(rmse_expr(L.label, "prediction"), 6).alias("rmse"), F.count(F.lit(1)).alias("test_rows"))
+
+
+def _scored(spark, sf, algorithm, grid=REFERENCE_GRID, **options):
+    prep = _prepared(spark, sf, algorithm)
+    scored = flow.train_and_score(prep, algorithm, grid=grid, **options)
+    prep.close()
+    return scored
+
+
+#: One linear feature, squares off, no penalty: plain least squares.
+ONE = {"features": [L.taxi_out], "squares": False}
+PLAIN = Grid(lr_reg=(0.0,), lr_elastic=(0.0,))
+
+
+def q_lr_fit(spark, sf):
+    """K5: slope and intercept of least squares on one scaled feature."""
+    model = _scored(spark, sf, "lr", PLAIN, **ONE).cv_model.bestModel
+    return spark.createDataFrame([(round(float(model.coefficients[0]), 6), round(float(model.intercept), 6))],
+                                 "slope double, intercept double")
+
+
+def q_lr_elastic(spark, sf):
+    """K5, K6: the coefficient of one scaled feature at each grid point."""
+    rows = []
     prep = _prepared(spark, sf)
-    data = flow.model_input(prep)
-    mean = data.filter(F.col("__bucket") >= 1).agg(F.avg(L.label)).first()[0]
-    test = data.filter(F.col("__bucket") < 1)
-    return test.agg(
-        F.round(F.sqrt(F.avg(F.pow(F.col(L.label) - F.lit(mean), 2))), 6).alias("rmse"),
-        F.count(F.lit(1)).alias("test_rows"))
+    for reg in LR_REG_PARAMS:
+        for mix in LR_ELASTIC_NET:
+            model = flow.train_and_score(prep, "lr", Grid(lr_reg=(reg,), lr_elastic=(mix,)), **ONE).cv_model.bestModel
+            rows.append((reg, mix, round(float(model.coefficients[0]), 3), round(float(model.intercept), 3)))
+    prep.close()
+    return spark.createDataFrame(rows, "reg_param double, elastic_net double, slope double, intercept double")
+
+
+def q_cv_mean_rmse(spark, sf):
+    """K9: a penalty so large that each fold predicts its training mean."""
+    scored = _scored(spark, sf, "lr", Grid(lr_reg=(1e6,), lr_elastic=(1.0,)), **ONE)
+    return grid_report(spark, scored.cv_model, "lr").select(F.round("avg_rmse", 5).alias("avg_rmse"))
+
+
+def q_rf_stump(spark, sf):
+    """K7: one tree of depth 1 on all rows of one feature is the best split."""
+    prep = _prepared(spark, sf, "rf")
+    grid = Grid(rf_depths=(1,), rf_trees=(1,), bootstrap=False)
+    scored = flow.train_and_score(prep, "rf", grid, features=[L.dep_delay])
+    values = flow.model_input(prep, [L.dep_delay]).select(L.dep_delay, "features").dropDuplicates([L.dep_delay])
+    out = scored.cv_model.transform(scored.scaler.transform(values))
+    return out.select(L.dep_delay, F.round("prediction", 6).alias("prediction"))
+
+
+def q_score_one_feature(spark, sf):
+    """Hold-out score of least squares on one feature."""
+    m = _scored(spark, sf, "lr", PLAIN, **ONE).metrics(spark)
+    return m.withColumn("rmse", F.round("rmse", 5))
 
 
 def _grid(spark, sf, algorithm):
-    prep = _prepared(spark, sf, algorithm)
-    data = flow.model_input(prep)
-    train = data.filter(F.col("__bucket") >= 1)
-    scaler = fit_scaler(train)
-    train_s = scaler.transform(train)
-    if algorithm == "lr":
-        train_s = append_scaled_squares(train_s, prep.features)
-    cv_model = build_search(algorithm, L.label, grid=REFERENCE_GRID).fit(train_s)
-    return grid_report(spark, cv_model, algorithm)
+    return grid_report(spark, _scored(spark, sf, algorithm).cv_model, algorithm)
 
 
 def q_lr_grid_cv(spark, sf):
@@ -260,8 +356,7 @@ def q_rf_grid_cv(spark, sf):
 
 def q_score_holdout(spark, sf):
     """The whole program, linear algorithm."""
-    prep = _prepared(spark, sf, "lr")
-    return flow.train_and_score(prep, "lr").metrics(spark)
+    return _scored(spark, sf, "lr").metrics(spark)
 
 
 QUERIES = {
@@ -274,13 +369,18 @@ QUERIES = {
     "cast_text_to_int": q_cast_text_to_int,
     "date_key": q_date_key,
     "dim_join": q_dim_join,
+    "dim_join_salted": q_dim_join_salted,
     "dim_lookup": q_dim_lookup,
+    "dim_lookup_salted": q_dim_lookup_salted,
     "category_keys": q_category_keys,
     "encode_shared": q_encode_shared,
     "encode_single": q_encode_single,
+    "encode_one_airport": q_encode_one_airport,
+    "encode_salted": q_encode_salted,
     "encode_int_key": q_encode_int_key,
     "encode_dim": q_encode_dim,
     "holiday_calendar": q_holiday_calendar,
+    "holiday_calendar_as_built": q_holiday_calendar_as_built,
     "holiday_nearest": q_holiday_nearest,
     "holiday_scan": q_holiday_scan,
     "interactions": q_interactions,
@@ -288,11 +388,18 @@ QUERIES = {
     "drop_strings": q_drop_strings,
     "drop_constant": q_drop_constant,
     "assemble": q_assemble,
+    "assemble_skips": q_assemble_skips,
+    "apply_fitted": q_apply_fitted,
     "hash_split": q_hash_split,
     "cv_folds": q_cv_folds,
     "standard_scale": q_standard_scale,
     "scaled_squares": q_scaled_squares,
     "rmse": q_rmse,
+    "lr_fit": q_lr_fit,
+    "lr_elastic": q_lr_elastic,
+    "cv_mean_rmse": q_cv_mean_rmse,
+    "rf_stump": q_rf_stump,
+    "score_one_feature": q_score_one_feature,
     "lr_grid_cv": q_lr_grid_cv,
     "rf_grid_cv": q_rf_grid_cv,
     "score_holdout": q_score_holdout,

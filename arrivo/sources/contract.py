@@ -3,7 +3,11 @@
 The header is read through Spark (so any Spark path works), split with a
 quote-aware CSV parser, and each name is stripped of non-word characters.
 Known names get their contract type, unknown names become strings and are
-flagged for removal. The schema is applied by position with header=true.
+flagged for removal. The schema is applied by position, and every file's own
+header is compared with it where the file is read: a file of a folder whose
+header differs fails the scan instead of being read wrongly. Inputs with
+different column orders are given as several paths, which are aligned by
+name.
 """
 
 from __future__ import annotations
@@ -76,17 +80,19 @@ def check_extension(path: str) -> None:
         raise ContractError(f"file format is not supported, use .csv: {path}")
 
 
-def read_header(spark: SparkSession, path: str) -> tuple[str, ...]:
-    """First line of the input, split quote-aware, names normalised.
-
-    One tiny job: the first line of the first split of the largest file,
-    which always starts at offset 0 and therefore is a header line.
-    """
+def raw_header(spark: SparkSession, path: str) -> tuple[str, ...]:
+    """Names of the first line of the input, split quote-aware, as
+    written. One tiny job: the first line of the first split of the largest
+    file, which always starts at offset 0 and therefore is a header line."""
     first = spark.read.text(path).limit(1).collect()
     if not first or not first[0][0] or not first[0][0].strip():
         raise ContractError(f"input has no header line: {path}")
-    names = next(csv.reader([first[0][0]]))
-    return tuple(normalise_name(n) for n in names)
+    return tuple(next(csv.reader([first[0][0]])))
+
+
+def read_header(spark: SparkSession, path: str) -> tuple[str, ...]:
+    """The header's names, normalised."""
+    return tuple(normalise_name(n) for n in raw_header(spark, path))
 
 
 def contract_schema(header: tuple[str, ...], contract: dict[str, T.DataType]
@@ -116,24 +122,42 @@ def column_exists(df: DataFrame, name: str) -> bool:
     return len(hits) == 1
 
 
-def scan_contract(spark: SparkSession, path: str,
-                  contract: dict[str, T.DataType] = FLIGHT_CONTRACT,
-                  required: tuple[str, ...] = FLIGHT_REQUIRED,
-                  check_empty: bool = True) -> ScanResult:
-    """Typed scan of a CSV file or folder of CSV files.
+def checked_csv(spark: SparkSession, path: str, raw: tuple[str, ...], schema: T.StructType) -> DataFrame:
+    """CSV file or folder read by position with ``schema``; every file must
+    have the header ``raw``.
 
     PERMISSIVE mode: a bad integer becomes null, short rows are padded with
     null, long rows are cut."""
+    as_written = T.StructType([T.StructField(n, f.dataType, True) for n, f in zip(raw, schema)])
+    frame = (spark.read.schema(as_written).option("header", True).option("enforceSchema", False)
+             .option("mode", "PERMISSIVE").csv(path))
+    return frame.toDF(*schema.names)
+
+
+def _scan_one(spark, path, contract, required) -> ScanResult:
     check_extension(path)
-    header = read_header(spark, path)
+    raw = raw_header(spark, path)
+    header = tuple(normalise_name(n) for n in raw)
     schema, unknown = contract_schema(header, contract)
-    missing = [r for r in required if r not in header]
+    probe = spark.createDataFrame([], schema)
+    missing = [r for r in required if not column_exists(probe, r)]
     if missing:
         raise ContractError(f"required columns missing: {missing}")
-    frame = (spark.read.schema(schema)
-             .option("header", True)
-             .option("mode", "PERMISSIVE")
-             .csv(path))
+    return ScanResult(checked_csv(spark, path, raw, schema), unknown, header)
+
+
+def scan_contract(spark: SparkSession, path: str | list[str],
+                  contract: dict[str, T.DataType] = FLIGHT_CONTRACT,
+                  required: tuple[str, ...] = FLIGHT_REQUIRED,
+                  check_empty: bool = True) -> ScanResult:
+    """Typed scan of a CSV file or folder, or of several
+    whose columns are the same in any order."""
+    first, *more = [_scan_one(spark, p, contract, required) for p in ([path] if isinstance(path, str) else path)]
+    frame = first.frame
+    for other in more:
+        if sorted(other.header) != sorted(first.header):
+            raise ContractError(f"inputs differ in their columns: {first.header}, {other.header}")
+        frame = frame.unionByName(other.frame)
     if check_empty and frame.isEmpty():
         raise ContractError(f"input holds no rows: {path}")
-    return ScanResult(frame, unknown, header)
+    return ScanResult(frame, first.unknown_columns, first.header)

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
 
-from arrivo.sources.contract import ContractError, check_extension, read_header
+from arrivo.sources.contract import ContractError, check_extension, checked_csv, normalise_name, raw_header
 from arrivo.sources.tables import DIMENSION_HEADER
 
 
@@ -30,7 +30,8 @@ def read_dimension_csv(spark: SparkSession, path: str,
     except ContractError as e:
         return DimensionRead(None, str(e))
     try:
-        names = read_header(spark, path)
+        raw = raw_header(spark, path)
+        names = tuple(normalise_name(n) for n in raw)
     except ContractError as e:
         return DimensionRead(None, str(e))
     except AnalysisException as e:                      # missing or unreadable path
@@ -40,5 +41,5 @@ def read_dimension_csv(spark: SparkSession, path: str,
     schema = T.StructType(
         [T.StructField(n, T.StringType(), True) for n in header]
         + [T.StructField(n, T.StringType(), True) for n in names[len(header):]])
-    frame = spark.read.schema(schema).option("header", True).csv(path)
+    frame = checked_csv(spark, path, raw, schema)
     return DimensionRead(frame.select(*header), None)

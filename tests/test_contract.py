@@ -63,3 +63,34 @@ def test_column_exists(spark):
     df = spark.createDataFrame([(1, 2)], "Year int, DepDelay int")
     assert column_exists(df, "year") and column_exists(df, "DEPDELAY")
     assert not column_exists(df, "Month")
+
+
+def test_folder_with_mixed_headers_is_rejected(spark, tmp_path):
+    folder = tmp_path / "mixed.csv"
+    folder.mkdir()
+    (folder / "a.csv").write_text("Year,Cancelled,DepDelay\n2008,0,5\n")
+    (folder / "b.csv").write_text("Cancelled,Year,DepDelay\n0,2008,9\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        scan_contract(spark, str(folder), CONTRACT, required=()).frame.collect()
+
+
+def test_inputs_in_any_column_order_are_aligned(spark, tmp_path):
+    a = write(tmp_path, "a.csv", "Year,Cancelled,DepDelay\n2008,0,5\n")
+    b = write(tmp_path, "b.csv", "Cancelled,Year,Dep-Delay\n1,2009,9\n")
+    got = scan_contract(spark, [a, b], CONTRACT, required=("cancelled",)).frame
+    assert sorted(tuple(r) for r in got.collect()) == [(2008, 0, "5"), (2009, 1, "9")]
+    c = write(tmp_path, "c.csv", "Cancelled,Year\n1,2009\n")
+    with pytest.raises(ContractError):
+        scan_contract(spark, [a, c], CONTRACT, required=())
+
+
+def test_dimension_folder_with_mixed_headers_is_rejected(spark, tmp_path):
+    from arrivo.sources.dimension import read_dimension_csv
+    from arrivo.sources.tables import DIMENSION_HEADER
+    folder = tmp_path / "dim.csv"
+    folder.mkdir()
+    (folder / "a.csv").write_text(",".join(DIMENSION_HEADER) + "\n" + ",".join("abcdefghi") + "\n")
+    (folder / "b.csv").write_text(",".join(DIMENSION_HEADER[::-1]) + "\n" + ",".join("abcdefghi") + "\n")
+    read = read_dimension_csv(spark, str(folder))
+    with pytest.raises(Exception, match="(?i)header"):
+        raise ValueError(read.reason) if read.frame is None else ValueError(read.frame.collect())

@@ -64,21 +64,42 @@ def test_lookup_policies(spark):
     from arrivo.operators.enrich import DuplicateKeyError
     with pytest.raises(DuplicateKeyError):
         lookup(f, "code_col", d, "city_out")
-    first = sorted(tuple(r) for r in lookup(f, "code_col", d, "c", duplicates="first").collect())
+    first = sorted(tuple(r) for r in lookup(f, "code_col", d, "c", duplicates="smallest").collect())
     assert first == [("A", "x"), ("B", "w"), ("Z", None)]
     assert lookup(f, "code_col", d, "c", duplicates="all").count() == 4
+    numbered = d.withColumn("no", (d.city == "w").cast("int"))
+    for limit in (None, 0):
+        last = lookup(f, "code_col", numbered, "c", duplicates="last", order="no", broadcast_limit=limit)
+        assert sorted(tuple(r) for r in last.collect()) == [("A", "x"), ("B", "w"), ("Z", None)]
 
 
 def test_join_dimension_salted_hot_key(spark):
-    # N1 holds far more than 5 % of the fact rows; the dimension is forced off
+    # N1 holds 60 % of the fact rows, all equal; the dimension is forced off
     # broadcast, so the hot key is salted. Repeated dimension keys still multiply.
-    rows = [("N1", i) for i in range(300)] + [(f"K{i}", i) for i in range(200)]
+    rows = [("N1", 1)] * 300 + [(f"K{i}", i) for i in range(200)]
     f = spark.createDataFrame(rows, "TailNum string, v int")
     d = spark.createDataFrame([("N1", "A", "T"), ("N1", "A2", "T"), ("K7", "B", "U")],
                               "tailnum string, model string, engine_type string")
-    res = join_dimension(f, d, "TailNum", broadcast_limit=0)
+    res = join_dimension(f.repartition(6), d, "TailNum", broadcast_limit=0, partitions=16)
     assert sorted(res.frame.columns) == ["engine_type", "model", "v"]
     got = res.frame.groupBy("model").count().collect()
     assert {r["model"]: r["count"] for r in got} == {"A": 300, "A2": 300, "B": 1}
     plan = res.frame._jdf.queryExecution().optimizedPlan().toString()
     assert "__salt" in plan
+
+
+def test_key_of_three_percent_is_salted(spark):
+    from pyspark.sql import functions as F
+
+    from arrivo.operators.joins import hot_keys, salted_join
+    big = spark.range(10_000).select(F.when(F.col("id") < 300, "hot").otherwise(
+        F.concat(F.lit("k"), F.col("id").cast("string"))).alias("k"), F.lit(1).alias("v"))
+    freq = big.groupBy("k").count()
+    assert hot_keys(freq, "k", "count", 10_000, 200) == ["hot"]
+    assert hot_keys(freq, "k", "count", 10_000, 20) == []
+    small = big.select(F.col("k").alias("key")).distinct()
+    out = salted_join(big, F.col("k"), small, "key", ["hot"], 200, "left")
+    assert out.count() == 10_000 and out.columns == ["k", "v", "key"]
+    dealt = big.repartition(8).withColumn("s", F.pmod(F.xxhash64("k", "v") + F.spark_partition_id(), F.lit(200)))
+    per = [r["count"] for r in dealt.filter("k = 'hot'").groupBy("s").count().collect()]
+    assert len(per) == 8 and max(per) <= 80  # equal rows are spread over the partitions they come from

@@ -1,6 +1,5 @@
 import datetime as dt
 
-import pytest
 from pyspark.sql import functions as F
 
 from arrivo.functions.calendar import AS_BUILT, CORRECTED, calendar_frame
@@ -15,7 +14,7 @@ CORR_2013 = ("01-29 07-04 08-27 10-31 12-31 12-25 11-11 06-19 04-04 02-03 04-14
 def cal(spark, year, calendar=CORRECTED):
     years = spark.createDataFrame([(year,)], "y int")
     rows = calendar_frame(years, "y", calendar).orderBy("holiday_no").collect()
-    return [r["holiday_date"].strftime("%m-%d") for r in rows]
+    return [r["holiday_date"] and r["holiday_date"].strftime("%m-%d") for r in rows]
 
 
 def test_corrected_calendar(spark):
@@ -29,9 +28,10 @@ def test_as_built_errors(spark):
     assert got["Boston Marathon"] == "04-14"
     y2009 = dict(zip([r.name for r in AS_BUILT], cal(spark, 2009, AS_BUILT)))
     assert y2009["Columbus Day"] == "09-07"      # "2nd Monday of September", one week early
-    for crash_year in (1996, 2013):              # day 0: the job dies
-        with pytest.raises(Exception):
-            cal(spark, crash_year, AS_BUILT)
+    for year in (1996, 2013):                    # a first occurrence has no date there
+        y = dict(zip([r.name for r in AS_BUILT], cal(spark, year, AS_BUILT)))
+        assert y["Labor Day"] is None and y["Burning Man"] is None
+        assert y["Thanksgiving"] == "11-21"
 
 
 PROX = [("2008-01-01", 20, 20), ("2008-01-20", 1, 1), ("2008-01-22", -1, -1),
@@ -58,7 +58,7 @@ def test_proximity_modes(spark):
 def test_scan_year_order(spark):
     df = dates(spark, ["2008-07-03"])
     a = add_proximity(df, "Year", "Month", "DayofMonth", "p", "scan", AS_BUILT,
-                      years=[2007, 2008]).collect()[0]["p"]
+                      years=spark.createDataFrame([(2007,), (2008,)], "year int")).collect()[0]["p"]
     assert a == -521
 
 
@@ -81,3 +81,12 @@ def test_date_key(spark):
     df = spark.createDataFrame([(2008, 1, 5), (2008, None, 5)], "y int, m int, d int")
     got = [r[0] for r in df.select(date_key(F.col("y"), F.col("m"), F.col("d"))).collect()]
     assert got == ["5-1-2008", None]
+
+
+def test_dirty_years_and_impossible_dates(spark):
+    rows = [(2008, 1, 29), (0, 1, 1), (-5, 1, 1), (123456, 1, 1), (None, 1, 1), (2008, 2, 31), (2008, 13, 1)]
+    df = spark.createDataFrame(rows, "Year int, Month int, DayofMonth int")
+    for mode in ("nearest", "scan"):
+        out = add_proximity(df, "Year", "Month", "DayofMonth", "p", mode, drop_single_year=False).collect()
+        assert len(out) == len(rows)
+        assert [r["p"] for r in out if r["p"] is not None] == [0]

@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from arrivo.operators.missing import (DROP_COLUMN, DROP_ROWS, PolicyError, _fit_sequential,
+from arrivo.operators.missing import (DROP_COLUMN, DROP_ROWS, PolicyError,
                                       fit_missing_policy, missing_profile)
 
 
@@ -62,31 +62,47 @@ def test_m5_label_never_dropped(spark):
         fit_missing_policy(df, protected=("lbl",))
 
 
+def sequential(df, strings):
+    """The ordered rule on the data itself, one column after another."""
+    decisions = []
+    for i, c in enumerate(df.columns):
+        bad = (F.col(c) == "NA") if c in strings else F.col(c).isNull()
+        seen, missing = df.count(), df.filter(bad).count()
+        drop = seen > 0 and 10 * missing >= 3 * seen
+        if not drop:
+            df = df.filter((F.col(c) != "NA") if c in strings else F.col(c).isNotNull())
+        decisions.append((i, c, seen, missing, DROP_COLUMN if drop else DROP_ROWS))
+    return decisions, df.count()
+
+
 def test_histogram_equals_sequential(spark):
     rnd = random.Random(7)
-    for case in range(6):
+    for case in range(4):
         n = rnd.randint(5, 40)
         rows = []
         for _ in range(n):
             rows.append((rnd.choice(["NA", None, "x", "y"]), rnd.choice([None, 1, 2]),
                          rnd.choice(["NA", "z", "z", None])))
         df = spark.createDataFrame(rows, "a string, b int, c string")
-        try:
-            hist = fit_missing_policy(df)
-        except PolicyError:
+        want, left = sequential(df, {"a", "c"})
+        if left == 0:
             with pytest.raises(PolicyError):
-                _fit_sequential(df, df.columns, frozenset({"a", "c"}), ())
+                fit_missing_policy(df)
             continue
-        seq = _fit_sequential(df, df.columns, frozenset({"a", "c"}), ())
-        assert hist.decisions == seq.decisions
-        assert hist.transform(df).count() == seq.rows_left == hist.rows_left
-
-
-def test_histogram_limit_fallback(spark):
-    df = frame(spark, ["NA", "x", None, "y"], [None, 1, 2, 3])
-    a = fit_missing_policy(df, histogram_limit=1)
-    b = fit_missing_policy(df)
-    assert a.decisions == b.decisions
+        hist = fit_missing_policy(df)
+        assert [(d.position, d.column_name, d.rows_seen, d.missing, d.action) for d in hist.decisions] == want
+        assert hist.transform(df).count() == left == hist.rows_left
+
+
+def test_distinct_pattern_per_row(spark):
+    # every row has its own status pattern, so the histogram is as long as the data
+    names = [f"c{i}" for i in range(7)]
+    rows = [tuple(None if n >> i & 1 else n for i in range(7)) for n in range(128)] + [(1,) * 7] * 300
+    df = spark.createDataFrame(rows, ", ".join(f"{n} int" for n in names))
+    want, left = sequential(df, set())
+    got = fit_missing_policy(df)
+    assert [(d.position, d.column_name, d.rows_seen, d.missing, d.action) for d in got.decisions] == want
+    assert got.rows_left == left
 
 
 def test_profile(spark):

@@ -36,6 +36,23 @@ def test_prepared_plan_has_no_python(spark):
     assert TRIPS.label not in prep.features and "o_orderkey" not in prep.features
 
 
+def test_prepared_frame_is_a_pruned_scan_and_is_deleted(spark):
+    import os
+    prep = flow.prepare(trips(spark, SF_SMALL), TRIPS, "lr")
+    txt = plan_of(prep.frame.filter("distance > 5").select("distance"))
+    assert "ReadSchema: struct<distance:int>" in txt and "PushedFilters: [IsNotNull(distance)" in txt
+    paths = [f.removeprefix("file://") for df in [*prep.written, prep.dictionaries.codes] for f in df.inputFiles()]
+    assert paths and all(os.path.exists(p) for p in paths)
+    prep.close()
+    assert not any(os.path.exists(os.path.dirname(p)) for p in paths)
+
+
+def test_search_reads_three_columns(spark):
+    prep = flow.prepare(trips(spark, SF_SMALL), TRIPS, "lr")
+    _, train, test = flow.scaled_parts(prep, prep.features, True)
+    assert train.columns == test.columns == [TRIPS.label, "fold", "scaledFeatures"]
+
+
 def test_trips_shuffles_lineitem_side_twice_at_scale(spark):
     # emulate large tables: no size-based broadcast, no runtime re-plan
     old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold",
@@ -48,8 +65,9 @@ def test_trips_shuffles_lineitem_side_twice_at_scale(spark):
         for k, v in old.items():
             spark.conf.set(k, v)
     assert p.count("hashpartitioning(l_") == 2
-    # the 25-row nation table is broadcast whatever the threshold
-    assert "hashpartitioning(n_nationkey" not in p and "hashpartitioning(c_nationkey" not in p
+    small = plan_of(trips(spark, SF_SMALL))
+    # with the default threshold the 25-row nation table is broadcast
+    assert "hashpartitioning(n_nationkey" not in small and "hashpartitioning(c_nationkey" not in small
 
 
 def test_dedup_of_a_hot_row_is_exact_and_pre_aggregated(spark):

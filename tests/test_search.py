@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from arrivo.layout import TRIPS
 from arrivo.plans import flow
-from arrivo.plans.model import LR_ELASTIC_NET, LR_REG_PARAMS, Grid, grid_report
+from arrivo.plans.model import LR_ELASTIC_NET, LR_REG_PARAMS, Grid, grid_report, is_holdout
 from arrivo.sources.tables import trips
 
 from conftest import SF_SMALL
@@ -27,7 +27,7 @@ def test_linear_search_and_holdout(spark):
 
     # recompute the hold-out RMSE by hand from the scaled test vectors
     data = flow.model_input(prep)
-    test = data.filter(F.col("__bucket") < 1)
+    test = data.filter(is_holdout())
     scaled = flow.append_scaled_squares(res.scaler.transform(test), prep.features)
     rows = scaled.select(vector_to_array("scaledFeatures").alias("x"), TRIPS.label).collect()
     x = np.array([r["x"] for r in rows])
@@ -36,8 +36,12 @@ def test_linear_search_and_holdout(spark):
     assert math.isclose(res.rmse, float(np.sqrt(np.mean((y - pred) ** 2))), rel_tol=1e-9)
     assert res.test_rows == len(rows) and res.train_rows > 50 * res.test_rows
 
+    # the features explain the label: far better than the training mean
+    mean = data.filter(~is_holdout()).agg(F.avg(TRIPS.label)).first()[0]
+    assert res.rmse < 0.6 * float(np.sqrt(np.mean((y - mean) ** 2)))
+
     # the scaler's statistics come from the training rows only
-    train = np.array([r[0] for r in data.filter(F.col("__bucket") >= 1)
+    train = np.array([r[0] for r in data.filter(~is_holdout())
                       .select(vector_to_array("features")).collect()])
     assert np.allclose(res.scaler.mean.toArray(), train.mean(axis=0))
     assert np.allclose(res.scaler.std.toArray(), train.std(axis=0, ddof=1))
