@@ -196,8 +196,10 @@ def _unbundled(with_payload: bool):
                         int(f["WARC-Refers-To-Page"]) if not full else None,
                         len(f["payload"]) if full else int(f["WARC-Payload-Length"]), digest,
                         f["payload"] if full and with_payload else None))
-                out = pd.DataFrame(rows, columns=[c.split()[0] for c in RECORDS.split(", ")])
-                yield out.astype({"page_id": "Int64", "refers_to": "Int64"})
+                names = [c.split()[0] for c in RECORDS.split(", ")]
+                # whole numbers even where some are null
+                yield pd.DataFrame({n: pd.array(v, dtype="Int64") if n in ("page_id", "refers_to") else list(v)
+                                    for n, v in zip(names, zip(*rows))})
 
     return read
 
