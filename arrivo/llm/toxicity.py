@@ -37,14 +37,16 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arrivo.llm.common import small_batches, table, uniform
+from arrivo.llm.common import let, small_batches, table, uniform, words
 
 #: Bound of the training sample, for each label.
 TRAIN_DOCS = 4000
 PARTS, HELD_OUT = 4, 2  # fixed by the data contract
 THRESHOLD = 0.3  # fixed by the data contract
-#: Stem lengths that the lexicon may use, and its precision at least.
-STEMS, PRECISION = range(4, 9), 0.5
+#: Stem lengths that the lexicon may use, and log-odds that a term needs.
+STEMS, MIN_ODDS = range(4, 9), 3.0
+#: Terms of a text, as a bound of how many are tried for the lexicon.
+TERMS_TRIED = 300
 MAX_TERMS = 5000
 #: Log-odds of a lexicon entry that counts as weight 1.
 FULL_WEIGHT = 5.0
@@ -217,8 +219,10 @@ def held_out(doc_id: Column) -> Column:
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, bound: int = TRAIN_DOCS) -> DataFrame:
-    """(text, toxic) of labelled rows outside the held-out part, about
-    ``bound`` of each label at most."""
+    """(text, toxic, weight) of labelled rows outside the held-out part, about
+    ``bound`` of each label at most; the weight makes up for the share drawn.
+    Copies and near copies (equal least hash of their word triples) are one
+    row, or their rare words would pass for signs of the label."""
     known = labels.filter(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).select(
         "doc_id", F.col("toxic").cast("int").alias("toxic"))
     counts = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
@@ -226,7 +230,13 @@ def training_sample(docs: DataFrame, labels: DataFrame, bound: int = TRAIN_DOCS)
     for value, n in counts.items():
         share = F.when(F.col("toxic") == value, F.lit(min(1.0, bound / n))).otherwise(share)
     chosen = known.filter(uniform(F.col("doc_id"), F.lit("train")) < share)
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "toxic")
+    chosen = chosen.withColumn("weight", 1 / share)
+    drawn = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    triples = let(words(F.lower("text")), lambda w: F.transform(F.sequence(F.lit(0), F.greatest(
+        F.size(w) - 3, F.lit(0))), lambda i: F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2))))
+    return drawn.withColumn("key", F.array_min(triples)).groupBy("key", "toxic").agg(
+        F.min_by("text", F.xxhash64("text", "doc_id")).alias("text"), F.sum("weight").alias("weight")).select(
+        "text", "toxic", "weight")
 
 
 def _term_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -258,8 +268,8 @@ def learn_lexicon(sample: DataFrame) -> Lexicon:
     ratio = F.col("tox") * F.log(precision / rate) + F.when(
         F.col("clean") > 0, F.col("clean") * F.log((1 - precision) / (1 - rate))).otherwise(0.0)
     odds = F.log((F.col("tox") + 0.5) / (n1 + 1)) - F.log((F.col("clean") + 0.5) / (n0 + 1))
-    good = terms.filter((F.col("tox") >= 3) & (precision >= PRECISION)).filter(
-        ratio > math.log(max(n1 + n0, 100) * 20)).select("term", "tox", odds.alias("odds"))
+    good = terms.filter((odds >= MIN_ODDS) & (ratio > 1 + math.log((n1 + n0) * TERMS_TRIED))).select(
+        "term", "tox", odds.alias("odds"))
     found = {r["term"]: (r["tox"], r["odds"]) for r in good.orderBy(
         F.desc("odds"), "term").limit(MAX_TERMS).collect()}
     kept: dict[str, float] = {}
@@ -269,7 +279,7 @@ def learn_lexicon(sample: DataFrame) -> Lexicon:
         longer = [t for t in found if len(t) > len(term) and t.startswith(term) and found[t][0] >= 0.9 * n]
         if not longer and all(odds > s + 0.5 for s in stems):
             kept[term] = odds
-    weight = {t: min(odds / FULL_WEIGHT, 1.5) for t, odds in kept.items() if odds > 0}
+    weight = {t: min(odds / FULL_WEIGHT, 1.5) for t, odds in kept.items()}
     return Lexicon({t[:-1]: w for t, w in weight.items() if t[-1] == "$"},
                    {t: w for t, w in weight.items() if t[-1] != "$"})
 
@@ -281,10 +291,12 @@ def fit(sample: DataFrame, lexicon: Lexicon) -> Model:
         finder = lexicon.finder()
         for pdf in batches:
             yield pd.DataFrame({
-                "x": [features(text_events(t, lexicon, finder)).tolist() for t in pdf["text"]], "toxic": pdf["toxic"]})
+                "x": [features(text_events(t, lexicon, finder)).tolist() for t in pdf["text"]],
+                "toxic": pdf["toxic"], "weight": pdf["weight"]})
 
     # texts with equal events are one row
-    rows = sample.mapInPandas(counted, "x array<double>, toxic int").groupBy("x", "toxic").count().collect()
+    rows = sample.mapInPandas(counted, "x array<double>, toxic int, weight double").groupBy("x", "toxic").agg(
+        F.sum("weight").alias("count")).collect()
     if len({r["toxic"] for r in rows}) < 2:
         return Model(lexicon, PRIOR, PRIOR_BIAS)
     x = np.array([[*r["x"], 1.0] for r in rows])
