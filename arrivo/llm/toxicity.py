@@ -226,7 +226,7 @@ def training_sample(docs: DataFrame, labels: DataFrame, bound: int = TRAIN_DOCS)
     known = labels.filter(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).select(
         "doc_id", F.col("toxic").cast("int").alias("toxic"))
     counts = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
-    share = F.lit(0.0)
+    share = F.lit(1.0)  # no such label, no such row
     for value, n in counts.items():
         share = F.when(F.col("toxic") == value, F.lit(min(1.0, bound / n))).otherwise(share)
     chosen = known.filter(uniform(F.col("doc_id"), F.lit("train")) < share)
