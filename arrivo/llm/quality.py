@@ -77,16 +77,9 @@ def removed(text: Column, chars: str) -> Column:
     return (F.length(text) - F.length(F.translate(text, chars, ""))).cast("long")
 
 
-def base_columns(text: Column) -> dict[str, Column]:
-    """The counts that the rules use, each from the whole text."""
-    t = F.coalesce(text, F.lit(""))
-    return {
-        "n_words": F.size(words(t)).cast("long"),
-        "word_chars": F.length(F.translate(t, " \t\n\x0b\x0c\r", "")).cast("long"),
-        "n_symbols": removed(t, SYMBOLS),
-        "n_dup_lines": dup_lines(t)["dups"],
-        "n_repeat_words": repeat_words(words(t)),
-    }
+def word_chars(text: Column) -> Column:
+    """Characters of a text that are in words."""
+    return F.length(F.translate(text, " \t\n\x0b\x0c\r", "")).cast("long")
 
 
 @dataclass(frozen=True)
@@ -95,22 +88,23 @@ class Rule:
     rejects: Column
 
 
-def text_rules(text: str = "text") -> list[Rule]:
-    """The rules of this library on a text column. Thresholds compare whole
-    numbers, so SQL engines agree on them."""
+def text_rules(text: str = "text", ws: Column | None = None) -> list[Rule]:
+    """The rules of this library on a text column; ``ws`` are its words if
+    they are at hand. Thresholds compare whole numbers, so SQL engines agree
+    on them."""
     t = F.coalesce(F.col(text), F.lit(""))
-    base = base_columns(F.col(text))
-    n, chars = base["n_words"], base["word_chars"]
+    ws = words(t) if ws is None else ws
+    n, chars = F.size(ws).cast("long"), word_chars(t)
     upper = F.length(F.regexp_replace(t, r"[^\p{Lu}]", ""))
     letters = F.length(F.regexp_replace(t, r"[^\p{L}]", ""))
     return [
         Rule("short", n < MIN_WORDS),
-        Rule("symbols", base["n_symbols"] * 100 > n * MAX_SYMBOLS_PERCENT),
+        Rule("symbols", removed(t, SYMBOLS) * 100 > n * MAX_SYMBOLS_PERCENT),
         Rule("exclamations", removed(t, "!") * 100 > n * MAX_EXCLAMATIONS_PERCENT),
         Rule("capitals", upper * 100 > letters * MAX_UPPER_PERCENT),
         Rule("word_length", (chars < n * MIN_WORD_CHARS) | (chars > n * MAX_WORD_CHARS)),
         Rule("dup_lines", let(dup_lines(t), lambda x: x["dups"] * 100 > x["lines"] * MAX_DUP_LINES_PERCENT)),
-        Rule("repeats", base["n_repeat_words"] * 100 > n * MAX_REPEAT_PERCENT),
+        Rule("repeats", repeat_words(ws) * 100 > n * MAX_REPEAT_PERCENT),
     ]
 
 
@@ -139,9 +133,11 @@ def verdict(rules: list[Rule]) -> Column:
 
 
 def filter_quality(docs: DataFrame, text: str = "text", sample_rows: int = SAMPLE_ROWS) -> DataFrame:
-    """Rows of ``docs`` that no rule rejects, with all their columns."""
-    order = plan_cascade(docs, text_rules(text), sample_rows)
-    return docs.filter(verdict(order).isNull())
+    """Rows of ``docs`` that no rule rejects, with all their columns. The
+    words are split once for all rules."""
+    place = {r.name: i for i, r in enumerate(plan_cascade(docs, text_rules(text), sample_rows))}
+    return docs.filter(let(words(F.col(text)), lambda ws: verdict(
+        sorted(text_rules(text, ws), key=lambda r: place[r.name]))).isNull())
 
 
 def quality_report(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
@@ -149,17 +145,24 @@ def quality_report(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame
     n_symbols, n_dup_lines, n_repeat_words, base_failed, kept. The counts
     feed the rules that need them; the others run only on rows that passed
     so far."""
-    counted = docs.select("doc_id", "text", *[c.alias(k) for k, c in base_columns(F.col("text")).items()])
-    n = F.col("n_words")
+    t = F.coalesce(F.col("text"), F.lit(""))
+    lines = dup_lines(t)
+    counts = let(words(t), lambda ws: F.struct(
+        F.size(ws).cast("long").alias("n_words"), word_chars(t).alias("word_chars"),
+        removed(t, SYMBOLS).alias("n_symbols"), lines.alias("lines"), repeat_words(ws).alias("n_repeat_words")))
+    counted = docs.select("doc_id", "text", counts.alias("c"))
+    n = F.col("c.n_words")
     from_counts = {"short": n < MIN_WORDS,
-                   "symbols": F.col("n_symbols") * 100 > n * MAX_SYMBOLS_PERCENT,
-                   "word_length": (F.col("word_chars") < n * MIN_WORD_CHARS) | (F.col("word_chars") > n * MAX_WORD_CHARS),
-                   "repeats": F.col("n_repeat_words") * 100 > n * MAX_REPEAT_PERCENT}
+                   "symbols": F.col("c.n_symbols") * 100 > n * MAX_SYMBOLS_PERCENT,
+                   "word_length": (F.col("c.word_chars") < n * MIN_WORD_CHARS)
+                   | (F.col("c.word_chars") > n * MAX_WORD_CHARS),
+                   "dup_lines": F.col("c.lines.dups") * 100 > F.col("c.lines.lines") * MAX_DUP_LINES_PERCENT,
+                   "repeats": F.col("c.n_repeat_words") * 100 > n * MAX_REPEAT_PERCENT}
     order = plan_cascade(docs, text_rules(), sample_rows)
     rules = [Rule(r.name, from_counts.get(r.name, r.rejects)) for r in order]
     return counted.select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-        (from_counts["short"] | from_counts["repeats"]).alias("base_failed"),
+        "doc_id", "c.n_words", "c.word_chars", "c.n_symbols", F.col("c.lines.dups").alias("n_dup_lines"),
+        "c.n_repeat_words", (from_counts["short"] | from_counts["repeats"]).alias("base_failed"),
         verdict(rules).isNull().alias("kept"))
 
 
