@@ -13,8 +13,9 @@ Equal pieces of a task are encoded once. The pattern never matches across
 white space that precedes a piece, so texts are first cut at white space and
 equal cuts are matched once. What a task remembers is bounded by
 ``CACHE_ROWS`` (it forgets and starts anew, results stay the same), the rows
-of one query by ``PIECE_BLOCK`` and ``TOKEN_BLOCK`` or one text; texts are
-whole, whatever their length.
+of one query by ``PIECE_ROWS`` and ``TOKEN_BLOCK`` or one text; texts are
+whole, whatever their length. Pieces of ``LONG_PIECE`` bytes and more are
+contracted alone, all occurrences of their least pair in a step.
 
 Null and empty texts have no tokens. Repeated rows give equal rows; an empty
 table gives no rows. Extra columns of the input are left out.
@@ -25,7 +26,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import duckdb
 import numpy as np
@@ -39,10 +40,13 @@ from pyspark.sql import functions as F
 from arrivo.llm.common import small_batches, table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
-#: Distinct cuts that a task remembers, pieces in one recursive query, and
-#: tokens in one decoding query.
-CACHE_ROWS, PIECE_BLOCK, TOKEN_BLOCK = 250_000, 25_000, 400_000
-MEMORY = "300MB"
+#: Distinct cuts that a task remembers, rows that one recursive query may keep,
+#: and characters in one decoding query.
+CACHE_ROWS, PIECE_ROWS, TOKEN_BLOCK = 250_000, 3_000_000, 400_000
+#: Bytes from which a piece is long, and rows that the steps of one query on
+#: long pieces may keep.
+LONG_PIECE, LONG_ROWS = 128, 1_000_000
+MEMORY = "700MB"
 
 #: White space of the pattern, fixed by Unicode.
 SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -72,6 +76,39 @@ FROM state s JOIN (SELECT piece, max(step) AS step FROM state GROUP BY piece) f
 ORDER BY s.piece, s.pos
 """
 
+# For long pieces: every occurrence of the least pair is contracted in one
+# step, from the left. That equals one at a time as long as no pair that holds
+# the joined token ranks before it; the few tokens that are otherwise (not
+# ``safe``) are contracted once in a step.
+ENCODE_LONG = """
+WITH RECURSIVE state(piece, pos, id, step) AS (
+  SELECT piece, pos, id, 0 FROM positions
+  UNION ALL
+  (WITH pairs AS (
+     SELECT piece, pos, id, step, lead(id) OVER (PARTITION BY piece ORDER BY pos) AS next
+     FROM state WHERE step < {steps}),
+   ranked AS (
+     SELECT p.*, m.rank, m.safe, min(m.rank) OVER (PARTITION BY piece) AS least
+     FROM pairs p LEFT JOIN merges m ON m.pair = (p.id::BIGINT << 32) | p.next),
+   hits AS (
+     SELECT *, coalesce(rank = least, false) AS hit,
+            pos - row_number() OVER (PARTITION BY piece, coalesce(rank = least, false) ORDER BY pos) AS run
+     FROM ranked WHERE least IS NOT NULL),
+   chosen AS (
+     SELECT *, hit AND CASE WHEN safe THEN row_number() OVER (PARTITION BY piece, hit, run ORDER BY pos) % 2 = 1
+                            ELSE row_number() OVER (PARTITION BY piece, hit ORDER BY pos) = 1 END AS joins
+     FROM hits),
+   taken AS (
+     SELECT *, coalesce(lag(joins) OVER (PARTITION BY piece ORDER BY pos), false) AS gone FROM chosen)
+   SELECT piece, (row_number() OVER (PARTITION BY piece ORDER BY pos) - 1)::INTEGER,
+          CASE WHEN joins THEN least::INTEGER ELSE id END, step + 1
+   FROM taken WHERE NOT gone))
+SELECT s.piece, s.id, s.step = {steps} AS more
+FROM state s JOIN (SELECT piece, max(step) AS step FROM state GROUP BY piece) f
+  ON s.piece = f.piece AND s.step = f.step
+ORDER BY s.piece, s.pos
+"""
+
 #: {0} is what to make of a document's bytes.
 DECODE = """
 SELECT doc, {0}(unhex(array_to_string(list(v.hex ORDER BY t.pos), '')))
@@ -98,12 +135,15 @@ class Codec:
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks, self.pattern = ranks, regex.compile(pattern)
+        self.singles = np.arange(max(ranks.values()) + 1, dtype=np.int32)
         self.byte_ids = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
         pairs = [(ranks[t[:i]] << 32 | ranks[t[i:]], r) for t, r in ranks.items()
                  for i in range(1, len(t)) if t[:i] in ranks and t[i:] in ranks]
         self.db = duckdb.connect(config={"threads": 1, "memory_limit": MEMORY, "temp_directory": ""})
+        early = {part for p, r in pairs for part in (p >> 32, p & 0xFFFFFFFF) if r < part}
         self._table("merges", {"pair": np.array([p for p, _ in pairs], np.int64),
-                               "rank": np.array([r for _, r in pairs], np.int64)})
+                               "rank": np.array([r for _, r in pairs], np.int64),
+                               "safe": np.array([r not in early for _, r in pairs])})
         self._table("vocab", {"id": np.array(list(ranks.values()), np.int32),
                               "hex": pa.array([t.hex() for t in ranks])})
         self.forget()
@@ -132,8 +172,22 @@ class Codec:
             "id": ids, "next": following.astype(np.int32)}))
         out = self.db.sql(ENCODE).to_arrow_table()
         self.db.unregister("positions")
-        piece, merged = out["piece"].to_numpy(), out["id"].to_numpy()
-        return np.split(merged, np.flatnonzero(np.diff(piece)) + 1)
+        merged = out["id"].to_numpy()
+        stops = np.cumsum(np.bincount(out["piece"].to_numpy(), minlength=len(pieces))).tolist()
+        return [merged[i:j] for i, j in zip([0, *stops], stops)]
+
+    def merge_long(self, piece: bytes) -> np.ndarray:
+        """Ids of one long piece, some steps at a time, so that the rows that
+        a recursive query keeps stay bounded."""
+        ids, more = self.byte_ids[np.frombuffer(piece, np.uint8)], True
+        while more:
+            self.db.register("positions", pa.table({
+                "piece": np.zeros(len(ids), np.int32), "pos": np.arange(len(ids), dtype=np.int32), "id": ids}))
+            steps = max(1, LONG_ROWS // len(ids))
+            out = self.db.sql(ENCODE_LONG.format(steps=steps)).to_arrow_table()
+            self.db.unregister("positions")
+            ids, more = out["id"].to_numpy(), bool(out["more"][0].as_py())
+        return ids
 
     def learn(self) -> None:
         """Encode the cuts that were first seen since the last call."""
@@ -141,17 +195,19 @@ class Codec:
         if not fresh:
             return
         split = [self.pattern.findall(c) for c in fresh]
-        todo = dict.fromkeys(p for ps in split for p in ps if p not in self.pieces)
-        unknown = []
-        for p in todo:
-            whole = self.ranks.get(p.encode())
-            if whole is None:
-                unknown.append(p)
+        todo = {p: p.encode() for ps in split for p in ps if p not in self.pieces}
+        short = {}
+        for p, raw in todo.items():
+            whole = self.ranks.get(raw)
+            if whole is not None:
+                self.pieces[p] = self.singles[whole:whole + 1]
+            elif len(raw) < LONG_PIECE:
+                short[p] = raw
             else:
-                self.pieces[p] = np.array([whole], np.int32)
-        for i in range(0, len(unknown), PIECE_BLOCK):
-            block = unknown[i:i + PIECE_BLOCK]
-            self.pieces.update(zip(block, self.merge([p.encode() for p in block])))
+                self.pieces[p] = self.merge_long(raw)
+        # a piece of n bytes takes at most n steps of at most n rows
+        for block in _blocks(short, PIECE_ROWS, lambda p: len(short[p]) ** 2):
+            self.pieces.update(zip(block, self.merge([short[p] for p in block])))
         parts = [np.concatenate([self.pieces[p] for p in ps]) if len(ps) != 1 else self.pieces[ps[0]] for ps in split]
         self.ids = np.concatenate([self.ids, *parts])
         ends = self.starts[-1] + np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)))
@@ -195,15 +251,15 @@ class Codec:
         return [got.get(i, none) for i in range(len(ids))]
 
 
-def _blocks(texts: list[str], most: int) -> Iterator[list[str]]:
-    """Runs of texts of about ``most`` characters."""
-    block, size = [], 0
+def _blocks(texts: Iterable, most: int, size: Callable = len) -> Iterator[list]:
+    """Runs of texts whose sizes sum to about ``most``."""
+    block, total = [], 0
     for t in texts:
         block.append(t)
-        size += len(t)
-        if size >= most:
+        total += size(t)
+        if total >= most:
             yield block
-            block, size = [], 0
+            block, total = [], 0
     if block:
         yield block
 

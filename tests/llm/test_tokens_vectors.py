@@ -35,7 +35,9 @@ def odd_texts(n):
 
 
 def test_bpe_equals_library(codec, encoding):
-    texts = [*odd_texts(3000), "", "   ", "a" * 3000, "don't we'll I'M", "\n\n a", "<|endoftext|>", "word " * 50_000]
+    rng = random.Random(4)
+    long = ["".join(rng.choice("abcdefgh") for _ in range(3000)), "aab" * 400, "z" * 30_001, "日本語" * 300, "=" * 999]
+    texts = [*odd_texts(3000), *long, "", "   ", "a" * 3000, "don't we'll I'M", "\n\n a", "<|endoftext|>", "word " * 50_000]
     ids = codec.encode(texts)
     assert [i.tolist() for i in ids] == [encoding.encode_ordinary(t) for t in texts]
     assert codec.decode(ids) == [t.encode() for t in texts]
@@ -43,7 +45,7 @@ def test_bpe_equals_library(codec, encoding):
 
 def test_bpe_forgets_safely(codec, encoding, monkeypatch):
     monkeypatch.setattr(bpe, "CACHE_ROWS", 20)
-    monkeypatch.setattr(bpe, "PIECE_BLOCK", 3)
+    monkeypatch.setattr(bpe, "PIECE_ROWS", 200)
     for t in odd_texts(40):
         assert codec.encode([t])[0].tolist() == encoding.encode_ordinary(t)
 
