@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -49,6 +50,12 @@ def uniform(*cols: Column) -> Column:
     return F.shiftrightunsigned(F.xxhash64(*cols), 11) * F.lit(2.0 ** -53)
 
 
+def bucket_rows(rows: int) -> int:
+    """Rows of a bucket for two-level sums: as many as there are buckets,
+    once there are many rows."""
+    return max(2_000, math.isqrt(rows))
+
+
 def hex_buckets(rows: int, per_bucket: int) -> int:
     """Hex digits of an even hash that make groups of about ``per_bucket``."""
     digits = 1
@@ -65,6 +72,8 @@ def running_sums(df: DataFrame, by: Sequence[str], bucket: str, order: Sequence[
     Two levels: bucket totals are summed first, so no task holds more than
     one bucket however large the group is. ``by`` and ``bucket`` hold no
     nulls. ``df`` is read twice and must be repeatable."""
+    # dealt by bucket as well, or an earlier exchange by ``by`` alone would be kept
+    df = df.repartition(*by, bucket)
     totals = df.groupBy(*by, bucket).agg(
         *[F.sum(v).alias(f"__sum_{n}") for v, n in values.items()])
     earlier = Window.partitionBy(*by).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)

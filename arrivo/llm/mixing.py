@@ -21,13 +21,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from arrivo.llm.common import hex_buckets, running_sums, table, unused, word_count
+from arrivo.llm.common import bucket_rows, hex_buckets, running_sums, table, unused, word_count
 from arrivo.session import cut_lineage
 
 WEIGHTS = (5, 2, 1)  # fixed by the data contract, repeated over the sources
 MAX_TIMES = 3
 SEED = "mix-1"
-ENTRIES_PER_BUCKET = 50_000
 
 
 def source_targets(entries: DataFrame, weights=WEIGHTS, max_times: int = MAX_TIMES) -> DataFrame:
@@ -60,20 +59,21 @@ def mix(docs: DataFrame, weights=WEIGHTS, max_times: int = MAX_TIMES, seed: str
                       "mix-entries")
     count, budget = entries.agg(
         F.count("*"), F.coalesce(F.sum(F.col("size") * F.col("copies")), F.lit(0))).first()
-    # one row for each source; Spark picks the join by the measured size
-    targets = source_targets(entries, weights, max_times).withColumn("sid", F.coalesce(
-        F.concat(F.lit("s"), "source"), F.lit("null")))
+    # one row for each source, written so that its size is known: a small table
+    # is broadcast and no exchange brings the rows of a source together
+    targets = cut_lineage(source_targets(entries, weights, max_times).withColumn("sid", F.coalesce(
+        F.concat(F.lit("s"), "source"), F.lit("null"))), "mix-targets")
     order = F.md5(F.concat_ws("|", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
     queued = entries.withColumn("sid", F.coalesce(F.concat(F.lit("s"), "source"), F.lit("null"))).join(
         targets.drop("source"), "sid").withColumn("u", order).withColumn(
-        "bucket", F.substring("u", 1, hex_buckets(count, ENTRIES_PER_BUCKET))).withColumn(
+        "bucket", F.substring("u", 1, hex_buckets(count, bucket_rows(count)))).withColumn(
         "words", F.col("size") * F.col("copies"))
     summed = running_sums(queued, ["sid"], "bucket", [F.col("u"), F.col("doc_id"), F.col("size")],
                           {"words": "queued"})
     rounds = F.when((F.col("words") > 0) & (F.col("target") > 0), F.least(
         F.lit(max_times - 1), F.floor(F.col("target") / F.col("source_size")).cast("int"))).otherwise(F.lit(0))
     finish = (F.col("round") * F.col("source_size") + F.col("queued")).cast("double") / F.col("target")
-    slices = max(1, -(-count // ENTRIES_PER_BUCKET))
+    slices = max(1, -(-count // bucket_rows(count)))
     timed = summed.withColumn("round", F.explode(F.sequence(F.lit(0), rounds))).withColumn(
         "finish", F.when((F.col("words") > 0) & (F.col("target") > 0), finish)).withColumn(
         "slice", F.coalesce(F.floor(F.col("finish") * slices), F.lit(-1)))
