@@ -23,7 +23,6 @@ table gives no rows. Extra columns of the input are left out.
 
 from __future__ import annotations
 
-import base64
 import hashlib
 import re
 from collections.abc import Callable, Iterable, Iterator
@@ -37,7 +36,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arrivo.llm.common import small_batches, table
+from arrivo.llm.common import load_ranks, small_batches, table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 #: Distinct cuts that a task remembers, rows that one recursive query may keep,
@@ -117,11 +116,6 @@ GROUP BY doc
 """
 
 
-def load_ranks(path: str) -> dict[bytes, int]:
-    with open(path, "rb") as f:
-        return {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-
-
 class _Numbers(dict):
     """Numbers keys in the order in which they are first asked for."""
 

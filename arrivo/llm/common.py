@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import base64
 import math
 from collections.abc import Callable, Sequence
 
@@ -10,13 +11,19 @@ from pyspark.sql import functions as F
 
 #: Fixed by the data contract: a word is a run of anything but these bytes.
 WORD_SPACE = r"[\x20\x09-\x0D]+"
-WORD = r"[^\x20\x09-\x0D]+"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def load_ranks(path: str) -> dict[bytes, int]:
+    """Tokens and ids of a rank file, which each task reads from its own
+    installation of the vocabularies."""
+    with open(path, "rb") as f:
+        return {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+
+
 def small_batches(spark: SparkSession, rows: int = 512) -> None:
     """Rows per Arrow batch, so that a batch of whole texts stays small."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))

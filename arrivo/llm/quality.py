@@ -20,7 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arrivo.llm.common import WORD_SPACE, let, table, words
+from arrivo.llm.common import let, table, words
 
 #: Rows on which cost and selectivity are estimated.
 SAMPLE_ROWS = 1000

@@ -12,7 +12,6 @@ time. An empty table gives an empty histogram, whose answers are 0 or null.
 
 from __future__ import annotations
 
-import base64
 from collections.abc import Iterator
 
 import pandas as pd
@@ -21,7 +20,7 @@ import tiktoken
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arrivo.llm.common import running_sums, small_batches, table
+from arrivo.llm.common import load_ranks, running_sums, small_batches, table
 from arrivo.session import cut_lineage
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -29,11 +28,6 @@ RANKS = "byte_bpe_50k.tiktoken"
 LENGTHS_PER_BUCKET = 1024
 
 
-def load_ranks(path: str) -> dict[bytes, int]:
-    with open(path, "rb") as f:
-        return {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-
-
 def token_count(text: Column, ranks_path: str) -> Column:
     """Tokens of a whole text, special tokens' strings being plain text."""
     @F.pandas_udf("long")
