@@ -127,6 +127,31 @@ def test_declared_articles_stay_whole(spark):
     assert (last.text, last.n_chars) == ("", 0)
 
 
+PAGE = "page_id long, url string, html string"
+
+
+def test_copies_keep_their_text(spark):
+    copy = "<body><div class=content><p>A</p><p>B</p></div></body>"
+    unique = "<body><div class=content>" + "".join(f"<p>Unique {{0}} {k}</p>" for k in range(5)) + "</div></body>"
+    rows = [(i, "http://hot.example/", copy) for i in range(2000)] + [(i, None, copy) for i in range(2000, 2010)]
+    rows += [(5000 + i, "http://hot.example/", unique.format(i)) for i in range(100)]
+    got = {r.page_id: r.text for r in htmltext.extract(spark.createDataFrame(rows, PAGE)).collect()}
+    assert len(got) == len(rows) and {got[i] for i in range(2010)} == {"A\n\nB"}
+    assert all(got[5000 + i] == "\n\n".join(f"Unique {i} {k}" for k in range(5)) for i in range(100))
+
+
+def test_wrapped_articles_and_main_branches_stay(spark):
+    # the same story on pages that differ elsewhere, with and without a declared article
+    wrapped = "<body><p>Day {0}</p><article><div class=wrap><section><p>Same story</p></section></div></article></body>"
+    plain = ("<body><div class=top>Welcome</div><div class=day>Day {0}</div><div class=story><h2>Same title</h2>"
+             "<div class=part>Same long story</div><div class=part>It goes on and on</div></div></body>")
+    rows = [(i, "http://a.example/", wrapped.format(i)) for i in range(30)]
+    rows += [(100 + i, "http://b.example/", plain.format(i)) for i in range(30)]
+    got = {r.page_id: r.text for r in htmltext.extract(spark.createDataFrame(rows, PAGE)).collect()}
+    assert all(got[i] == "Same story" for i in range(30))
+    assert all(got[100 + i] == f"Day {i}\n\nSame title\n\nSame long story\n\nIt goes on and on" for i in range(30))
+
+
 def test_importance_formula(spark):
     rows = [(i, "http://h.example/", f"<body><div><p>{'a' if i % 4 else i}</p></div></body>") for i in range(16)]
     noise = htmltext.site_noise(spark.createDataFrame(rows, "page_id long, url string, html string"))
