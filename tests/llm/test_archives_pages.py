@@ -99,6 +99,28 @@ def test_main_text(html, text):
     assert htmltext.main_text(html) == text
 
 
+NAMED = [
+    ("<div class='site no-sidebar'><article><p>a</p></article><div class=sidebar-left><p>s</p></div></div>", "a"),
+    ("<div id=page class='content has-sidebar'><p>a</p><div class='left-sidebar'>s</div></div>", "a"),
+    ("<article class='post share-enabled'><section id='related-work'><h2 id='social-history'>T</h2>"
+     "<p class='notice-text'>a</p></section><div class='post-comments'><p>no</p></div></article>", "T\n\na"),
+    ("<div class=widget><main><p>a</p></main></div><p>b</p>", "a"),
+    ("<div class='page modal'><article><p>a</p></article></div><div class=related><p>r</p></div>", "a"),
+    ("<article><p>a</p></article><div class=related-posts><article><p>r</p></article></div>", "a"),
+    ("<article><h1>T</h1><div class='x-widget'><p>long text</p></div><div class='x-widget'><p>more</p></div></article>",
+     "T\n\nlong text\n\nmore"),
+    ("<p>post</p><div class=comments><p>a longer comment</p></div><div class='social-links'>x</div>", "post"),
+    ("<p>t</p><ol><li><a>Smith and Jones, On the growth of trees</a><li><a>Miller, A history of the wheel</a></ol>"
+     "<ul><li><a>About us</a><li><a>Contact</a></ul>",
+     "t\n\nSmith and Jones, On the growth of trees\n\nMiller, A history of the wheel"),
+]
+
+
+@pytest.mark.parametrize("html,text", NAMED)
+def test_names_do_not_take_the_article(html, text):
+    assert htmltext.main_text(html) == text
+
+
 def test_broken_markup_does_not_raise():
     for html in (CASES[-1][0], "<", "<>", "</p></div>", "<!--", "<script>", "<p " + "a=' " * 999, "<b>" * 5000 + "deep"):
         assert isinstance(htmltext.main_text(html), str)
