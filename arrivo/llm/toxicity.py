@@ -30,6 +30,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import groupby
 
 import ahocorasick
 import numpy as np
@@ -38,6 +39,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arrivo.llm.common import let, small_batches, table, uniform, words
+from arrivo.session import cut_lineage
 
 #: Bound of the training sample, for each label.
 TRAIN_DOCS = 4000
@@ -47,6 +49,8 @@ THRESHOLD = 0.3  # fixed by the data contract
 STEMS, MIN_ODDS = range(4, 9), 3.0
 #: Terms of a text, as a bound of how many are tried for the lexicon.
 TERMS_TRIED = 300
+#: Further min-hashes that tell near copies, and the share alike that they need.
+MIN_HASHES, NEAR = 128, 0.8
 MAX_TERMS = 5000
 #: Log-odds of a lexicon entry that counts as weight 1.
 FULL_WEIGHT = 5.0
@@ -221,8 +225,9 @@ def held_out(doc_id: Column) -> Column:
 def training_sample(docs: DataFrame, labels: DataFrame, bound: int = TRAIN_DOCS) -> DataFrame:
     """(text, toxic, weight) of labelled rows outside the held-out part, about
     ``bound`` of each label at most; the weight makes up for the share drawn.
-    Copies and near copies (equal least hash of their word triples) are one
-    row, or their rare words would pass for signs of the label."""
+    Copies and near copies (equal least hash of their word triples, and at
+    least ``NEAR`` of ``MIN_HASHES`` further ones alike) are one row, or their
+    rare words would pass for signs of the label."""
     known = labels.filter(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).select(
         "doc_id", F.col("toxic").cast("int").alias("toxic"))
     counts = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
@@ -234,9 +239,50 @@ def training_sample(docs: DataFrame, labels: DataFrame, bound: int = TRAIN_DOCS)
     drawn = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
     triples = let(words(F.lower("text")), lambda w: F.transform(F.sequence(F.lit(0), F.greatest(
         F.size(w) - 3, F.lit(0))), lambda i: F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2))))
-    return drawn.withColumn("key", F.array_min(triples)).groupBy("key", "toxic").agg(
-        F.min_by("text", F.xxhash64("text", "doc_id")).alias("text"), F.sum("weight").alias("weight")).select(
-        "text", "toxic", "weight")
+    texts = cut_lineage(drawn.groupBy("text", "toxic").agg(
+        F.sum("weight").alias("weight"), F.min(F.xxhash64("text", "doc_id")).alias("order")), "toxicity-sample")
+    texts = texts.withColumn("id", F.xxhash64("text", "toxic"))
+    signed = texts.withColumn("triples", triples).select(
+        "id", "toxic", "weight", "order", F.array_min("triples").alias("key"), _signature("triples").alias("signature"))
+    rows = signed.orderBy("toxic", "key", "order").collect()  # as few as the sample
+    kept = docs.sparkSession.createDataFrame(_near_copies(rows), "of long, sum double")
+    return texts.join(F.broadcast(kept), F.col("id") == F.col("of")).select("text", "toxic", F.col("sum").alias("weight"))
+
+
+def _signature(triples: str) -> Column:
+    """``MIN_HASHES`` least values, each by another hash, of an array of hashes."""
+    odd = np.random.default_rng(1).integers(1 << 63, size=(MIN_HASHES, 1), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+    @F.pandas_udf("binary")
+    def run(arrays: pd.Series) -> pd.Series:
+        out = []
+        for a in arrays:
+            h = np.asarray(a, dtype=np.int64).view(np.uint64)
+            parts = [((h[k:k + 4096] * odd) >> np.uint64(32)).min(axis=1) for k in range(0, len(h), 4096)]
+            out.append(np.min(parts, axis=0).astype(np.uint32).tobytes())
+        return pd.Series(out, dtype="object")
+
+    return run(triples)
+
+
+def _near_copies(rows: list) -> list[tuple[int, float]]:
+    """(id, weight) of the first text of each group of near copies, from rows
+    in order of label and key."""
+    kept = []
+    for _, group in groupby(rows, lambda r: (r["toxic"], r["key"])):
+        group = list(group)
+        signatures = np.array([np.frombuffer(r["signature"], dtype=np.uint32) for r in group])
+        first: list[int] = []
+        sums: list[float] = []
+        for k, r in enumerate(group):
+            alike = (signatures[first] == signatures[k]).mean(axis=1) if first else np.zeros(0)
+            if len(alike) and alike.max() >= NEAR:
+                sums[int(alike.argmax())] += r["weight"]
+            else:
+                first.append(k)
+                sums.append(r["weight"])
+        kept += [(group[k]["id"], w) for k, w in zip(first, sums)]
+    return kept
 
 
 def _term_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

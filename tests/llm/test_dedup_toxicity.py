@@ -170,6 +170,22 @@ def test_held_out_labels_are_not_used(spark):
     assert a.lexicon == b.lexicon and np.allclose(a.weights, b.weights) and a.bias == pytest.approx(b.bias)
 
 
+def test_only_near_copies_are_one_training_row(spark):
+    least = spark.range(20_000).select(F.col("id"), F.xxhash64(F.lit("q"), F.lit("r"), F.concat(F.lit("w"), "id")).alias("h"))
+    word = f"w{least.orderBy('h').first().id}"
+    rng = random.Random(8)
+    base = [f"b{k}" for k in range(100)]
+    rows = [(i, f"q r {word} " + " ".join(f"u{i}x{k}" for k in range(10))) for i in range(100)]
+    rows += [(i, " ".join(base[:(p := rng.randrange(100))] + [f"v{i}"] + base[p + 1:])) for i in range(100, 200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = docs.select("doc_id", F.lit(0).alias("toxic"))
+    known = {r.doc_id for r in docs.filter(~toxicity.held_out(F.col("doc_id"))).collect()}
+    got = toxicity.training_sample(docs, labels).collect()
+    assert sum(r.text.startswith("q r ") for r in got) == sum(i < 100 for i in known)
+    assert sum(r.text.startswith(("b0", "v")) for r in got) <= 8
+    assert sum(r.weight for r in got) == pytest.approx(len(known))
+
+
 def test_toxicity_odd_rows(spark):
     rows = [(1, None), (1, None), (2, ""), (None, "you idiot"), (3, "x " * 100_000)]
     docs = spark.createDataFrame([(i, t, "s", 1) for i, t in rows], "doc_id long, text string, score string, toxic int")
