@@ -27,6 +27,7 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -51,7 +52,6 @@ STEMS, MIN_ODDS = range(4, 9), 3.0
 TERMS_TRIED = 300
 #: Further min-hashes that tell near copies, and the share alike that they need.
 MIN_HASHES, NEAR = 128, 0.8
-MAX_TERMS = 5000
 #: Log-odds of a lexicon entry that counts as weight 1.
 FULL_WEIGHT = 5.0
 L2 = 0.05
@@ -316,14 +316,22 @@ def learn_lexicon(sample: DataFrame) -> Lexicon:
     odds = F.log((F.col("tox") + 0.5) / (n1 + 1)) - F.log((F.col("clean") + 0.5) / (n0 + 1))
     good = terms.filter((odds >= MIN_ODDS) & (ratio > 1 + math.log((n1 + n0) * TERMS_TRIED))).select(
         "term", "tox", odds.alias("odds"))
-    found = {r["term"]: (r["tox"], r["odds"]) for r in good.orderBy(
-        F.desc("odds"), "term").limit(MAX_TERMS).collect()}
+    # the bounded sample bounds the terms
+    found = {r["term"]: (r["tox"], r["odds"]) for r in good.collect()}
+    ordered = sorted(found)
+
+    def longer(term: str) -> Iterator[str]:
+        for k in range(bisect_right(ordered, term), len(ordered)):
+            if not ordered[k].startswith(term):
+                break
+            yield ordered[k]
+
     kept: dict[str, float] = {}
     for term in sorted(found, key=lambda t: (len(t), t)):
         n, odds = found[term]
         stems = [kept[term[:k]] for k in STEMS if k < len(term) and term[:k] in kept]
-        longer = [t for t in found if len(t) > len(term) and t.startswith(term) and found[t][0] >= 0.9 * n]
-        if not longer and all(odds > s + 0.5 for s in stems):
+        covered = any(found[t][0] >= 0.9 * n for t in longer(term))
+        if not covered and all(odds > s + 0.5 for s in stems):
             kept[term] = odds
     weight = {t: min(odds / FULL_WEIGHT, 1.5) for t, odds in kept.items()}
     return Lexicon({t[:-1]: w for t, w in weight.items() if t[-1] == "$"},

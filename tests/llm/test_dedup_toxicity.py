@@ -186,6 +186,15 @@ def test_only_near_copies_are_one_training_row(spark):
     assert sum(r.weight for r in got) == pytest.approx(len(known))
 
 
+def test_lexicon_keeps_weaker_terms_beside_many(spark):
+    strong = " ".join("".join("abcdefghij"[int(d)] for d in f"{i:03d}") + "xstrong" for i in range(1000))
+    rows = [(f"{strong} {'weakish' if i < 20 else ''}", 1, 1.0) for i in range(30)]
+    rows += [("fine words here", 0, 1.0) for _ in range(270)]
+    lexicon = toxicity.learn_lexicon(spark.createDataFrame(rows, "text string, toxic int, weight double"))
+    assert marked("a weakish thing", lexicon)
+    assert all(marked(w, lexicon) for w in strong.split())
+
+
 def test_toxicity_odd_rows(spark):
     rows = [(1, None), (1, None), (2, ""), (None, "you idiot"), (3, "x " * 100_000)]
     docs = spark.createDataFrame([(i, t, "s", 1) for i, t in rows], "doc_id long, text string, score string, toxic int")
