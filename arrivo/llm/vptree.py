@@ -3,10 +3,12 @@
 Nearness is the inner product. Vectors get one more component,
 sqrt(M^2 - |x|^2) with M the largest norm, and queries a zero; the Euclidean
 distance of these orders candidates as the inner product does, and it is a
-metric, which the trees need.
+metric, which the trees need. Rounding is relative to M^2, so M is the largest
+norm of a band in which norms differ by a factor of ``BAND`` at most, and
+bands and queries are scaled to norm 1.
 
 Vectors are dealt by hash to shards of about ``SHARD_ROWS``. Each shard
-builds one tree: a node's vantage point splits its vectors at the median
+builds one tree for each band: a node's vantage point splits its vectors at the median
 distance, down to leaves of ``LEAF_ROWS``. A block of queries goes down the
 tree together; each query takes its nearer child first and enters the other
 one only if the triangle inequality leaves room for a vector nearer than
@@ -38,6 +40,7 @@ QUERY_EVERY = 20  # fixed by the data contract
 #: Pruning factor of the query: measured recall is in the README.
 FACTOR = 3.0
 SHARD_ROWS, QUERY_ROWS, LEAF_ROWS = 16_384, 2_048, 256
+BAND = 16.0
 
 
 def usable(vec: Column) -> Column:
@@ -115,8 +118,14 @@ class Tree:
             self._visit(other, active[side][open_], factor)
 
 
+def norms(x: np.ndarray) -> np.ndarray:
+    """Norms, without overflow of the squares."""
+    largest = np.abs(x).max(axis=1)
+    return largest * np.sqrt(((x / largest[:, None]) ** 2).sum(axis=1))
+
+
 def search_shard(ids: np.ndarray, x: np.ndarray, query_ids: np.ndarray, q: np.ndarray,
-                 norm: float, k: int, factor: float) -> pd.DataFrame:
+                 k: int, factor: float) -> pd.DataFrame:
     """The k best candidates of one shard for each query."""
     order = np.lexsort((ids, *x.T[::-1]))
     ids, x = ids[order], x[order]
@@ -124,12 +133,20 @@ def search_shard(ids: np.ndarray, x: np.ndarray, query_ids: np.ndarray, q: np.nd
     start = np.flatnonzero(new)
     count = np.diff(np.append(start, len(x)))
     points = x[start]
-    rest = np.sqrt(np.maximum(norm ** 2 - (points ** 2).sum(axis=1), 0))
-    tree = Tree(np.column_stack([points, rest]))
-    # one more, as the query itself may be among them
-    _, found = tree.search(np.column_stack([q, np.zeros(len(q))]), k + 1, factor)
-    held = found >= 0
-    who, point = np.nonzero(held)[0], found[held]
+    norm = norms(points)
+    # bands end at half powers, away from norm 1
+    band = np.floor(np.log2(norm) / np.log2(BAND) + 0.5)
+    asked = np.column_stack([q / norms(q)[:, None], np.zeros(len(q))])
+    pairs = []
+    for b in np.unique(band):
+        rows = np.flatnonzero(band == b)
+        unit = points[rows] / (norm[rows].max() * (1 + 1e-12))
+        rest = np.sqrt(np.maximum(1 - (unit ** 2).sum(axis=1), 0))
+        # one more, as the query itself may be among them
+        _, found = Tree(np.column_stack([unit, rest])).search(asked, k + 1, factor)
+        held = found >= 0
+        pairs.append((np.nonzero(held)[0], rows[found[held]]))
+    who, point = (np.concatenate(p) for p in zip(*pairs))
     # summed component by component, so equal vectors get equal scores
     score = (points[point] * q[who]).sum(axis=1)
     # the smallest ids of each point; one more, as the query may be among them
@@ -145,13 +162,13 @@ def search_shard(ids: np.ndarray, x: np.ndarray, query_ids: np.ndarray, q: np.nd
     return pd.DataFrame({"query_id": query_ids[who[top]], "vec_id": vec[top], "score": score[top]})
 
 
-def _searcher(norm: float, k: int, factor: float) -> Callable:
+def _searcher(k: int, factor: float) -> Callable:
     def run(shard: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         if not len(shard) or not len(queries):
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype(
                 {"query_id": "int64", "vec_id": "int64", "score": "float64"})
         x, q = (np.stack(df["vec"].to_numpy()).astype(np.float64) for df in (shard, queries))
-        return search_shard(shard["vec_id"].to_numpy(), x, queries["vec_id"].to_numpy(), q, norm, k, factor)
+        return search_shard(shard["vec_id"].to_numpy(), x, queries["vec_id"].to_numpy(), q, k, factor)
 
     return run
 
@@ -166,13 +183,12 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = K, factor: float =
         return ok.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("vec").cast("array<double>").alias("vec"))
 
     vectors, queries = cleaned(vectors), cleaned(queries)
-    norm = F.sqrt(F.aggregate("vec", F.lit(0.0), lambda s, x: s + x * x))
-    lengths = vectors.groupBy(F.size("vec").alias("dim")).agg(F.count("*").alias("n"), F.max(norm).alias("norm"))
+    lengths = vectors.groupBy(F.size("vec").alias("dim")).agg(F.count("*").alias("n"))
     shape = lengths.orderBy(F.desc("n"), "dim").limit(1).collect()
     schema = "query_id long, vec_id long, score double"
     if not shape:
         return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    dim, n, largest = shape[0]
+    dim, n = shape[0]
     queries = queries.filter(F.size("vec") == dim)
     shards, blocks = max(1, -(-n // shard_rows)), max(1, -(-queries.count() // query_rows))
     dealt = vectors.filter(F.size("vec") == dim).withColumns({
@@ -182,7 +198,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = K, factor: float =
         "block": F.pmod(F.xxhash64("vec_id", F.lit("block")), F.lit(blocks)).cast("int"),
         "shard": F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long")))})
     found = dealt.groupBy("shard", "block").cogroup(asked.groupBy("shard", "block")).applyInPandas(
-        _searcher(largest * (1 + 1e-12), k, factor), schema)
+        _searcher(k, factor), schema)
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select(
         "query_id", "rank", "vec_id", "score")

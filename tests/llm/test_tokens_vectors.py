@@ -120,6 +120,20 @@ def test_exact_search(spark, scale):
         assert [r.score for r in rows] == pytest.approx([s for _, s in want], abs=1e-12)
 
 
+def test_far_larger_vectors_spoil_no_search(spark):
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(600, 8))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    x[3] *= 1e8  # a candidate
+    x[40] *= 1e8  # a query as well
+    ids = np.arange(600)
+    df = spark.createDataFrame([(int(i), v.tolist()) for i, v in zip(ids, x)], "vec_id long, vec array<double>")
+    got = {}
+    for r in vptree.nearest(df, df.filter("vec_id % 20 = 0"), 20, 1.0, shard_rows=400).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append(r.vec_id)
+    assert got == {int(i): [v for v, _ in w] for i, w in zip(ids[::20], brute(ids, x, ids[::20], x[::20], 20))}
+
+
 def test_recall_of_the_query(spark):
     rows = table(spark, "/root/testdata/sf0.1", "embeddings").collect()
     ids, x = np.array([r.vec_id for r in rows]), np.array([r.embedding for r in rows], dtype=np.float64)
