@@ -18,6 +18,7 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "op3_warc": warc.OP3_SQL,
     "op5_mixing": mixing.OP5_SQL,
     "op6_quality_rules": quality.OP6_SQL,
 }

@@ -225,3 +225,18 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     bundles = write_bundles(table(spark, sf_dir, "pages"))
     return read_bundles(bundles, with_payload=False).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+# base32 takes 5 bits a letter; 5 hex digits are 20 bits, four letters
+OP3_SQL = r"""
+WITH p AS (SELECT page_id::BIGINT AS page_id, coalesce(html, '') AS html FROM pages),
+f AS (SELECT html, min(page_id) AS first, sha1(html) AS sha, strlen(html)::BIGINT AS size FROM p GROUP BY html),
+d AS (SELECT html, first, size, array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+             ((('0x' || substr(sha, i // 4 * 5 + 1, 5))::INTEGER >> (15 - 5 * (i % 4))::INTEGER) & 31) + 1, 1)
+             for i in range(32)], '') AS digest
+      FROM f)
+SELECT page_id, size AS payload_bytes, digest AS payload_digest,
+       CASE WHEN first IS NOT NULL AND page_id IS DISTINCT FROM first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id IS DISTINCT FROM first THEN first END AS refers_to
+FROM p JOIN d USING (html)
+"""

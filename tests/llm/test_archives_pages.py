@@ -40,6 +40,22 @@ def test_round_trip(spark, pages):
         assert r.payload is None if revisit else bytes(r.payload) == t.encode()
 
 
+def test_whole_results_equal_the_sql(spark, tmp_path):
+    import duckdb
+
+    from arrivo.llm import registry
+    made = spark.createDataFrame([r[:3] for r in ROWS], "page_id long, url string, html string")
+    made.write.parquet(f"{tmp_path}/pages.parquet")
+    for sf, files in (("/root/testdata/sf0.01", ""), (str(tmp_path), "/*.parquet")):
+        con = duckdb.connect()
+        con.execute(f"CREATE VIEW pages AS SELECT * FROM read_parquet('{sf}/pages.parquet{files}')")
+        want = con.execute(registry.ORACLE_SQL["op3_warc"])
+        names = [d[0] for d in want.description]
+        got = warc.op3_warc(spark, sf)
+        assert got.columns == names
+        assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, want.fetchall()))
+
+
 def test_small_payloads_are_responses(spark, pages):
     got = warc.read_bundles(warc.write_bundles(pages, min_bytes=5), with_payload=False)
     assert {r.payload_digest for r in got.filter("record_type = 'revisit'").collect()} == {b32("big id")}
