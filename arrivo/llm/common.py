@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import base64
 import math
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -29,6 +30,19 @@ def small_batches(spark: SparkSession, rows: int = 512) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
+@contextmanager
+def batches_of(spark: SparkSession, rows: int = 512) -> Iterator[None]:
+    """Rows per Arrow batch for the jobs that run inside; the session's own
+    number comes back afterwards."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def unused(df: DataFrame, name: str) -> str:
     """``name``, lengthened until no column of ``df`` is called so."""
     taken = {c.lower() for c in df.columns}

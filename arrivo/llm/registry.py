@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from arrivo.llm import bpe, htmltext, mixing, quality, sharding, simhash, tokencounts, toxicity, vptree, warc
+from arrivo.llm import (bpe, covertree, htmltext, mixing, quality, setjoin, sharding, simhash, tokencounts, toxicity,
+                        vptree, warc, whitening)
 
 QUERIES = {
     "op1_byte_bpe": bpe.op1_byte_bpe,
@@ -15,10 +16,14 @@ QUERIES = {
     "op8_simhash_near_dedup": simhash.op8_simhash_near_dedup,
     "op9_sharding": sharding.op9_sharding,
     "op10_html_extraction": htmltext.op10_html_extraction,
+    "op11_hard_negatives": covertree.op11_hard_negatives,
+    "op12_whitening": whitening.op12_whitening,
+    "op13_jaccard_join": setjoin.op13_jaccard_join,
 }
 
 ORACLE_SQL = {
     "op3_warc": warc.OP3_SQL,
     "op5_mixing": mixing.OP5_SQL,
     "op6_quality_rules": quality.OP6_SQL,
+    "op11_hard_negatives": covertree.OP11_SQL,
 }

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from arrivo.llm.common import small_batches, table, unused
-from arrivo.session import cut_lineage
+from arrivo.session import cut_lineage, drop_cut
 
 SHINGLE_WORDS = 3
 MAX_BITS = 2
@@ -228,7 +228,8 @@ def components(edges: DataFrame) -> DataFrame:
         tied = star(large)
         small = tied.select(F.col("w").alias("v"), F.col("low").alias("root")).unionByName(
             tied.select(F.col("u").alias("v"), F.col("low").alias("root")))
-        pairs = cut_lineage(small.filter("v <> root").distinct(), "simhash-stars")
+        last, pairs = pairs, cut_lineage(small.filter("v <> root").distinct(), "simhash-stars")
+        drop_cut(last)
     return pairs
 
 
