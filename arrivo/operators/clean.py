@@ -3,12 +3,14 @@ filter, safe text-to-int casts, string and constant column drops."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from arrivo.functions.casts import text_to_int
 from arrivo.layout import Layout
+from arrivo.operators.joins import broadcast_bytes, measured
+from arrivo.session import cut_lineage, drop_cut
 
 
 def dedup_rows(df: DataFrame) -> DataFrame:
@@ -18,6 +20,48 @@ def dedup_rows(df: DataFrame) -> DataFrame:
     return df.distinct()
 
 
+def row_signature(df: DataFrame) -> list[Column]:
+    """Two 64-bit hashes of all columns. Nulls are marked, because the hash
+    passes over them, and both zeros of a floating column hash alike."""
+    parts = []
+    for f in df.schema.fields:
+        col = F.col(f.name)
+        parts += [col + 0.0 if isinstance(f.dataType, (T.DoubleType, T.FloatType)) else col, col.isNull()]
+    return [F.xxhash64(*parts), F.xxhash64(F.lit("second"), *parts)]
+
+
+def signature_groups(df: DataFrame, kept: list[str], signed: list[Column]) -> DataFrame:
+    """The kept columns by signature (``__s1``, ``__s2``), with their rows."""
+    return df.select(*signed, *kept).groupBy("__s1", "__s2", *kept).agg(F.count(F.lit(1)).alias("__n"))
+
+
+def dedup_to(df: DataFrame, kept, sign=row_signature) -> DataFrame:
+    """P1 and then only the columns ``kept``: whole-row distinct without
+    shuffling the other columns.
+
+    Rows are grouped by their signature and the kept columns and written to
+    the shared folder (``drop_cut`` deletes them). Only groups of several rows
+    can hide a difference in the other columns: their rows are read again and
+    compared column by column, and what differs in spite of an equal signature
+    comes back as often as it is distinct."""
+    kept = list(kept)
+    signed = [c.alias(n) for c, n in zip(sign(df), ("__s1", "__s2"))]
+    groups = cut_lineage(signature_groups(df, kept, signed), "signatures")
+    several = groups.filter("__n > 1").select("__s1", "__s2").distinct()
+    rows, size = measured(several)
+    if rows:
+        if size <= broadcast_bytes(df.sparkSession):
+            several = F.broadcast(several)
+        again = df.select("*", *signed).join(several, ["__s1", "__s2"], "left_semi").distinct()
+        collided = cut_lineage(again.groupBy("__s1", "__s2", *kept).agg(F.count(F.lit(1)).alias("__m")).filter("__m > 1"),
+                               "collisions")
+        if not collided.isEmpty():
+            more = collided.withColumn("__again", F.explode(F.expr("sequence(2, __m)")))
+            return groups.select(*kept).unionByName(more.select(*kept))
+        drop_cut(collided)
+    return groups.select(*kept)
+
+
 def drop_names(df: DataFrame, names) -> DataFrame:
     """Drop by exact name; absent names are ignored."""
     present = set(df.columns)

@@ -9,56 +9,61 @@ Fit: ONE pass over the data for all dictionaries together: every row emits a
 (dictionary, key) pair per encoded column, ``groupBy(dict, key).count()``
 (partial aggregation first) gives each key and its frequency. Numbering is
 distributed: range partition by (dict, key), sort within partitions, take a
-partition-local row id, and add the number of keys of the same dictionary in
-earlier partitions (a table with one row per partition, broadcast). No global
-window, no driver-side key list.
-
-Transform: a left join per column. The dictionaries are broadcast when the
-bytes of all of them together (measured by the fit) are within the session's
-threshold; otherwise each is joined with a shuffle and its hot keys
-(frequency known from the fit) are salted.
+partition-local row id, and write. A small table with one row per partition
+and dictionary (the number of keys of the dictionary in earlier partitions) is
+broadcast wherever codes are read. No global window, no driver-side key list.
+
+Transform: if the bytes of all dictionaries together (measured by the fit)
+are within the session's threshold, a broadcast left join per column. Beyond
+it all columns are encoded at once in long form: the frame is written with a
+row number, each row emits (row, column, dictionary key), these narrow rows
+join the codes once, with the keys that the fit found frequent salted, and
+the codes of a row come back to it in one join on the row number.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from arrivo.operators.joins import ROW_OVERHEAD, broadcast_bytes, hot_keys, salted_join
 from arrivo.session import cut_lineage, default_parallelism, drop_cut
 
-#: Keys that one numbering task sorts.
-KEYS_PER_PARTITION = 1_000_000
-
-
 @dataclass(frozen=True)
 class DictSpec:
     name: str
     columns: tuple[str, ...]
 
 
-def number_sorted(freq: DataFrame, group: str, key: str, parts: int) -> DataFrame:
-    """Add ``code`` = 0-based rank of ``key`` within ``group`` (keys distinct)."""
-    ranged = (freq.repartitionByRange(parts, group, key)
-              .sortWithinPartitions(group, key)
+#: Between a dictionary's name and a key, where both are one text.
+SEPARATOR = "\u0000"
+
+
+def number_sorted(freq: DataFrame) -> tuple[DataFrame, list]:
+    """Codes (dict, key, freq, code) with code = 0-based rank of the key in
+    its dictionary, and the number of keys, of occurrences and of bytes of
+    each dictionary. ``freq``: dict, key, freq, the keys distinct."""
+    ranged = (freq.repartitionByRange("dict", "key")
+              .sortWithinPartitions("dict", "key")
               .withColumn("__pid", F.spark_partition_id())
               .withColumn("__rid", F.monotonically_increasing_id()))
     # ids must not change if a partition is recomputed: cut the lineage
     ranged = cut_lineage(ranged, "dictionary")
-    stats = ranged.groupBy("__pid", group).agg(
-        F.count(F.lit(1)).alias("__n"), F.min("__rid").alias("__first"))
-    before = Window.partitionBy(group).orderBy("__pid").rowsBetween(
-        Window.unboundedPreceding, -1)
-    offsets = stats.withColumn("__offset", F.coalesce(F.sum("__n").over(before), F.lit(0)))
     # one row per (partition, dictionary): bounded by the partition count
-    coded = cut_lineage(
-        ranged.join(F.broadcast(offsets.select("__pid", group, "__offset", "__first")), ["__pid", group])
-        .withColumn("code", F.col("__offset") + F.col("__rid") - F.col("__first"))
-        .drop("__pid", "__rid", "__offset", "__first"), "codes")
-    drop_cut(ranged)
-    return coded
+    stats = ranged.groupBy("dict", "__pid").agg(
+        F.count(F.lit(1)).alias("n"), F.min("__rid").alias("first"), F.sum("freq").alias("total"),
+        F.sum(F.octet_length("key") + ROW_OVERHEAD).alias("bytes")).orderBy("dict", "__pid").collect()
+    before: dict[str, int] = {}
+    starts = []
+    for r in stats:
+        starts.append((r["dict"], r["__pid"], before.get(r["dict"], 0) - r["first"]))
+        before[r["dict"]] = before.get(r["dict"], 0) + r["n"]
+    offsets = freq.sparkSession.createDataFrame(starts, "dict string, __pid int, __start long")
+    codes = ranged.join(F.broadcast(offsets), ["dict", "__pid"]).select(
+        "dict", "key", "freq", (F.col("__start") + F.col("__rid")).alias("code"))
+    return codes, stats
 
 
 @dataclass
@@ -70,40 +75,60 @@ class DictionaryModel:
     bytes: int = 0              # of all dictionaries
     broadcast_limit: int | None = None
     partitions: int | None = None  # to judge hot keys; the session's by default
+    written: list[DataFrame] = field(default_factory=list)  # frames numbered for the long form
 
     def keys(self, name: str) -> DataFrame:
         """(key, code) of one dictionary (A4 / U1 kept distributed)."""
         return self.codes.filter(F.col("dict") == name).select("key", "code")
 
     def close(self) -> None:
-        """Delete the written codes; frames that read them are then void."""
+        """Delete the written codes and frames; frames that read them are
+        then void."""
         if self.specs:
             drop_cut(self.codes)
+        for df in self.written:
+            drop_cut(df)
+        self.written.clear()
 
-    def encode_column(self, df: DataFrame, column: str, name: str) -> DataFrame:
+    def _with_broadcast(self, df: DataFrame, column: str, name: str) -> DataFrame:
         lut_key, lut_code = f"__k_{column}", f"__c_{column}"
-        lut = (self.codes.filter(F.col("dict") == name)
-               .select(F.col("key").alias(lut_key), F.col("code").alias(lut_code), F.col("freq")))
-        fact_key = F.col(column).cast("string")
-        spark = df.sparkSession
-        limit = broadcast_bytes(spark) if self.broadcast_limit is None else self.broadcast_limit
-        if self.bytes <= limit:
-            joined = df.join(F.broadcast(lut.drop("freq")), fact_key == F.col(lut_key), "left")
-        else:
-            parts = self.partitions or default_parallelism(spark)
-            hot = hot_keys(lut, lut_key, "freq", self.totals.get(name, 0), parts)
-            joined = salted_join(df, fact_key, lut.drop("freq"), lut_key, hot, parts, "left")
+        lut = self.keys(name).select(F.col("key").alias(lut_key), F.col("code").alias(lut_code))
+        joined = df.join(F.broadcast(lut), F.col(column).cast("string") == F.col(lut_key), "left")
         return joined.select(*[
             F.coalesce(F.col(lut_code), F.lit(-1).cast("long")).alias(c) if c == column else F.col(c)
             for c in df.columns])
 
-    def transform(self, df: DataFrame) -> DataFrame:
-        out = df
-        for spec in self.specs:
-            for c in spec.columns:
-                if c in out.columns:
-                    out = self.encode_column(out, c, spec.name)
-        return out
+    def _in_long_form(self, df: DataFrame, todo: list[tuple[str, str]]) -> DataFrame:
+        # the row number is written, so both sides of the last join agree on it
+        numbered = cut_lineage(df.withColumn("__row", F.monotonically_increasing_id()), "numbered")
+        self.written.append(numbered)
+        keys = F.array(*[F.struct(F.lit(i).alias("__pos"),
+                                  F.concat(F.lit(name + SEPARATOR), F.col(c).cast("string")).alias("__key"))
+                         for i, (c, name) in enumerate(todo)])
+        long = numbered.select("__row", F.explode(keys).alias("k")).select("__row", "k.__pos", "k.__key").filter(
+            F.col("__key").isNotNull())
+        used = {name for _, name in todo}
+        table = self.codes.filter(F.col("dict").isin(*used)).select(
+            F.concat("dict", F.lit(SEPARATOR), "key").alias("__code_key"), "code", "freq")
+        parts = self.partitions or default_parallelism(df.sparkSession)
+        hot = hot_keys(table, "__code_key", "freq", sum(self.totals.get(n, 0) for n in used), parts)
+        found = salted_join(long, F.col("__key"), table.drop("freq"), "__code_key", hot, parts, "inner")
+        codes = found.groupBy("__row").agg(*[
+            F.max(F.when(F.col("__pos") == i, F.col("code"))).alias(f"__c{i}") for i in range(len(todo))])
+        place = {c: i for i, (c, _) in enumerate(todo)}
+        return numbered.join(codes, "__row", "left").select(*[
+            F.coalesce(F.col(f"__c{place[c]}"), F.lit(-1).cast("long")).alias(c) if c in place else F.col(c)
+            for c in df.columns])
+
+    def transform(self, df: DataFrame, skip=()) -> DataFrame:
+        """``df`` with the columns of all dictionaries but ``skip`` encoded."""
+        todo = [(c, s.name) for s in self.specs if s.name not in skip for c in s.columns if c in df.columns]
+        limit = broadcast_bytes(df.sparkSession) if self.broadcast_limit is None else self.broadcast_limit
+        if todo and self.bytes > limit:
+            return self._in_long_form(df, todo)
+        for c, name in todo:
+            df = self._with_broadcast(df, c, name)
+        return df
 
 
 def fit_dictionaries(df: DataFrame, specs, broadcast_limit: int | None = None,
@@ -127,13 +152,8 @@ def dictionary_model(freq: DataFrame | None, specs, spark, broadcast_limit: int
     if freq is None or not specs:
         empty = spark.createDataFrame([], "dict string, key string, freq long, code long")
         return DictionaryModel((), empty, {}, {}, 0, broadcast_limit, partitions)
-    freq = cut_lineage(freq, "frequencies")
-    summary = freq.groupBy("dict").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("freq").alias("total"),
-        F.sum(F.octet_length("key") + ROW_OVERHEAD).alias("bytes")).collect()
-    sizes = {r["dict"]: r["n"] for r in summary}
-    parts = max(1, -(-sum(sizes.values()) // KEYS_PER_PARTITION))
-    codes = number_sorted(freq, "dict", "key", parts)
-    drop_cut(freq)
-    return DictionaryModel(tuple(specs), codes, sizes, {r["dict"]: r["total"] for r in summary},
-                           sum(r["bytes"] for r in summary), broadcast_limit, partitions)
+    codes, stats = number_sorted(freq)
+    sizes, totals = ({n: sum(r[c] for r in stats if r["dict"] == n) for n in {r["dict"] for r in stats}}
+                     for c in ("n", "total"))
+    return DictionaryModel(tuple(specs), codes, sizes, totals, sum(r["bytes"] for r in stats), broadcast_limit,
+                           partitions)

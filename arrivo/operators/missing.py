@@ -6,22 +6,27 @@ missing value are dropped, and later columns see fewer rows. For a string
 column "missing" in the ratio means the text ``NA``; its row filter
 ``col != 'NA'`` removes null as well (T5). For other columns missing is null.
 
-Fit reads the data once: every row becomes a small status vector (0 present,
-1 null, 2 NA) and ``groupBy(statuses).count()`` gives a histogram, with
-partial aggregation first. The histogram stays a frame; each column is
-decided by one aggregate over it, and its row filter shrinks it for the next
-column, exactly as the ordered rule shrinks the data.
+Fit takes two aggregations, whatever the number of columns. The profile
+(missing values of each column over all rows) bounds the rows that earlier
+columns may have removed, and that settles nearly every column. The others
+stay open: the second aggregation counts rows by the first settled column
+that removes them and by their statuses (0 present, 1 null, 2 NA) in the open
+columns, and the ordered rule is replayed exactly on these few counts. Should
+more than ``MAX_OPEN`` columns be open, the rows that are left go through both
+aggregations again.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from arrivo.session import cut_lineage, drop_cut
+#: Columns that one round may leave open; its counts are at most
+#: 2 * 3^MAX_OPEN for each column.
+MAX_OPEN = 5
 
 DROP_COLUMN = "drop_column"
 DROP_ROWS = "drop_rows"
@@ -83,15 +88,8 @@ class MissingPolicy:
         return [d.column_name for d in self.decisions if d.action == DROP_COLUMN]
 
     def transform(self, df: DataFrame) -> DataFrame:
-        cond = None
-        for d in self.decisions:
-            if d.action != DROP_ROWS or d.column_name not in df.columns:
-                continue
-            col = F.col(d.column_name)
-            keep = (col != "NA") if d.column_name in self.string_columns else col.isNotNull()
-            cond = keep if cond is None else cond & keep
-        out = df if cond is None else df.filter(cond)
-        return out.drop(*[c for c in self.dropped if c in df.columns])
+        return _without_missing(df, self.decisions, self.string_columns).drop(
+            *[c for c in self.dropped if c in df.columns])
 
     def decisions_frame(self, spark: SparkSession) -> DataFrame:
         return spark.createDataFrame(
@@ -99,7 +97,7 @@ class MissingPolicy:
             "position int, column_name string, rows_seen long, missing long, action string")
 
 
-def _decide(i, c, seen, missing, protected) -> str:
+def _decide(c, seen, missing, protected) -> str:
     # the reference compares a float ratio with 0.3; a zero-row frame gives NaN,
     # which is never >= 0.3, so rows are "dropped" instead of the column
     if seen > 0 and 10 * missing >= 3 * seen:
@@ -110,47 +108,95 @@ def _decide(i, c, seen, missing, protected) -> str:
     return DROP_ROWS
 
 
-def fit_missing_policy(df: DataFrame, columns=None, protected=()) -> MissingPolicy:
-    columns = list(columns or df.columns)
-    strings = frozenset(c for c in columns if _is_string(df, c))
-    if not columns:
-        return MissingPolicy((), strings, df.count())
-    hist = cut_lineage(df.select(*status_columns(df, columns))
-                       .groupBy(*[f"s{i}" for i in range(len(columns))])
-                       .agg(F.count(F.lit(1)).alias("n")), "patterns")
-    try:
-        return replay_policy(columns, strings, hist, protected)
-    finally:
-        drop_cut(hist)
-
-
-def status_columns(df: DataFrame, columns) -> list[Column]:
-    """Per-row status of each column: 0 present, 1 null, 2 ``NA`` (strings)."""
-    return [_status(df, c).alias(f"s{i}") for i, c in enumerate(columns)]
-
-
-def replay_policy(columns, strings, hist: DataFrame, protected=()) -> MissingPolicy:
-    """The ordered rule on a histogram frame (``s0..sk``, ``n``)."""
-    decisions, left = [], 0
+def _without_missing(df: DataFrame, decisions, strings) -> DataFrame:
+    """The rows that the decisions leave, with all columns."""
+    for d in decisions:
+        if d.action == DROP_ROWS and d.column_name in df.columns:
+            col = F.col(d.column_name)
+            df = df.filter((col != "NA") if d.column_name in strings else col.isNotNull())
+    return df
+
+
+def settled(profile: list[Row], strings) -> list[str | None]:
+    """What the profile alone decides for each column; None where it depends
+    on which rows earlier columns remove.
+
+    At most ``removed`` rows are gone before a column. Each of them lowers the
+    missing values by one at most, so the ratio is least if all of them were
+    missing here, and largest if none was."""
+    out, removed = [], 0
+    for r in profile:
+        rows = r["row_count"]
+        missing = r["na_count"] if r["column_name"] in strings else r["null_count"]
+        if missing == 0 or 10 * missing < 3 * (rows - removed):
+            out.append(DROP_ROWS)
+        elif rows > removed and 10 * (missing - removed) >= 3 * (rows - removed):
+            out.append(DROP_COLUMN)
+        else:
+            out.append(None)
+        if out[-1] != DROP_COLUMN:
+            removed = min(rows, removed + r["na_count"] + r["null_count"])
+    return out
+
+
+def _counted(df: DataFrame, columns, strings, actions) -> list[Row]:
+    """Rows by the first settled column that removes them (``first``, with the
+    status there) and their statuses in the open columns; for each settled
+    drop, its missing values in rows that are left there."""
+    status = [_status(df, c) for c in columns]
+    removing = [i for i, a in enumerate(actions) if a == DROP_ROWS]
+    first = F.coalesce(*[F.when(status[i] != 0, i) for i in removing], F.lit(len(columns)))
+    at_first = F.coalesce(*[F.when(status[i] != 0, status[i]) for i in removing], F.lit(0))
+    opened = [status[i].alias(f"s{i}") for i, a in enumerate(actions) if a is None]
+    drops = [(i, 2 if columns[i] in strings else 1) for i, a in enumerate(actions) if a == DROP_COLUMN]
+    rows = df.select(first.alias("first"), at_first.alias("at_first"), *opened,
+                     *[(status[i] == bad).alias(f"m{i}") for i, bad in drops])
+    keys = ["first", "at_first", *[f"s{i}" for i, a in enumerate(actions) if a is None]]
+    return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), *[
+        F.count_if(F.col(f"m{i}") & (F.col("first") > i)).alias(f"m{i}") for i, _ in drops]).collect()
+
+
+def _replayed(counts: list[Row], columns, strings, actions, at: int, protected) -> tuple[list[Decision], int]:
+    """The ordered rule on the counts: decisions (positions from ``at``) and
+    the rows they leave."""
+    decisions = []
     for i, c in enumerate(columns):
-        s = F.col(f"s{i}")
-        seen, missing, left = hist.agg(*[F.coalesce(F.sum(x), F.lit(0)) for x in (
-            F.col("n"), F.when(s == (2 if c in strings else 1), F.col("n")), F.when(s == 0, F.col("n")))]).first()
-        action = _decide(i, c, seen, missing, protected)
-        if action == DROP_ROWS:
-            hist = hist.filter(s == 0)
+        bad = 2 if c in strings else 1
+        here = [r for r in counts if r["first"] >= i]
+        seen = sum(r["n"] for r in here)
+        if actions[i] == DROP_ROWS:
+            missing = sum(r["n"] for r in here if r["first"] == i and r["at_first"] == bad)
+        elif actions[i] == DROP_COLUMN:
+            missing = sum(r[f"m{i}"] for r in here)
         else:
-            left = seen
-        decisions.append(Decision(i, c, seen, missing, action))
-    if left == 0:
-        raise PolicyError("the missing-value policy leaves no rows")
-    return MissingPolicy(tuple(decisions), frozenset(strings), left)
+            missing = sum(r["n"] for r in here if r[f"s{i}"] == bad)
+        action = _decide(c, seen, missing, protected)
+        if actions[i] is None and action == DROP_ROWS:
+            counts = [r for r in counts if r[f"s{i}"] == 0]
+        decisions.append(Decision(at + i, c, seen, missing, action))
+    return decisions, sum(r["n"] for r in counts if r["first"] == len(columns))
 
 
-def survives(policy: MissingPolicy) -> Column:
-    """Row survival as a predicate over the status columns ``s0..sk``."""
-    cond = F.lit(True)
-    for d in policy.decisions:
-        if d.action == DROP_ROWS:
-            cond = cond & (F.col(f"s{d.position}") == 0)
-    return cond
+def fit_missing_policy(df: DataFrame, columns=None, protected=()) -> MissingPolicy:
+    """``df`` is read twice (more often only beyond ``MAX_OPEN``), so it should
+    be a table or a frame that is cheap to read."""
+    columns = list(columns or df.columns)
+    strings = frozenset(c for c in columns if _is_string(df, c))
+    decisions: list[Decision] = []
+    left = None
+    while len(decisions) < len(columns):
+        rest = columns[len(decisions):]
+        actions = settled(sorted(missing_profile(df, rest).collect(), key=lambda r: r["position"]), strings)
+        opened = [i for i, a in enumerate(actions) if a is None]
+        # an open column has others before it, so every round gets further
+        end = opened[MAX_OPEN] if len(opened) > MAX_OPEN else len(rest)
+        rest, actions = rest[:end], actions[:end]
+        counts = _counted(df, rest, strings, actions)
+        more, left = _replayed(counts, rest, strings, actions, len(decisions), protected)
+        decisions += more
+        df = _without_missing(df, more, strings)
+    if left is None:
+        left = df.count()
+    elif left == 0:
+        raise PolicyError("the missing-value policy leaves no rows")
+    return MissingPolicy(tuple(decisions), strings, left)

@@ -3,10 +3,11 @@
 score.
 
 Passes over the data before training: the dedup shuffle, written to the
-shared checkpoint folder; ONE aggregation that fits the missing-value policy
-and all dictionaries (and the year list) together; and the prepared frame,
-written because the model search reads it many times. Lost executors read
-these tables again instead of the raw input. ``Prepared.close`` deletes them.
+shared checkpoint folder; three aggregations over that table, two for the
+missing-value policy and one for all dictionaries (and the year list)
+together; and the prepared frame, written because the model search reads it
+many times. Lost executors read these tables again instead of the raw input.
+``Prepared.close`` deletes them.
 """
 
 from __future__ import annotations
@@ -15,19 +16,18 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from arrivo.functions.calendar import CORRECTED
 from arrivo.functions.holidays import FIRST_YEAR, LAST_YEAR, add_proximity, distinct_years
 from arrivo.layout import Layout
-from arrivo.operators.clean import (cast_text_columns, dedup_rows, drop_and_filter,
-                                    drop_null_label, drop_strings)
+from arrivo.operators.clean import (cast_text_columns, dedup_rows, dedup_to, drop_names, drop_null_label,
+                                    drop_strings, keep_not_cancelled)
 from arrivo.functions.casts import text_to_int
-from arrivo.operators.encode import DictionaryModel, DictSpec, dictionary_model
+from arrivo.operators.encode import DictionaryModel, DictSpec, fit_dictionaries
 from arrivo.operators.enrich import join_dimension
 from arrivo.operators.features import (add_interactions, append_scaled_squares, assemble,
                                        feature_columns, squared_feature_names)
-from arrivo.operators.missing import MissingPolicy, replay_policy, status_columns, survives
+from arrivo.operators.missing import MissingPolicy, fit_missing_policy
 from arrivo.plans.model import (REFERENCE_GRID, TEST_PERCENT, Grid, build_search, fit_scaler,
                                 is_holdout, is_linear, rmse_expr, with_buckets)
 from arrivo.session import cut_lineage, drop_cut
@@ -48,68 +48,22 @@ def dictionary_specs(layout: Layout) -> list[DictSpec]:
     ]
 
 
-def encode_without_years(model: DictionaryModel, df: DataFrame) -> DataFrame:
-    out = df
-    for spec in model.specs:
-        if spec.name == YEAR_DICT:
-            continue
-        for c in spec.columns:
-            if c in out.columns:
-                out = model.encode_column(out, c, spec.name)
-    return out
-
-
 def years_from(model: DictionaryModel) -> DataFrame:
     """(year): the fitted years that can form a date."""
     year = F.col("key").cast("int")
     return model.keys(YEAR_DICT).filter(year.between(FIRST_YEAR, LAST_YEAR)).select(year.alias("year"))
 
 
-ROW_MARK = "__row__"
-
-
 def fit_clean_steps(base: DataFrame, layout: Layout):
-    """Missing-value policy and every dictionary from ONE pass over ``base``.
-
-    Each row emits a histogram marker and its (dictionary, column, key)
-    pairs, all tagged with the row's status vector and whether its label
-    survives the cast; one ``groupBy`` counts them (partial aggregation
-    first). The policy is replayed on the marker counts; the dictionaries
-    take the pairs whose tags survive the decisions and whose column is
-    kept. The aggregate is cut once because both uses read it."""
-    columns = base.columns
-    strings = frozenset(c for c in columns
-                        if isinstance(base.schema[c].dataType, T.StringType))
-    specs = [DictSpec(s.name, tuple(c for c in s.columns if c in columns))
-             for s in dictionary_specs(layout)]
-    specs = [s for s in specs if s.columns]
+    """Missing-value policy and every dictionary of a cleaned frame. The
+    policy takes two aggregations; then one pass over the rows and columns
+    that it leaves (those whose label survives the cast) counts the keys of
+    all dictionaries together."""
+    policy = fit_missing_policy(base, protected=layout.protected())
+    kept = policy.transform(base)
     label = F.col(layout.label)
-    label_ok = (text_to_int(label) if layout.label in layout.text_to_int else label).isNotNull()
-    pairs = [F.struct(F.lit(s.name).alias("dict"), F.lit(c).alias("col"),
-                      F.col(c).cast("string").alias("key")) for s in specs for c in s.columns]
-    pairs.append(F.struct(F.lit(ROW_MARK).alias("dict"), F.lit(None).cast("string").alias("col"),
-                          F.lit(None).cast("string").alias("key")))
-    s_cols = [f"s{i}" for i in range(len(columns))]
-    agg = (base.select(*status_columns(base, columns), label_ok.alias("__lok"),
-                       F.explode(F.array(*pairs)).alias("p"))
-           .select(*s_cols, "__lok", "p.dict", "p.col", "p.key")
-           .filter((F.col("dict") == ROW_MARK) | F.col("key").isNotNull())
-           .groupBy("dict", "col", "key", *s_cols, "__lok")
-           .agg(F.count(F.lit(1)).alias("n")))
-    agg = cut_lineage(agg, "fit")
-    hist = cut_lineage(agg.filter(F.col("dict") == ROW_MARK).groupBy(*s_cols)
-                       .agg(F.sum("n").alias("n")), "patterns")
-    policy = replay_policy(columns, strings, hist, layout.protected())
-    kept = [c for c in columns if c not in policy.dropped]
-    specs = [DictSpec(s.name, tuple(c for c in s.columns if c in kept)) for s in specs]
-    specs = [s for s in specs if s.columns]
-    freq = (agg.filter((F.col("dict") != ROW_MARK) & survives(policy) & F.col("__lok")
-                       & F.col("col").isin(kept))
-            .groupBy("dict", "key").agg(F.sum("n").alias("freq")))
-    dictionaries = dictionary_model(freq, specs, base.sparkSession)
-    drop_cut(hist)
-    drop_cut(agg)
-    return policy, dictionaries
+    cast = text_to_int(label) if layout.label in layout.text_to_int else label
+    return policy, fit_dictionaries(kept.filter(cast.isNotNull()), dictionary_specs(layout))
 
 
 @dataclass
@@ -117,7 +71,7 @@ class Prepared:
     """A fitted preparation and its frame. The algorithm, proximity mode,
     calendar and dimension of the fit are kept, so that ``apply_prepared``
     treats new rows alike."""
-    frame: DataFrame
+    frame: DataFrame | None     # None in a stored fit
     features: list[str]
     layout: Layout
     algorithm: str
@@ -138,24 +92,39 @@ class Prepared:
         self.dictionaries.close()
 
 
+#: From this share of dropped columns on, dedup groups by row signature.
+SIGNATURE_SHARE = 1 / 3
+
+
 def clean(raw: DataFrame, layout: Layout, unknown=(), dimension: DataFrame | None = None):
     """Dedup, optional dimension join, drops, cancelled filter; returns the
-    frame and the dimension outcome."""
-    df = dedup_rows(raw)
+    frame, the dimension outcome and the tables written on the way."""
+    written = []
+    kept = drop_names(raw, (*unknown, *layout.fixed_drops)).columns
+    if dimension is not None and layout.vehicle in raw.columns and layout.vehicle not in kept:
+        kept = [c for c in raw.columns if c in kept or c == layout.vehicle]
+    if len(raw.columns) - len(kept) >= SIGNATURE_SHARE * len(raw.columns):
+        # equal rows are cancelled together, so the filter may come first
+        df = dedup_to(keep_not_cancelled(raw, layout.cancelled), kept)
+        written.append(df)
+    else:
+        df = keep_not_cancelled(dedup_rows(raw), layout.cancelled)
     reason = "no dimension given"
     if dimension is not None:
         enr = join_dimension(df, dimension, layout.vehicle, layout.dim_key,
                              (layout.dim_model, layout.dim_engine))
         df, reason = enr.frame, enr.reason
-    return drop_and_filter(df, layout, unknown), reason
+    return drop_names(df, (*unknown, *layout.fixed_drops)), reason, written
 
 
 def prepare(raw: DataFrame, layout: Layout, algorithm: str = "lr", unknown=(),
             dimension: DataFrame | None = None, proximity_mode: str = "nearest",
             calendar=CORRECTED) -> Prepared:
-    base, reason = clean(raw, layout, unknown, dimension)
-    # read by the fit and by the final cut
-    base = cut_lineage(base, "cleaned")
+    base, reason, written = clean(raw, layout, unknown, dimension)
+    if not written or reason is None:
+        # read by the fits and by the final cut
+        base = cut_lineage(base, "cleaned")
+        written.append(base)
     policy, dicts = fit_clean_steps(base, layout)
     years = years_from(dicts) if layout.year in base.columns else None
     df = _derived(base, layout, algorithm, policy, dicts, years, proximity_mode, calendar,
@@ -164,7 +133,7 @@ def prepare(raw: DataFrame, layout: Layout, algorithm: str = "lr", unknown=(),
     exclude = (layout.split_key,) if layout.split_key else ()
     features = feature_columns(df, layout.label, exclude)
     return Prepared(df, features, layout, algorithm, policy, dicts, years, proximity_mode, tuple(calendar),
-                    dimension if reason is None else None, reason, [base, df])
+                    dimension if reason is None else None, reason, [*written, df])
 
 
 def _derived(df: DataFrame, layout: Layout, algorithm: str, policy: MissingPolicy,
@@ -175,7 +144,7 @@ def _derived(df: DataFrame, layout: Layout, algorithm: str, policy: MissingPolic
     df = cast_text_columns(df, layout.text_to_int)
     if layout.label in df.columns:
         df = drop_null_label(df, layout.label)
-    df = encode_without_years(dicts, df)
+    df = dicts.transform(df, skip=(YEAR_DICT,))
     if years is not None:
         df = add_proximity(df, layout.year, layout.month, layout.day, layout.proximity, mode=mode,
                            calendar=calendar, years=years, drop_single_year=drop_single_year)
@@ -190,7 +159,8 @@ def apply_prepared(prep: Prepared, raw: DataFrame, unknown=()) -> DataFrame:
     Columns come out in the fitted feature order, plus the label and split
     key when present."""
     layout = prep.layout
-    df, _ = clean(raw, layout, unknown, prep.dimension)
+    df, _, written = clean(raw, layout, unknown, prep.dimension)
+    prep.written += written
     years = prep.years
     if years is not None and layout.year in df.columns:
         years = cut_lineage(years.unionByName(distinct_years(df, layout.year)).distinct(), "years")
@@ -227,6 +197,9 @@ class Scored:
     train_rows: int
     test_rows: int
     vector_names: list[str]
+    features: list[str]
+    squares: bool
+    test_percent: int = TEST_PERCENT
 
     def metrics(self, spark: SparkSession) -> DataFrame:
         """The report as a frame instead of a printed line."""
@@ -254,7 +227,7 @@ def train_and_score(prep: Prepared, algorithm: str = "lr", grid: Grid = REFERENC
     n_train = train.count()
     drop_cut(train)
     return Scored(algorithm, cv_model, scaler, r["rmse"], n_train, r["n"],
-                  squared_feature_names(features) if squares else features)
+                  squared_feature_names(features) if squares else features, features, squares, test_percent)
 
 
 @dataclass

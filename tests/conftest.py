@@ -17,3 +17,10 @@ def spark():
 
 
 SF_SMALL = "/root/testdata/sf0.001"
+
+
+def exchanges(df):
+    """The columns that each exchange of a plan moves."""
+    text = df.sparkSession.sparkContext._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+    return [block.split("Input", 1)[1].split("\n", 1)[0] for block in text.split("\n\n")
+            if ") Exchange\n" in block and "Input" in block]

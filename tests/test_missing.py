@@ -146,3 +146,70 @@ def test_fused_fit_equals_separate_fits(spark):
     want = sorted(tuple(r) for r in ref.codes.select("dict", "key", "freq", "code").collect())
     assert got == want
     assert [s.columns for s in dicts.specs] == [s.columns for s in ref.specs]
+
+
+def random_frame(spark, rnd, columns, rows, shares):
+    """Columns with about the given shares of NA and null, some of them
+    missing together."""
+    out = []
+    for _ in range(rows):
+        luck = rnd.random()
+        out.append(tuple(
+            (rnd.choice([None, "NA", "NA"]) if i % 2 else None)
+            if (luck if i % 3 == 0 else rnd.random()) < shares[i] else ("x" if i % 2 else i)
+            for i in range(columns)))
+    return spark.createDataFrame(out, ", ".join(f"c{i} {'string' if i % 2 else 'int'}" for i in range(columns)))
+
+
+def test_open_columns_equal_sequential(spark, monkeypatch):
+    """Ratios near the limit, which the profile leaves open, in one round
+    and in as many as there are open columns."""
+    from arrivo.operators import missing
+    rnd, opened = random.Random(12), 0
+    for case in range(6):
+        monkeypatch.setattr(missing, "MAX_OPEN", 5 if case % 2 else 1)
+        shares = [rnd.choice([0, 0.1, 0.25, 0.3, 0.33, 0.5]) for _ in range(9)]
+        df = random_frame(spark, rnd, 9, 150, shares).coalesce(1).cache()
+        strings = {f"c{i}" for i in range(1, 9, 2)}
+        opened += missing.settled(missing_profile(df).collect(), strings).count(None)
+        want, left = sequential(df, strings)
+        if left == 0:
+            with pytest.raises(PolicyError):
+                fit_missing_policy(df)
+            continue
+        got = fit_missing_policy(df)
+        assert [(d.position, d.column_name, d.rows_seen, d.missing, d.action) for d in got.decisions] == want
+        assert got.rows_left == left == got.transform(df).count()
+    assert opened > 6
+
+
+def test_settled_columns_hold_for_every_removal():
+    """What the profile settles is what the rule decides whichever rows went
+    before, by trying every number of removed rows and missing ones."""
+    from collections import namedtuple
+    from arrivo.operators.missing import settled
+    line = namedtuple("line", "column_name na_count null_count row_count")
+    for rows in (10, 13):
+        for gone in range(rows + 1):
+            for missing in range(rows + 1):
+                profile = [line("a", 0, gone, rows)._asdict(), line("b", 0, missing, rows)._asdict()]
+                first, second = settled(profile, set())
+                most = 0 if first == DROP_COLUMN else gone
+                possible = {DROP_COLUMN if rows > r and 10 * left >= 3 * (rows - r) else DROP_ROWS
+                            for r in ({gone} if most else {0}) for left in range(max(0, missing - r), min(missing, rows - r) + 1)}
+                assert second is None or possible == {second}, (rows, gone, missing)
+
+
+def test_jobs_do_not_grow_with_columns(spark):
+    def jobs(columns):
+        df = random_frame(spark, random.Random(1), columns, 60, [0.02] * columns).coalesce(1).cache()
+        df.count()
+        group = f"policy-{columns}"
+        spark.sparkContext.setJobGroup(group, group)
+        try:
+            fit_missing_policy(df)
+        finally:
+            spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+    assert 0 < jobs(4) == jobs(16) <= 6
