@@ -11,9 +11,6 @@ downstream SQL states the resulting column list.
 
 from __future__ import annotations
 
-from dataclasses import replace
-
-from arrivo.functions.calendar import CORRECTED
 from arrivo.layout import INTERACTION_NAMES
 from arrivo.sources.tables import TRIP_COLUMNS
 
@@ -124,38 +121,41 @@ def _sql_str(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
-_ISO = {"MON": 1, "TUE": 2, "WED": 3, "THU": 4, "FRI": 5, "SAT": 6, "SUN": 7}
-
-
-def _rule_sql(y: str, calendar=CORRECTED) -> list[str]:
-    built, out = {}, []
-    for r in calendar:
-        if r.kind == "fixed":
-            e = f"make_date({y}, {r.month}, {r.day})"
-        elif r.kind == "nth":
-            first = f"make_date({y}, {r.month}, 1)"
-            e = (f"make_date({y}, {r.month}, CAST(1 + ({_ISO[r.weekday]} - isodow({first}) + 7) % 7"
-                 f" + {7 * (r.n - 1)} AS INTEGER))")
-        elif r.kind == "last":
-            last = f"last_day(make_date({y}, {r.month}, 1))"
-            e = (f"CAST({last} - CAST((isodow({last}) - {_ISO[r.weekday]} + 7) % 7 AS INTEGER)"
-                 f" AS DATE)")
-        elif r.kind == "same":
-            e = built[r.ref]
-        elif r.kind == "before":
-            e = f"CAST({built[r.ref]} - {r.day} AS DATE)"
-        else:
-            raise ValueError(r.kind)
-        built[r.name] = e
-        out.append(e)
-    return out
+def _nth(month: int, weekday: int, n: int) -> str:
+    """The n-th weekday (ISO number) of a month of year y."""
+    first = f"make_date(y, {month}, 1)"
+    return f"make_date(y, {month}, CAST(1 + ({weekday} - isodow({first}) + 7) % 7 + {7 * (n - 1)} AS INTEGER))"
+
+
+# The holidays in array order, as SQL of the year y
+HOLIDAYS = (
+    ("Sundance festival", "make_date(y, 1, 29)"),
+    ("Independence Day", "make_date(y, 7, 4)"),
+    ("US Open tennis", "make_date(y, 8, 27)"),
+    ("Halloween", "make_date(y, 10, 31)"),
+    ("New Year's Eve", "make_date(y, 12, 31)"),
+    ("Christmas", "make_date(y, 12, 25)"),
+    ("Veterans Day", "make_date(y, 11, 11)"),
+    ("Juneteenth", "make_date(y, 6, 19)"),
+    ("Easter (approximate)", "make_date(y, 4, 4)"),
+    ("Super Bowl", _nth(2, 7, 1)),
+    ("Masters golf", _nth(4, 7, 2)),
+    ("Boston Marathon", _nth(4, 1, 3)),
+    ("Thanksgiving", _nth(11, 4, 4)),
+    ("Labor Day", _nth(9, 1, 1)),
+    ("Columbus Day", _nth(10, 1, 2)),
+    ("MLK Day", _nth(1, 1, 3)),
+    ("Presidents' Day", _nth(2, 1, 3)),
+    ("Burning Man", _nth(9, 1, 1)),
+    ("Mardi Gras", "CAST(make_date(y, 4, 4) - 47 AS DATE)"),
+    ("Memorial Day", "CAST(make_date(y, 5, 31) - CAST(isodow(make_date(y, 5, 31)) - 1 AS INTEGER) AS DATE)"),
+)
 
 
 def holidays_cte(years_sql: str) -> str:
     rows = "\nUNION ALL\n".join(
-        f"SELECT y AS year, CAST({i + 1} AS INTEGER) AS holiday_no, {_sql_str(r.name)} AS "
-        f"holiday_name, {e} AS holiday_date FROM years"
-        for i, (r, e) in enumerate(zip(CORRECTED, _rule_sql("y"))))
+        f"SELECT y AS year, CAST({i + 1} AS INTEGER) AS holiday_no, {_sql_str(name)} AS "
+        f"holiday_name, {e} AS holiday_date FROM years" for i, (name, e) in enumerate(HOLIDAYS))
     return f"years AS ({years_sql}),\nhol AS (\n{rows}\n)"
 
 
@@ -346,15 +346,17 @@ AS_BUILT_EARLY = {
 def holiday_calendar_as_built_sql() -> str:
     """The right rules with two months swapped and Memorial Day left out, and
     the early years taken from the table."""
-    swapped = {"Labor Day": 10, "Columbus Day": 9}
-    calendar = tuple(replace(r, month=swapped.get(r.name, r.month)) for r in CORRECTED if r.name != "Memorial Day")
+    swapped = {"Labor Day": _nth(10, 1, 1), "Burning Man": _nth(10, 1, 1), "Columbus Day": _nth(9, 1, 2)}
     rows = []
-    for i, (r, e) in enumerate(zip(calendar, _rule_sql("y", calendar))):
-        rule = "Labor Day" if r.name == "Burning Man" else r.name
+    for name, e in HOLIDAYS:
+        if name == "Memorial Day":
+            continue
+        e = swapped.get(name, e)
+        rule = "Labor Day" if name == "Burning Man" else name
         if rule in AS_BUILT_EARLY:
             early = "NULL" if rule == "Labor Day" else f"CAST({e} - 7 AS DATE)"
             e = f"CASE WHEN y IN {AS_BUILT_EARLY[rule]} THEN {early} ELSE {e} END"
-        rows.append(f"SELECT y AS year, CAST({i + 1} AS INTEGER) AS holiday_no, {_sql_str(r.name)} AS "
+        rows.append(f"SELECT y AS year, CAST({len(rows) + 1} AS INTEGER) AS holiday_no, {_sql_str(name)} AS "
                     f"holiday_name, {e} AS holiday_date FROM years")
     return (_with(TRIPS, "years AS (SELECT DISTINCT trip_year AS y FROM trips)") + "\n" + "\nUNION ALL\n".join(rows))
 
@@ -424,6 +426,59 @@ SELECT dep_delay, round(CASE WHEN dep_delay <= point THEN lo ELSE hi END, 6) AS
 FROM (SELECT DISTINCT dep_delay FROM prepared), best"""
 
 
+def _best_split_ctes(rows: str, name: str) -> str:
+    """``name``(side, f, v, lo, hi): for each side of ``rows`` (side, x1, x2,
+    y) the split x_f <= v with the least sum of squares, and both means."""
+    return f"""
+{name}_long AS (SELECT side, 1 AS f, x1 AS v, y FROM {rows} UNION ALL SELECT side, 2, x2, y FROM {rows}),
+{name}_cuts AS (SELECT t.side, c.f, c.v,
+    count(*) FILTER (t.v <= c.v) AS nl, count(*) FILTER (t.v > c.v) AS nr,
+    sum(t.y) FILTER (t.v <= c.v) AS sl, sum(t.y) FILTER (t.v > c.v) AS sr, sum(power(t.y, 2)) AS q
+  FROM (SELECT DISTINCT f, v FROM {name}_long) c JOIN {name}_long t ON t.f = c.f GROUP BY t.side, c.f, c.v),
+{name} AS (SELECT side, f, v, sl / nl AS lo, sr / nr AS hi FROM {name}_cuts WHERE nl > 0 AND nr > 0
+  QUALIFY row_number() OVER (PARTITION BY side ORDER BY q - power(sl, 2) / nl - power(sr, 2) / nr, f, v) = 1)"""
+
+
+def rf_two_levels_sql() -> str:
+    goes = "CASE WHEN CASE {0}.f WHEN 1 THEN {1}.x1 ELSE {1}.x2 END <= {0}.v THEN {2} ELSE {3} END"
+    return _with(
+        *prepared_ctes(),
+        "top_rows AS (SELECT 0 AS side, dep_delay AS x1, taxi_out AS x2, arr_delay AS y FROM prepared WHERE bucket >= 1)",
+        _best_split_ctes("top_rows", "top"),
+        f"low_rows AS (SELECT {goes.format('top', 'r', 0, 1)} AS side, r.x1, r.x2, r.y FROM top_rows r, top)",
+        _best_split_ctes("low_rows", "low"),
+        "points AS (SELECT DISTINCT dep_delay AS x1, taxi_out AS x2 FROM prepared)") + f"""
+SELECT p.x1 AS dep_delay, p.x2 AS taxi_out, round({goes.format('low', 'p', 'low.lo', 'low.hi')}, 6) AS prediction
+FROM points p CROSS JOIN top JOIN low ON low.side = {goes.format('top', 'p', 0, 1)}"""
+
+
+def scan_rejects_sql() -> str:
+    """Line lengths and texts as the query writes them."""
+    late = ", ".join(f"'{c}'" for c in TRIP_COLUMNS[10:])
+    return _with(TRIPS) + f"""
+SELECT c AS column_name, 'missing_field' AS reject, count(*) AS lines
+FROM trips, unnest([{late}]) u(c) WHERE o_orderkey % 97 = 0 GROUP BY c
+UNION ALL
+SELECT CAST(NULL AS VARCHAR), 'extra_field', count(*) FROM trips
+WHERE o_orderkey % 97 <> 0 AND o_orderkey % 89 = 1 HAVING count(*) > 0
+UNION ALL
+SELECT 'distance', 'bad_value', count(*) FROM trips
+WHERE o_orderkey % 97 <> 0 AND o_orderkey % 83 = 2 HAVING count(*) > 0"""
+
+
+def encode_unseen_sql() -> str:
+    fit = "(SELECT * FROM trips WHERE dest < 'NATION_2')"
+    return _with(
+        TRIPS, _dict_cte("ap", f"SELECT origin AS k FROM {fit} UNION SELECT dest AS k FROM {fit}"),
+        *[_dict_cte(n, f"SELECT CAST({c} AS VARCHAR) AS k FROM {fit}") for n, c in (
+            ("ca", "carrier"), ("rt", "route_num"), ("cc", "cancel_code"), ("ve", "vehicle_id"))]) + """
+SELECT t.o_orderkey, coalesce(ca.code, -1) AS carrier, coalesce(o.code, -1) AS origin, coalesce(d.code, -1) AS dest,
+       coalesce(rt.code, -1) AS route_num, coalesce(cc.code, -1) AS cancel_code, coalesce(ve.code, -1) AS vehicle_id
+FROM trips t LEFT JOIN ca ON t.carrier = ca.k LEFT JOIN ap o ON t.origin = o.k LEFT JOIN ap d ON t.dest = d.k
+LEFT JOIN rt ON CAST(t.route_num AS VARCHAR) = rt.k LEFT JOIN cc ON t.cancel_code = cc.k
+LEFT JOIN ve ON t.vehicle_id = ve.k"""
+
+
 def score_one_feature_sql() -> str:
     return _one_feature_ctes() + """
 , f AS (SELECT regr_slope(y, x) AS a, regr_intercept(y, x) AS b, count(*) AS n FROM tr)
@@ -431,6 +486,13 @@ SELECT 'linear' AS algorithm, round(sqrt(avg(power(y - a * x - b, 2))), 5) AS rm
        any_value(n) AS train_rows, count(*) AS test_rows FROM xy, f WHERE bucket < 1"""
 
 
+def scored_rows_sql() -> str:
+    return _one_feature_ctes().replace("arr_delay AS y, bucket", "arr_delay AS y, o_orderkey, bucket") + """
+, f AS (SELECT regr_slope(y, x) AS a, regr_intercept(y, x) AS b FROM tr)
+SELECT 'first-run' AS run_id, round(sqrt(avg(power(y - a * x - b, 2))), 5) AS rmse, count(*) AS test_rows,
+       min(o_orderkey) AS least_key FROM xy, f WHERE bucket < 1"""
+
+
 def scaled_squares_sql() -> str:
     names = list(FEATURES) + [f"{f}Squared" for f in FEATURES if "interaction" not in f.lower()]
     scaled = [f"CASE WHEN s{i} = 0 THEN 0.0 ELSE ({f} - m{i}) / s{i} END"
@@ -456,7 +518,10 @@ def oracle_sql() -> dict[str, str]:
     a = TRIP_COLUMNS
     return {
         "contract_scan": _with(TRIPS) + "\nSELECT *, cancel_code AS extracode FROM trips",
+        "scan_rejects": scan_rejects_sql(),
         "dedup_rows": _with(TRIPS) + "\nSELECT DISTINCT * FROM trips",
+        "dedup_signature": _with(TRIPS) + "\nSELECT trip_month, carrier, origin, taxi_out FROM "
+                                          "(SELECT DISTINCT * FROM trips)",
         "drop_and_filter": _with(TRIPS, FILTERED) + "\nSELECT * FROM filtered",
         "missing_profile": missing_profile_sql(),
         "missing_decisions": missing_decisions_sql(),
@@ -499,11 +564,19 @@ FROM trips t JOIN ca ON t.carrier = ca.k JOIN ap o ON t.origin = o.k JOIN ap d O
         "assemble_skips": _with(TRIPS, _cast_cte()) + """
 SELECT o_orderkey, taxi_out, dep_delay, sched_minutes, distance FROM casted
 WHERE dep_delay IS NOT NULL AND sched_minutes IS NOT NULL AND distance IS NOT NULL""",
+        "encode_unseen_salted": encode_unseen_sql(),
+        "dim_lookup_unmatched": _with(TRIPS) + """
+SELECT t.o_orderkey, t.origin, t.dest, r.r_name AS dest_city
+FROM trips t JOIN nation n ON t.dest = n.n_name
+LEFT JOIN region r ON n.n_regionkey = r.r_regionkey AND r.r_name IN ('ASIA', 'EUROPE')""",
         "apply_fitted": apply_fitted_sql(),
+        "apply_stored": apply_fitted_sql(),
         "lr_fit": lr_fit_sql(),
         "lr_elastic": lr_elastic_sql(),
         "cv_mean_rmse": cv_mean_rmse_sql(),
         "rf_stump": rf_stump_sql(),
+        "rf_two_levels": rf_two_levels_sql(),
+        "scored_rows": scored_rows_sql(),
         "score_one_feature": score_one_feature_sql(),
         "interactions": interactions_sql(),
         "squares_columns": squares_columns_sql(),

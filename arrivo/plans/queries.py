@@ -11,18 +11,18 @@ from pyspark.sql import functions as F
 from arrivo.functions.calendar import AS_BUILT, CORRECTED, calendar_frame
 from arrivo.functions.holidays import add_proximity, date_key, distinct_years, row_date
 from arrivo.layout import TRIPS
-from arrivo.operators.clean import (cast_text_columns, dedup_rows, drop_and_filter,
+from arrivo.operators.clean import (cast_text_columns, dedup_rows, dedup_to, drop_and_filter,
                                     drop_constant, drop_strings, keep_not_cancelled)
 from arrivo.operators.encode import DictSpec, fit_dictionaries
 from arrivo.operators.enrich import enrich_from_csv, join_dimension, lookup
 from arrivo.operators.features import (add_interactions, add_squared_columns, assemble,
                                        squared_feature_names)
 from arrivo.operators.missing import fit_missing_policy, missing_profile
-from arrivo.plans import flow
+from arrivo.plans import flow, stored
 from arrivo.plans.model import (LR_ELASTIC_NET, LR_REG_PARAMS, REFERENCE_GRID, Grid, grid_report,
                                 is_holdout, rmse_expr, with_buckets)
 from arrivo.session import cut_lineage, scratch_path
-from arrivo.sources.contract import scan_contract
+from arrivo.sources.contract import scan_contract, scan_rejects
 from arrivo.sources.tables import (DIMENSION_HEADER, TRIPS_CONTRACT, place_lookup, trips,
                                    vehicle_dimension)
 
@@ -44,10 +44,38 @@ def q_contract_scan(spark: SparkSession, sf: str) -> DataFrame:
     return scan.frame
 
 
+def q_scan_rejects(spark, sf):
+    """Lines that end early, have a surplus field or a text where a
+    number belongs, in four CSV folders."""
+    t, key = trips(spark, sf), F.col("o_orderkey")
+    fields = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in t.columns]
+    fields[t.columns.index("distance")] = F.when(key % 83 == 2, "far").otherwise(F.col("distance").cast("string"))
+    line = F.when(key % 97 == 0, F.concat_ws(",", *fields[:10])).when(
+        key % 89 == 1, F.concat_ws(",", *fields, F.lit("surplus"))).otherwise(F.concat_ws(",", *fields))
+    # one file for each value of part, its header first
+    part = F.concat(key % 4, F.lit(".csv"))
+    headers = spark.range(4).select(F.concat("id", F.lit(".csv")).alias("part"), F.lit(0).alias("no"),
+                                    F.lit(",".join(t.columns)).alias("value"))
+    lines = t.select(part.alias("part"), F.lit(1).alias("no"), line.alias("value")).unionByName(headers)
+    path = scratch_path(spark, "lines")
+    lines.repartition("part").sortWithinPartitions("part", "no").select("part", "value").write.partitionBy(
+        "part").text(path)
+    return scan_rejects(spark, [f"{path}/part={i}.csv" for i in range(4)], TRIPS_CONTRACT, (L.cancelled, L.label))
+
+
+def _repeated_trips(spark, sf):
+    t = trips(spark, sf)
+    return t.unionByName(t.filter(F.col(L.taxi_out).isin("1", "4")))
+
+
 def q_dedup_rows(spark, sf):
     """P1 over whole rows, some of which are repeated."""
-    t = trips(spark, sf)
-    return dedup_rows(t.unionByName(t.filter(F.col(L.taxi_out).isin("1", "4"))))
+    return dedup_rows(_repeated_trips(spark, sf))
+
+
+def q_dedup_signature(spark, sf):
+    """P1 by row signature, shuffling the kept columns only."""
+    return dedup_to(_repeated_trips(spark, sf), ["trip_month", "carrier", "origin", "taxi_out"])
 
 
 def q_drop_and_filter(spark, sf):
@@ -120,6 +148,13 @@ def q_dim_lookup_salted(spark, sf):
     return lookup(t, "dest", twice, "dest_city", duplicates="last", order="no", broadcast_limit=0, partitions=128)
 
 
+def q_dim_lookup_unmatched(spark, sf):
+    """S10 beyond the broadcast limit; codes without a match give null."""
+    t = trips(spark, sf).select("o_orderkey", "origin", "dest")
+    places = place_lookup(spark, sf).filter(F.col("city").isin("ASIA", "EUROPE"))
+    return lookup(t, "dest", places, "dest_city", broadcast_limit=0, partitions=128)
+
+
 def q_dim_lookup(spark, sf):
     t = trips(spark, sf).select("o_orderkey", "trip_year", "origin", "dest")
     places = place_lookup(spark, sf)
@@ -160,6 +195,16 @@ def q_encode_salted(spark, sf):
                             partitions=128).transform(t)
 
 
+def q_encode_unseen_salted(spark, sf):
+    """J3, E1-E4 beyond the broadcast limit: all columns in one long join;
+    keys that the fit never saw get -1."""
+    t = _cut_trips(spark, sf).select("o_orderkey", L.carrier, L.origin, L.dest, L.route, "cancel_code", L.vehicle)
+    specs = [AIRPORT, DictSpec("carrier", (L.carrier,)), DictSpec("route", (L.route,)),
+             DictSpec("cancel", ("cancel_code",)), DictSpec("vehicle", (L.vehicle,))]
+    fitted = fit_dictionaries(t.filter(F.col(L.dest) < "NATION_2"), specs, broadcast_limit=0, partitions=128)
+    return fitted.transform(t)
+
+
 def q_encode_int_key(spark, sf):
     return _encode(spark, sf, DictSpec("route", (L.route,)))
 
@@ -239,13 +284,28 @@ def q_assemble_skips(spark, sf):
     return out.select("o_orderkey", L.taxi_out, L.dep_delay, "sched_minutes", "distance")
 
 
+APPLIED = ("o_orderkey", L.label, L.origin, L.dest, "distance", L.taxi_out, L.dim_model, L.proximity)
+
+
+def _first_places(spark, sf, t):
+    return flow.prepare(t.filter(F.col(L.dest) < "NATION_2"), L, "lr", dimension=vehicle_dimension(spark, sf))
+
+
 def q_apply_fitted(spark, sf):
     """A preparation fitted on trips to the first places,
     with the dimension, applied to all trips; unseen keys get -1."""
     t = _cut_trips(spark, sf)
-    prep = flow.prepare(t.filter(F.col(L.dest) < "NATION_2"), L, "lr", dimension=vehicle_dimension(spark, sf))
-    return flow.apply_prepared(prep, t).select(
-        "o_orderkey", L.label, L.origin, L.dest, "distance", L.taxi_out, L.dim_model, L.proximity)
+    return flow.apply_prepared(_first_places(spark, sf, t), t).select(*APPLIED)
+
+
+def q_apply_stored(spark, sf):
+    """The same fit, stored, dropped, loaded and applied."""
+    t = _cut_trips(spark, sf)
+    path = scratch_path(spark, "fit")
+    prep = _first_places(spark, sf, t)
+    stored.save_fit(prep, path)
+    prep.close()
+    return flow.apply_prepared(stored.load_fit(spark, path).prepared, t).select(*APPLIED)
 
 
 def q_hash_split(spark, sf):
@@ -336,6 +396,32 @@ def q_rf_stump(spark, sf):
     return out.select(L.dep_delay, F.round("prediction", 6).alias("prediction"))
 
 
+def q_rf_two_levels(spark, sf):
+    """K7: one tree of depth 2 on all rows of two features is the best split
+    and then the best split of each side."""
+    prep = _prepared(spark, sf, "rf")
+    grid = Grid(rf_depths=(2,), rf_trees=(1,), bootstrap=False)
+    two = [L.dep_delay, L.taxi_out]
+    scored = flow.train_and_score(prep, "rf", grid, features=two)
+    values = flow.model_input(prep, two).select(*two, "features").dropDuplicates(two)
+    out = scored.cv_model.transform(scored.scaler.transform(values))
+    return out.select(*two, F.round("prediction", 6).alias("prediction"))
+
+
+def q_scored_rows(spark, sf):
+    """A stored model scores the hold-out rows; they are written
+    under a run id, twice, and read back."""
+    prep = _prepared(spark, sf)
+    scored = flow.train_and_score(prep, "lr", PLAIN, **ONE)
+    path = scratch_path(spark, "scored")
+    for _ in range(2):
+        stored.write_scored(stored.holdout_predictions(prep, scored), path, "first-run")
+    prep.close()
+    rows = stored.read_scored(spark, path)
+    return rows.groupBy("run_id").agg(F.round(rmse_expr("label", "prediction"), 5).alias("rmse"),
+                                      F.count(F.lit(1)).alias("test_rows"), F.min("row_key").alias("least_key"))
+
+
 def q_score_one_feature(spark, sf):
     """Hold-out score of least squares on one feature."""
     m = _scored(spark, sf, "lr", PLAIN, **ONE).metrics(spark)
@@ -361,7 +447,9 @@ def q_score_holdout(spark, sf):
 
 QUERIES = {
     "contract_scan": q_contract_scan,
+    "scan_rejects": q_scan_rejects,
     "dedup_rows": q_dedup_rows,
+    "dedup_signature": q_dedup_signature,
     "drop_and_filter": q_drop_and_filter,
     "missing_profile": q_missing_profile,
     "missing_decisions": q_missing_decisions,
@@ -372,11 +460,13 @@ QUERIES = {
     "dim_join_salted": q_dim_join_salted,
     "dim_lookup": q_dim_lookup,
     "dim_lookup_salted": q_dim_lookup_salted,
+    "dim_lookup_unmatched": q_dim_lookup_unmatched,
     "category_keys": q_category_keys,
     "encode_shared": q_encode_shared,
     "encode_single": q_encode_single,
     "encode_one_airport": q_encode_one_airport,
     "encode_salted": q_encode_salted,
+    "encode_unseen_salted": q_encode_unseen_salted,
     "encode_int_key": q_encode_int_key,
     "encode_dim": q_encode_dim,
     "holiday_calendar": q_holiday_calendar,
@@ -390,6 +480,7 @@ QUERIES = {
     "assemble": q_assemble,
     "assemble_skips": q_assemble_skips,
     "apply_fitted": q_apply_fitted,
+    "apply_stored": q_apply_stored,
     "hash_split": q_hash_split,
     "cv_folds": q_cv_folds,
     "standard_scale": q_standard_scale,
@@ -399,7 +490,9 @@ QUERIES = {
     "lr_elastic": q_lr_elastic,
     "cv_mean_rmse": q_cv_mean_rmse,
     "rf_stump": q_rf_stump,
+    "rf_two_levels": q_rf_two_levels,
     "score_one_feature": q_score_one_feature,
+    "scored_rows": q_scored_rows,
     "lr_grid_cv": q_lr_grid_cv,
     "rf_grid_cv": q_rf_grid_cv,
     "score_holdout": q_score_holdout,

@@ -17,6 +17,7 @@ import re
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # The 29-column flight contract (name -> type), in header order
@@ -129,12 +130,59 @@ def checked_csv(spark: SparkSession, path: str, raw: tuple[str, ...], schema: T.
     PERMISSIVE mode: a bad integer becomes null, short rows are padded with
     null, long rows are cut."""
     as_written = T.StructType([T.StructField(n, f.dataType, True) for n, f in zip(raw, schema)])
-    frame = (spark.read.schema(as_written).option("header", True).option("enforceSchema", False)
-             .option("mode", "PERMISSIVE").csv(path))
-    return frame.toDF(*schema.names)
-
-
-def _scan_one(spark, path, contract, required) -> ScanResult:
+    return _reader(spark, as_written).csv(path).toDF(*schema.names)
+
+
+def _reader(spark: SparkSession, schema: T.StructType):
+    return (spark.read.schema(schema).option("header", True).option("enforceSchema", False)
+            .option("mode", "PERMISSIVE"))
+
+
+#: Column that holds the text of a line that doesn't fit the schema; the
+#: name can't be one of the contract's, which have word characters only.
+CORRUPT = "~corrupt"
+#: A field put behind each such line, to find where the line really ends.
+END = "\u0003end\u0003"
+
+
+def scan_rejects(spark: SparkSession, path: str | list[str], contract: dict[str, T.DataType] = FLIGHT_CONTRACT,
+                 required: tuple[str, ...] = FLIGHT_REQUIRED) -> DataFrame:
+    """What ``scan_contract`` reads as null or leaves out, counted: one row
+    for each column and kind of reject.
+
+    ``bad_value``: the field's text is no value of the column's type (read as
+    null). ``missing_field``: the line ends before the column (read as null).
+    ``extra_field``: the line has more fields than the header (column null;
+    the fields are left out). One pass: Spark's reader keeps the text of lines
+    that don't fit, and only these are split again."""
+    counted = []
+    for p in [path] if isinstance(path, str) else path:
+        raw, schema = _checked_header(spark, p, contract, required)[:2]
+        with_text = T.StructType([T.StructField(n, f.dataType, True) for n, f in zip(raw, schema)]
+                                 + [T.StructField(CORRUPT, T.StringType(), True)])
+        typed = _reader(spark, with_text).option("columnNameOfCorruptRecord", CORRUPT).csv(p).toDF(*schema.names, CORRUPT)
+        places = [f"_{i}" for i in range(len(schema) + 1)]
+        fields = F.from_csv(F.concat(F.col(CORRUPT), F.lit("," + END)), ", ".join(f"{n} string" for n in places))
+        text = typed.filter(F.col(CORRUPT).isNotNull()).withColumn("__fields", fields)
+        # place of the end mark: the number of fields, or null if it is beyond the header's
+        end = F.coalesce(*[F.when(F.col(f"__fields.{n}") == END, i) for i, n in enumerate(places)])
+        rows = text.withColumn("__end", end)
+        rejects = [F.when(F.col("__end").isNull(), F.struct(F.lit(None).cast("string").alias("column_name"),
+                                                              F.lit("extra_field").alias("reject")))]
+        for i, f in enumerate(schema):
+            named = F.lit(f.name).alias("column_name")
+            there = F.coalesce(F.col("__end") > i, F.lit(True))
+            rejects.append(F.when(~there, F.struct(named, F.lit("missing_field").alias("reject"))).when(
+                F.col(f"`{f.name}`").isNull() & F.col(f"__fields._{i}").isNotNull(),
+                F.struct(named, F.lit("bad_value").alias("reject"))))
+        counted.append(rows.select(F.explode(F.array_compact(F.array(*rejects))).alias("r")).select("r.*"))
+    every = counted[0]
+    for more in counted[1:]:
+        every = every.unionByName(more)
+    return every.groupBy("column_name", "reject").agg(F.count(F.lit(1)).alias("lines"))
+
+
+def _checked_header(spark, path, contract, required):
     check_extension(path)
     raw = raw_header(spark, path)
     header = tuple(normalise_name(n) for n in raw)
@@ -143,6 +191,11 @@ def _scan_one(spark, path, contract, required) -> ScanResult:
     missing = [r for r in required if not column_exists(probe, r)]
     if missing:
         raise ContractError(f"required columns missing: {missing}")
+    return raw, schema, unknown, header
+
+
+def _scan_one(spark, path, contract, required) -> ScanResult:
+    raw, schema, unknown, header = _checked_header(spark, path, contract, required)
     return ScanResult(checked_csv(spark, path, raw, schema), unknown, header)
 
 

@@ -94,3 +94,28 @@ def test_dimension_folder_with_mixed_headers_is_rejected(spark, tmp_path):
     read = read_dimension_csv(spark, str(folder))
     with pytest.raises(Exception, match="(?i)header"):
         raise ValueError(read.reason) if read.frame is None else ValueError(read.frame.collect())
+
+
+def test_rejects_are_counted_by_column(spark, tmp_path):
+    from arrivo.sources.contract import scan_rejects
+    path = str(tmp_path / "t.csv")
+    with open(path, "w") as f:
+        f.write("Year,Carrier,Distance,Cancelled,ArrDelay\n"
+                "2008,AA,100,0,5\n"
+                "20x8,AA,1.5,0,5\n"          # two bad values
+                "2008,\"A,A\",far,0,\n"      # quoted comma, a bad value, an empty last field
+                "2008,AA\n"                  # three fields missing
+                "2008,AA,,0,5,6,7\n"         # two surplus fields; an empty one is no bad value
+                "x,AA,1,0,5,6\n"             # surplus and bad
+                "2008,,,,\n")
+    got = {(r.column_name, r.reject): r.lines for r in scan_rejects(spark, path).collect()}
+    assert got == {("Year", "bad_value"): 2, ("Distance", "bad_value"): 2, (None, "extra_field"): 2,
+                   ("Distance", "missing_field"): 1, ("Cancelled", "missing_field"): 1, ("ArrDelay", "missing_field"): 1}
+    frame = scan_contract(spark, path).frame
+    assert frame.count() == 7 and frame.filter("Distance is null").count() == 5
+    clean = str(tmp_path / "clean.csv")
+    with open(clean, "w") as f:
+        f.write("Cancelled,ArrDelay\n0,5\n")
+    assert scan_rejects(spark, clean).count() == 0
+    both = {(r.column_name, r.reject): r.lines for r in scan_rejects(spark, [path, path]).collect()}
+    assert both == {k: 2 * n for k, n in got.items()}

@@ -56,3 +56,26 @@ def test_forest_search_small_grid(spark):
     best = min(report, key=lambda r: r["avg_rmse"])
     assert res.cv_model.bestModel.getMaxDepth() == best["max_depth"]
     assert res.vector_names == prep.features and res.rmse > 0
+
+
+def test_grid_points_are_different_fits(spark):
+    """Nine points, nine models: depth and number of trees reach the
+    estimator, and the best one is fitted again on all training rows."""
+    prep = flow.prepare(trips(spark, SF_SMALL), TRIPS, "rf")
+    grid = Grid(rf_depths=(1, 2, 3), rf_trees=(1, 2, 3))
+    res = flow.train_and_score(prep, "rf", grid=grid)
+    report = grid_report(spark, res.cv_model, "rf").collect()
+    assert len({round(r["avg_rmse"], 9) for r in report}) == 9
+    by_depth = {d: sum(r["avg_rmse"] for r in report if r["max_depth"] == d) for d in (1, 2, 3)}
+    assert by_depth[1] > by_depth[2] > by_depth[3]
+    _, train, _ = flow.scaled_parts(prep, prep.features, squares=False)
+    est = res.cv_model.getEstimator()
+    seen = []
+    for pm in res.cv_model.getEstimatorParamMaps():
+        named = {p.name: v for p, v in pm.items()}
+        model = est.copy(pm).fit(train)
+        assert model.getNumTrees == named["numTrees"] and max(t.depth for t in model.trees) == named["maxDepth"]
+        seen.append(model.toDebugString.split("\n", 1)[1])
+    assert len(set(seen)) == 9
+    best = min(range(9), key=lambda i: report[i]["avg_rmse"])
+    assert res.cv_model.bestModel.toDebugString.split("\n", 1)[1] == seen[best]
