@@ -147,15 +147,19 @@ def _sets(docs: DataFrame, whole: bool, words: int, percent: int) -> DataFrame:
 
 def _block_postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Distinct prefix hashes of a block of rows, each with one set (k1) that
-    holds it; ``shared`` if others of the block do. Rows without a hash count
-    how many hashes a set shares inside the block."""
+    holds it; ``shared`` if others of the block do. Rows without a hash stand
+    for one that the set shares with another of the block."""
     for some in _gathered(batches):
         k1 = some.column("k1").to_numpy()
         one = np.unique(k1, return_index=True)[1]  # copies in a block are one set
         hashes = some.column("hashes").combine_chunks().take(pa.array(one))
         flat = hashes.flatten().to_numpy()
         own = np.repeat(k1[one], np.diff(hashes.offsets.to_numpy()))
-        yield from _credited(flat, own, np.zeros(len(flat), bool), True)
+        start, many, credited = _credited(flat, own, np.zeros(len(flat), bool))
+        yield pa.RecordBatch.from_arrays(
+            [pa.concat_arrays([pa.array(flat[start]), pa.nulls(len(credited), pa.int64())]),
+             pa.array(np.concatenate([own[start], own[credited]])),
+             pa.array(np.concatenate([many, np.ones(len(credited), bool)]))], ["h", "k1", "shared"])
 
 
 def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
@@ -169,34 +173,25 @@ def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
-def _credited(h: np.ndarray, k1: np.ndarray, shared: np.ndarray, pass_on: bool) -> Iterator[pa.RecordBatch]:
-    """(k1, n): hashes that a set shares with another of the postings, or
-    that are marked as shared already. ``pass_on``: one posting of each hash too."""
+def _credited(h: np.ndarray, k1: np.ndarray, shared: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of postings (h, k1): the index of one for each hash, whether several
+    sets hold the hash (or a posting is marked ``shared``), and the indices of
+    one posting for each set and hash that several sets hold."""
     by = np.lexsort((k1, h))
     h, k1, shared = h[by], k1[by], shared[by]
-    new = np.concatenate([[True], h[1:] != h[:-1]]) if len(h) else np.empty(0, bool)
+    new, other = np.ones(len(h), bool), np.zeros(len(h), bool)
+    new[1:] = h[1:] != h[:-1]
+    other[1:] = ~new[1:] & (k1[1:] != k1[:-1])
     start = np.flatnonzero(new)
-    other = np.concatenate([[False], (h[1:] == h[:-1]) & (k1[1:] != k1[:-1])]) if len(h) else new
-    many = (np.add.reduceat(other | shared, start) > 0) if len(h) else new
-    common = many[np.cumsum(new) - 1] if len(h) else new
-    distinct = new | other
-    sets, counts = np.unique(k1[common & distinct], return_counts=True)
-    parts = [(None, sets, None, counts)]
-    if pass_on:
-        parts.append((h[start], k1[start], many, None))
-    for hs, ks, flags, ns in parts:
-        yield pa.RecordBatch.from_arrays(
-            [pa.nulls(len(ks), pa.int64()) if hs is None else pa.array(hs), pa.array(ks),
-             pa.nulls(len(ks), pa.bool_()) if flags is None else pa.array(flags),
-             pa.nulls(len(ks), pa.int64()) if ns is None else pa.array(ns, pa.int64())], ["h", "k1", "shared", "n"])
+    many = np.add.reduceat(other | shared, start) > 0 if len(h) else new
+    return by[start], many, by[many[np.cumsum(new) - 1] & (new | other)] if len(h) else by
 
 
 def _part_credits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held = list(batches)
     if held:
-        t = pa.Table.from_batches(held)
-        for out in _credited(*(t.column(c).to_numpy() for c in ("h", "k1", "shared")), False):
-            yield out.select(["k1", "n"])
+        h, k1, shared = (pa.Table.from_batches(held).column(c).to_numpy() for c in ("h", "k1", "shared"))
+        yield pa.RecordBatch.from_arrays([pa.array(k1[_credited(h, k1, shared)[2]])], ["k1"])
 
 
 def _hopeful(rows: DataFrame, percent: int) -> DataFrame:
@@ -204,11 +199,10 @@ def _hopeful(rows: DataFrame, percent: int) -> DataFrame:
     sets = rows.filter("n > 0")
     total = sets.agg(F.sum(F.size("hashes"))).first()[0] or 0
     posted = cut_lineage(sets.select("k1", "hashes").mapInArrow(
-        _block_postings, "h long, k1 long, shared boolean, n long"), "jaccard-postings")
+        _block_postings, "h long, k1 long, shared boolean"), "jaccard-postings")
     parts = max(1, -(-total // PART_HASHES))
-    far = posted.filter("h is not null").select("h", "k1", "shared").repartition(parts, "h").mapInArrow(
-        _part_credits, "k1 long, n long")
-    credits = far.unionByName(posted.filter("h is null").select("k1", "n")).groupBy("k1").agg(F.sum("n").alias("common"))
+    far = posted.filter("h is not null").repartition(parts, "h").mapInArrow(_part_credits, "k1 long")
+    credits = far.unionByName(posted.filter("h is null").select("k1")).groupBy("k1").agg(F.count("*").alias("common"))
     # the smallest partner of a set decides how many common hashes the prefixes hold
     smallest = F.floor((F.col("n") * percent + 99) / 100)
     need = F.greatest(F.lit(1), F.floor(smallest / LONGER))
@@ -412,8 +406,10 @@ def jaccard_components(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, perc
     keys = rows.filter("n > 0").groupBy("k1", "k2").agg(F.min("doc_id").alias("first")).join(
         linked.select("k1", "k2", "root"), ["k1", "k2"], "left")
     keys = cut_lineage(keys, "jaccard-keys")
-    smallest = keys.filter("root is not null").groupBy("root").agg(F.min("first").alias("smallest"))
-    keys = keys.join(smallest, "root", "left").select("k1", "k2", F.coalesce("smallest", "first").alias("component"))
+    some = keys.filter("root is not null")
+    smallest = some.groupBy("root").agg(F.min("first").alias("component"))
+    keys = some.join(smallest, "root").select("k1", "k2", "component").unionByName(
+        keys.filter("root is null").select("k1", "k2", F.col("first").alias("component")))
     out = rows.drop("hashes").join(keys, ["k1", "k2"], "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id")).alias("component_id"))
