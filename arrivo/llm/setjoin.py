@@ -58,7 +58,7 @@ PERCENT = 80
 #: Share of a set by which its prefix is longer than one common hash needs.
 LONGER = 20
 #: Hashes that a search task holds; a neighbourhood beyond twice that is split.
-TASK_HASHES = 1 << 20
+TASK_HASHES = 1 << 19
 PIVOTS = 16
 #: Rows whose prefixes are compared before they are shuffled; prefix hashes of a shuffled part.
 BLOCK_ROWS, PART_HASHES = 8_192, 1 << 20
@@ -145,21 +145,27 @@ def _sets(docs: DataFrame, whole: bool, words: int, percent: int) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, text_hash long, n long, k1 long, k2 long, hashes array<long>")
 
 
+#: What a posting says: one set of a block holds the hash, several do, or
+#: (under any hash) its set shares a hash with another of the block.
+ONE, SEVERAL, SHARED = 0, 1, 2
+
+
 def _block_postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Distinct prefix hashes of a block of rows, each with one set (k1) that
-    holds it; ``shared`` if others of the block do. Rows without a hash stand
-    for one that the set shares with another of the block."""
+    """One posting (h, k1) for each distinct prefix hash of a block of rows
+    and one for each set and hash that the set shares inside the block; the
+    latter are spread over all hashes, as nothing is to meet there."""
     for some in _gathered(batches):
         k1 = some.column("k1").to_numpy()
         one = np.unique(k1, return_index=True)[1]  # copies in a block are one set
         hashes = some.column("hashes").combine_chunks().take(pa.array(one))
         flat = hashes.flatten().to_numpy()
         own = np.repeat(k1[one], np.diff(hashes.offsets.to_numpy()))
-        start, many, credited = _credited(flat, own, np.zeros(len(flat), bool))
+        start, many, shared = _credited(flat, own, np.zeros(len(flat), bool))
         yield pa.RecordBatch.from_arrays(
-            [pa.concat_arrays([pa.array(flat[start]), pa.nulls(len(credited), pa.int64())]),
-             pa.array(np.concatenate([own[start], own[credited]])),
-             pa.array(np.concatenate([many, np.ones(len(credited), bool)]))], ["h", "k1", "shared"])
+            [pa.array(np.concatenate([flat[start], flat[shared] ^ own[shared]])),
+             pa.array(np.concatenate([own[start], own[shared]])),
+             pa.array(np.concatenate([np.where(many, SEVERAL, ONE), np.full(len(shared), SHARED)]), pa.int8())],
+            ["h", "k1", "says"])
 
 
 def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
@@ -188,29 +194,30 @@ def _credited(h: np.ndarray, k1: np.ndarray, shared: np.ndarray) -> tuple[np.nda
 
 
 def _part_credits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The set (k1) of each hash that it shares with another set."""
     held = list(batches)
     if held:
-        h, k1, shared = (pa.Table.from_batches(held).column(c).to_numpy() for c in ("h", "k1", "shared"))
-        yield pa.RecordBatch.from_arrays([pa.array(k1[_credited(h, k1, shared)[2]])], ["k1"])
+        h, k1, says = (pa.Table.from_batches(held).column(c).to_numpy() for c in ("h", "k1", "says"))
+        done = says == SHARED
+        h, its, several = h[~done], k1[~done], says[~done] == SEVERAL
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.concatenate([k1[done], its[_credited(h, its, several)[2]]]))], ["k1"])
 
 
 def _hopeful(rows: DataFrame, percent: int) -> DataFrame:
     """(doc_id, text_hash) of one row for each set whose prefix shares enough."""
     sets = rows.filter("n > 0")
     total = sets.agg(F.sum(F.size("hashes"))).first()[0] or 0
-    posted = cut_lineage(sets.select("k1", "hashes").mapInArrow(
-        _block_postings, "h long, k1 long, shared boolean"), "jaccard-postings")
     parts = max(1, -(-total // PART_HASHES))
-    far = posted.filter("h is not null").repartition(parts, "h").mapInArrow(_part_credits, "k1 long")
-    credits = far.unionByName(posted.filter("h is null").select("k1")).groupBy("k1").agg(F.count("*").alias("common"))
+    posted = sets.select("k1", "hashes").mapInArrow(_block_postings, "h long, k1 long, says tinyint")
+    credits = posted.repartition(parts, "h").mapInArrow(_part_credits, "k1 long").groupBy("k1").agg(
+        F.count("*").alias("common"))
     # the smallest partner of a set decides how many common hashes the prefixes hold
     smallest = F.floor((F.col("n") * percent + 99) / 100)
     need = F.greatest(F.lit(1), F.floor(smallest / LONGER))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("first")
-    out = cut_lineage(sets.drop("hashes").join(credits, "k1").filter(F.col("common") >= need).groupBy("k1", "k2").agg(
+    return cut_lineage(sets.drop("hashes").join(credits, "k1").filter(F.col("common") >= need).groupBy("k1", "k2").agg(
         first).select("first.doc_id", "first.text_hash").distinct(), "jaccard-hopeful")
-    drop_cut(posted)
-    return out
 
 
 def _neighbourhoods(sets: DataFrame, percent: int) -> DataFrame:
@@ -391,6 +398,8 @@ def jaccard_components(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, perc
     with batches_of(spark):
         rows = cut_lineage(_sets(texts, False, shingle_words, percent), "jaccard-rows")
     hopeful = _hopeful(rows, percent)
+    prefixes, rows = rows, cut_lineage(rows.drop("hashes", "text_hash"), "jaccard-documents")
+    drop_cut(prefixes)
     again = F.broadcast(hopeful) if measured(hopeful)[1] <= BROADCAST_BYTES else hopeful
     wanted = again.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"))
     with batches_of(spark):
@@ -410,7 +419,7 @@ def jaccard_components(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, perc
     smallest = some.groupBy("root").agg(F.min("first").alias("component"))
     keys = some.join(smallest, "root").select("k1", "k2", "component").unionByName(
         keys.filter("root is null").select("k1", "k2", F.col("first").alias("component")))
-    out = rows.drop("hashes").join(keys, ["k1", "k2"], "left").select(
+    out = rows.join(keys, ["k1", "k2"], "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id")).alias("component_id"))
     for done in (hopeful, sets, near, roots):
