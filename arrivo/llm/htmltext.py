@@ -27,7 +27,8 @@ innermost such box. Nodes seen fewer than ``MIN_SEEN`` times are kept.
 
 Null and empty html give an empty text, null urls share one host. Broken
 markup is read as far as it goes. Pages of a host with equal html count once
-in the statistics. An empty table gives no rows.
+in the statistics. An empty table gives no rows. Work and memory for a page
+grow with its length, however deeply its elements are nested.
 """
 
 from __future__ import annotations
@@ -71,6 +72,9 @@ BLOCKS = frozenset(
 SIBLINGS = {t: frozenset(ts.split()) for ts in ("li", "dt dd", "td th", "tr", "option") for t in ts.split()}
 ENDS_P = BLOCKS - {"body", "td", "th", "tr", "tbody", "thead", "tfoot", "caption"}
 SCOPE = frozenset("table ul ol dl td th article section div main body".split())
+#: Elements that others end, and elements that end tags of others stop at.
+ENDED = frozenset("p li dt dd tr option".split())
+BARRIERS = frozenset("table article body".split())
 
 # Elements and names that declare something other than an article.
 NOISE_TAGS = frozenset(
@@ -107,8 +111,12 @@ def noise_name(name: str, is_id: bool, noise: frozenset = NOISE_NAMES) -> bool:
     return bool(kind) and (all(w in noise for w in kind) or not is_id and words[-1] in noise)
 
 
+def path_hash(above: int, label: str) -> int:
+    return xxhash.xxh64_intdigest(f"{above}/{label}") >> 1
+
+
 class Node:
-    __slots__ = ("tag", "names", "noise", "named", "children", "parent")
+    __slots__ = ("tag", "names", "noise", "named", "children", "parent", "depth", "scope", "outermost", "path")
 
     def __init__(self, tag: str, attrs: str, parent: Node | None):
         self.tag, self.parent, self.children = tag, parent, []
@@ -127,6 +135,13 @@ class Node:
                 self.noise = self.named
             if role == "main" or found.get("itemprop", "").lower() == "articlebody":
                 self.names += " main"
+        self.path = path_hash(parent.path if parent else 0, self.label)
+        self.depth = parent.depth + 1 if parent else 0
+        # the innermost scope around (or at) the element, and the outermost
+        # elements of each kind in ENDED that are open inside that scope
+        self.scope, self.outermost = (self, {}) if parent is None or tag in SCOPE else (parent.scope, parent.outermost)
+        if self.scope is not self and tag in ENDED and tag not in self.outermost:
+            self.outermost = self.outermost | {tag: self}
 
     @property
     def label(self) -> str:
@@ -134,47 +149,79 @@ class Node:
         return f"{self.tag}.{re.sub('[0-9]+', '0', self.names)}" if self.names else self.tag
 
 
+class _Open:
+    """The element being read and how many of each tag are open, in all and
+    since the innermost table, article or body, which end tags of inline
+    elements don't reach beyond."""
+
+    def __init__(self, root: Node):
+        self.here, self.all, self.inner = root, Counter(), [Counter()]
+
+    def enter(self, node: Node) -> None:
+        self.here = node
+        self.all[node.tag] += 1
+        if node.tag in BARRIERS:
+            self.inner.append(Counter())
+        self.inner[-1][node.tag] += 1
+
+    def leave_to(self, ancestor: Node) -> None:
+        """End all elements below ``ancestor``."""
+        while self.here is not ancestor:
+            tag = self.here.tag
+            self.all[tag] -= 1
+            self.inner[-1][tag] -= 1
+            if tag in BARRIERS:
+                self.inner.pop()
+            self.here = self.here.parent
+
+    def end(self, tag: str) -> None:
+        if (self.all if tag in SCOPE or tag == "html" else self.inner[-1])[tag]:
+            up = self.here
+            while up.tag != tag:
+                up = up.parent
+            self.leave_to(up.parent)
+
+
 def parse(text: str) -> Node:
-    """Tree of elements; text nodes are plain strings."""
-    root = here = Node("#root", "", None)
-    named = []
+    """Tree of elements; text nodes are plain strings. The work for a tag
+    doesn't depend on the number of open elements."""
+    root = Node("#root", "", None)
+    at_now, named = _Open(root), []
     at, size = 0, len(text)
     while at < size:
         m = TOKEN.match(text, at)
         at = m.end()
         if m["text"]:
-            here.children.append(m["text"])
+            at_now.here.children.append(m["text"])
             continue
         tag = (m["tag"] or m["tag2"] or "").lower()
         if not tag:
             continue  # a comment or declaration
         if m["end"] or m["end2"]:
-            up = here
-            while up is not None and up.tag != tag:
-                up = up.parent if up.tag not in ("table", "article", "body") or tag in SCOPE or tag == "html" else None
-            if up is not None and up.parent is not None:
-                here = up.parent
+            at_now.end(tag)
             continue
-        closing = ("p",) if tag in ENDS_P else ()
-        up = here
-        while up.parent is not None and up.tag not in SCOPE:
-            if up.tag in closing or up.tag in SIBLINGS.get(tag, ()):
-                here = up.parent
-            up = up.parent
-        if up.tag in ("td", "th") and tag in ("td", "th", "tr"):
+        here = at_now.here
+        ended = [here.outermost[t] for t in (*SIBLINGS.get(tag, ()), *(("p",) if tag in ENDS_P else ()))
+                 if t in here.outermost]
+        scope = here.scope
+        if scope.tag in ("td", "th") and tag in ("td", "th", "tr"):
+            up = scope
             while up.parent is not None and up.tag not in ("tr", "table"):
                 up = up.parent
-            here = up if tag != "tr" or up.tag != "tr" else up.parent
-        node = Node(tag, m["attrs"] or m["attrs2"] or "", here)
-        here.children.append(node)
+            at_now.leave_to(up if tag != "tr" or up.tag != "tr" else up.parent)
+        elif ended:
+            at_now.leave_to(min(ended, key=lambda n: n.depth).parent)
+        node = Node(tag, m["attrs"] or m["attrs2"] or "", at_now.here)
+        at_now.here.children.append(node)
         if node.named:
             named.append(node)
         if tag in RAW:
             end = re.compile(f"</{tag}", re.I).search(text, at)
             at = end.start() if end else size
-            here = node if end else here
+            if end:
+                at_now.enter(node)
         elif tag not in VOID and not (m["attrs"] or "").endswith("/"):
-            here = node
+            at_now.enter(node)
     _clear_names(root, [n for n in named if n.tag != "article" and any(
         not isinstance(c, str) and (c.tag in BLOCKS or c.tag == "br") for c in n.children)])
     return root
@@ -184,21 +231,29 @@ def _declares(node: Node) -> bool:
     return node.tag in ("article", "main") or node.names.endswith(" main")
 
 
-def _held(node: Node, through: bool) -> tuple[int, bool, bool]:
-    """Letters below a node outside noise, and whether there is a main part
-    and an article or main part; ``through``: boxes that only their names
-    call noise count."""
-    size, main, declared = 0, False, False
-    stack: list = list(node.children)
+def _held(root: Node, through: bool) -> dict[int, tuple[int, bool, bool]]:
+    """For each element, by id: letters below it outside noise, and whether
+    there is a main part and an article or main part; ``through``: boxes that
+    only their names call noise count."""
+    out: dict[int, tuple[int, bool, bool]] = {}
+    sums = [(0, False, False)]  # of the elements being read
+    stack: list = [root]
     while stack:
         n = stack.pop()
         if isinstance(n, str):
-            size += len(n.strip())
-        elif (not n.noise or through and n.named and n.tag != "article") and n.tag not in RAW:
-            declared |= _declares(n)
-            main |= _declares(n) and n.tag != "article"
+            sums[-1] = (sums[-1][0] + len(n.strip()), *sums[-1][1:])
+        elif isinstance(n, tuple):
+            node, own = n[0], sums.pop()
+            out[id(node)] = own
+            if (not node.noise or through and node.named and node.tag != "article") and node.tag not in RAW:
+                size, main, declared = sums[-1]
+                sums[-1] = (size + own[0], main or own[1] or _declares(node) and node.tag != "article",
+                            declared or own[2] or _declares(node))
+        else:
+            sums.append((0, False, False))
+            stack.append((n,))
             stack += n.children
-    return size, main, declared
+    return out
 
 
 def _clear_names(root: Node, named: list[Node]) -> None:
@@ -208,60 +263,58 @@ def _clear_names(root: Node, named: list[Node]) -> None:
     if they are comments) more text than the page outside."""
     if not named:
         return
-    rest, _, declared = _held(root, False)
+    # outer boxes come first, so what these say of a box still holds at its turn
+    outside, through = _held(root, False), _held(root, True)
+    rest, _, declared = outside[id(root)]
     groups: dict[tuple[int, str], list[Node]] = {}
     for node in named:
         groups.setdefault((id(node.parent), node.label), []).append(node)
+    free = {id(root): True}  # whether an element is outside of all noise
     for nodes in groups.values():
-        up = nodes[0].parent
-        while up is not None and not up.noise:
+        way, up = [], nodes[0].parent
+        while id(up) not in free and not up.noise:
+            way.append(up)
             up = up.parent
-        if up is not None:
+        clear = free.get(id(up), False)
+        free.update((id(n), clear) for n in way)
+        if not clear:
             continue  # inside other noise
-        held = [_held(n, True) for n in nodes]
+        held = [through[id(n)] for n in nodes]
         much = sum(h[0] for h in held) > rest and not COMMENTS & set(NAME.findall(nodes[0].names))
         for node, (_, main, own) in zip(nodes, held):
             if much or main or own and not declared:
                 node.noise = False
-                rest += _held(node, False)[0]
+                rest += outside[id(node)][0]
         declared |= any(own and not n.noise for n, (_, _, own) in zip(nodes, held))
 
 
-def path_hash(above: int, label: str) -> int:
-    return xxhash.xxh64_intdigest(f"{above}/{label}") >> 1
-
-
 def text_of(node: Node) -> str:
     """Decoded text of the element itself and of inline elements below."""
-    parts = []
-
-    def add(n: Node) -> None:
-        for c in n.children:
-            if isinstance(c, str):
-                parts.append(c)
-            elif c.tag == "br":
-                parts.append(" ")
-            elif c.tag not in BLOCKS and not c.noise:
-                add(c)
-
-    add(node)
+    parts, stack = [], [node]
+    while stack:
+        n = stack.pop()
+        if isinstance(n, str):
+            parts.append(n)
+        elif n.tag == "br":
+            parts.append(" ")
+        elif n is node or n.tag not in BLOCKS and not n.noise:
+            stack += reversed(n.children)
     return " ".join(entities.unescape("".join(parts)).split())
 
 
 def style_nodes(root: Node) -> Iterator[tuple[int, int, str, str]]:
     """(node, parent, layout, text) of every block element of a page."""
-    stack = [(root, 0)]
+    stack = [root]
     while stack:
-        node, above = stack.pop()
-        here = path_hash(above, node.label)
+        node = stack.pop()
         below = [c for c in node.children if not isinstance(c, str)]
         if node.tag in BLOCKS:
             layout = []
             for c in below:
                 if c.tag in BLOCKS and layout[-1:] != [c.label]:
                     layout.append(c.label)
-            yield here, above, " ".join(layout), text_of(node)
-        stack += [(c, here) for c in below if c.tag not in RAW]
+            yield node.path, node.parent.path if node.parent else 0, " ".join(layout), text_of(node)
+        stack += [c for c in below if c.tag not in RAW]
 
 
 def _counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -352,78 +405,90 @@ def shared(pages: DataFrame) -> DataFrame:
 
 
 def _roots(tree: Node) -> list[Node]:
-    """The page's articles, else its main parts, else its body or all."""
+    """The page's articles, else its main parts, else its body or all. Of
+    several articles, those that are links for the most part are teasers."""
     articles, mains, bodies = [], [], []
-    stack = [tree]
+    stack = [(tree, False)]
     while stack:
-        node = stack.pop()
+        node, inside = stack.pop()
         if isinstance(node, str) or node.noise:
             continue
         if node.tag == "article":
             articles.append(node)
             continue
         if node.tag == "main" or node.names.endswith(" main"):
-            mains.append(node)
+            if not inside:
+                mains.append(node)
+            inside = True
         if node.tag == "body":
             bodies.append(node)
-        stack += reversed(node.children)
-    if articles:
-        return articles
-    outer = [m for m in mains if not any(_inside(m, o) for o in mains if o is not m)]
-    return outer or bodies[:1] or [tree]
+        stack += [(c, inside) for c in reversed(node.children)]
+    if len(articles) > 1:
+        links = linked_text(tree)
+        articles = [a for a in articles if not _is_teaser(links[id(a)])] or articles
+    return articles or mains or bodies[:1] or [tree]
+
+
+def linked_text(tree: Node) -> dict[int, tuple[int, int, int, int]]:
+    """For each element, by id: its letters, and below it the links, the
+    letters inside links and the words inside links."""
+    out: dict[int, tuple[int, int, int, int]] = {}
+    sums = [[0, 0, 0, 0, 0]]  # letters, words, links, letters and words in links, of the elements being read
+    stack: list = [tree]
+    while stack:
+        n = stack.pop()
+        if isinstance(n, str):
+            sums[-1][0] += len(n.strip())
+            sums[-1][1] += len(n.split())
+        elif isinstance(n, tuple):
+            node, own = n[0], sums.pop()
+            out[id(node)] = (own[0], *own[2:])
+            if node.tag == "a":
+                own[2:] = own[2] + 1, own[0], own[1]
+            sums[-1] = [a + b for a, b in zip(sums[-1], own)]
+        else:
+            sums.append([0, 0, 0, 0, 0])
+            stack.append((n,))
+            stack += n.children
+    return out
 
 
-def _inside(node: Node, other: Node) -> bool:
-    while (node := node.parent) is not None:
-        if node is other:
-            return True
-    return False
+def _is_teaser(held: tuple[int, int, int, int]) -> bool:
+    total, links, linked, _ = held
+    return links > 0 and linked >= 0.8 * total
 
 
-def _mostly_links(node: Node) -> bool:
+def _mostly_links(held: tuple[int, int, int, int]) -> bool:
     """A list or box of at least two short links and little else; longer
     ones, as of a list of references, are left to the site's statistics."""
-    links, linked, total, spaced = 0, 0, 0, 0
-    stack = [(node, False)]
-    while stack:
-        n, inside = stack.pop()
-        if isinstance(n, str):
-            size = len(n.strip())
-            total, linked = total + size, linked + size * inside
-            spaced += len(n.split()) * inside
-            continue
-        links += n.tag == "a"
-        stack += [(c, inside or n.tag == "a") for c in n.children]
+    total, links, linked, spaced = held
     return links >= 2 and linked >= 0.8 * total and spaced <= MENU_WORDS * links
 
 
-def bulk(root: Node, above: int, skipped: Callable[[Node], bool]) -> tuple[set[int], int | None]:
+def bulk(root: Node, skipped: Callable[[Node], bool]) -> tuple[set[int], int | None]:
     """Nodes below ``root`` whose elements together hold more than half of
     its text, and the innermost of them that is one box."""
     held: dict[int, int] = {}
     boxes: dict[int, int] = {}  # depth of each box
     times: Counter = Counter()
-    total, path = 0, []  # nodes above the element, each once for the elements of one page
-    stack: list = [(root, above)]
+    sizes, stack = [0], [root]  # letters of the elements being read
     while stack:
-        node, up = stack.pop()
-        if node is None:
-            path.pop()
-        elif isinstance(node, str):
-            size = len(node.strip())
-            total += size
-            for n in path if size else ():
-                held[n] = held.get(n, 0) + size
+        node = stack.pop()
+        if isinstance(node, str):
+            sizes[-1] += len(node.strip())
+        elif isinstance(node, tuple):
+            size = sizes.pop()
+            held[node[0].path] = held.get(node[0].path, 0) + size
+            sizes[-1] += size
         elif node is root or not skipped(node):
-            here = path_hash(up, node.label)
             if node is not root and node.tag in BLOCKS:
-                path.append(here)
-                stack.append((None, 0))
-                times[here] += 1
+                stack.append((node,))
+                sizes.append(0)
+                times[node.path] += 1
                 if node.tag not in KEPT:
-                    boxes[here] = len(path)
-            stack += [(c, here) for c in node.children]
-    most = {n for n, size in held.items() if 2 * size > total}
+                    boxes[node.path] = len(sizes)
+            stack += node.children
+    most = {n for n, size in held.items() if 2 * size > sizes[0]}
     return most, max((n for n in most & boxes.keys() if times[n] == 1), key=boxes.get, default=None)
 
 
@@ -432,6 +497,7 @@ def main_text(html: str, noisy: frozenset[int] = frozenset()) -> str:
     tree = parse(html)
     roots = _roots(tree)
     declared = roots[0].tag not in ("body", "#root")
+    links = {} if declared else linked_text(tree)
     blocks, parts = [], []
 
     def flush() -> None:
@@ -443,18 +509,13 @@ def main_text(html: str, noisy: frozenset[int] = frozenset()) -> str:
     def skipped(node: Node) -> bool:
         return node.noise or node.tag in RAW or not declared and (
             node.tag == "header" or node.names in HEADER
-            or node.tag in ("ul", "ol", "div", "table", "section") and _mostly_links(node))
-
-    def hashes(node: Node) -> int:
-        above = hashes(node.parent) if node.parent is not None else 0
-        return path_hash(above, node.label)
+            or node.tag in ("ul", "ol", "div", "table", "section") and _mostly_links(links[id(node)]))
 
     for root in roots:
-        above = hashes(root.parent) if root.parent is not None else 0
-        most, box = bulk(root, above, skipped) if noisy and not declared else (set(), None)
-        stack: list = [(root, above, False)]
+        most, box = bulk(root, skipped) if noisy and not declared else (set(), None)
+        stack: list = [(root, False)]
         while stack:
-            node, above, inside = stack.pop()
+            node, inside = stack.pop()
             if node is None:
                 flush()
             elif isinstance(node, str):
@@ -465,16 +526,16 @@ def main_text(html: str, noisy: frozenset[int] = frozenset()) -> str:
                 if node.tag in BLOCKS:
                     flush()
             else:
-                here = path_hash(above, node.label)
+                here = node.path
                 if (not declared and node is not root and here in noisy and node.tag in BLOCKS and here not in most
                         and not (inside and node.tag in KEPT)):
                     flush()
                     continue
                 if node.tag in BLOCKS:
                     flush()
-                    stack.append((None, 0, False))
+                    stack.append((None, False))
                 inside = inside or here == box
-                stack += [(c, here, inside) for c in reversed(node.children)]
+                stack += [(c, inside) for c in reversed(node.children)]
         flush()
     return "\n\n".join(blocks)
 

@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import struct
+import time
 
 import pytest
 import zstandard
@@ -206,3 +207,34 @@ def test_pages_of_the_table(spark):
         inner = re.search(r"<article>(.*?)(</article>|\Z)", html[r.page_id], re.S)[1]
         words = re.sub(r"<[^>]*>", " ", inner)
         assert len(words.split()) == len(r.text.split()) and r.n_chars == len(r.text)
+
+
+@pytest.mark.parametrize("opened", ["font", "div", "p", "li", "ul><li", "b><h2", "table><tr><td", "main", "a",
+                                    "div class=menu", "div class=menu><p"])
+def test_deep_nesting(opened):
+    """No recursion, and work that grows with the page's length."""
+    tags = opened.split("><")
+    page = f"<{opened}>" * 5000 + "<article><p>deep text</p></article>" + "".join(
+        f"</{t.split()[0]}>" for t in tags[::-1]) * 5000
+    assert htmltext.main_text(page) == "deep text"
+    assert len(list(htmltext.style_nodes(htmltext.parse(page)))) > 1
+    long = (f"<{opened}>x " * (300_000 // (len(opened) + 4))) + "</b></i>" * 20_000
+    began = time.process_time()
+    nodes = frozenset(n[0] for n in htmltext.style_nodes(htmltext.parse(long)))
+    for noisy in (frozenset(), nodes):
+        htmltext.main_text(long, noisy)
+    assert time.process_time() - began < 20
+
+
+def test_deep_page_among_others(spark):
+    rows = [(1, "http://a.b/1", "<font>" * 1500 + "<article>deep</article>"), (2, "http://a.b/2", "<p>plain text</p>")]
+    got = htmltext.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert {r.page_id: r.text for r in got} == {1: "deep", 2: "plain text"}
+
+
+def test_teasers_are_no_article():
+    story = "<article><h1>Head</h1><p>Long story <a href=x>with a link</a> in it.</p></article>"
+    teasers = "".join(f"<article><a href={i}>teaser {i}</a></article>" for i in range(3))
+    assert htmltext.main_text(story + teasers) == "Head\n\nLong story with a link in it."
+    assert htmltext.main_text(teasers) == "teaser 0\n\nteaser 1\n\nteaser 2"
+    assert htmltext.main_text(story + story) == "\n\n".join(["Head\n\nLong story with a link in it."] * 2)
