@@ -57,6 +57,20 @@ def test_quality_order_does_not_change_the_verdict(spark):
     assert {r.name for r in plans[2]} == {r.name for r in rules}
 
 
+def test_cascade_order_is_that_of_the_costs(spark):
+    """A rule that hashes each text 200 times over comes after the cheap one
+    that rejects as many, and one that rejects nothing comes last."""
+    docs = table(spark, "/root/testdata/sf0.1", "documents")
+    even = F.crc32("text") % 2 == 0
+    dear = F.aggregate(F.sequence(F.lit(1), F.lit(200)), F.lit(0).cast("long"),
+                       lambda a, i: a.bitwiseXOR(F.xxhash64(F.concat("text", i.cast("string"))))) % 2 == 0
+    rules = [quality.Rule("never", F.length("text") < 0), quality.Rule("dear", dear), quality.Rule("cheap", even)]
+    for _ in range(2):
+        assert [r.name for r in quality.plan_cascade(docs, rules)] == ["cheap", "dear", "never"]
+    plan = docs.sample(0.5, 1).limit(10)._jdf.queryExecution().executedPlan().toString()
+    assert "Sample" in plan
+
+
 def test_quality_keeps_clean_and_drops_junk(spark):
     joined = quality.quality_report(table(spark, "/root/testdata/sf0.1", "documents")).join(
         table(spark, "/root/testdata/sf0.1", "labels"), "doc_id").filter("not base_failed")
