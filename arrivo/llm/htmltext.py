@@ -35,7 +35,7 @@ from __future__ import annotations
 
 import html as entities
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -75,6 +75,10 @@ SCOPE = frozenset("table ul ol dl td th article section div main body".split())
 #: Elements that others end, and elements that end tags of others stop at.
 ENDED = frozenset("p li dt dd tr option".split())
 BARRIERS = frozenset("table article body".split())
+CELLS = frozenset(["td", "th", "tr"])
+#: Which of ENDED the beginning of an element ends.
+ENDS = {t: SIBLINGS.get(t, frozenset()) | (frozenset(["p"]) if t in ENDS_P else frozenset())
+        for t in {*SIBLINGS, *ENDS_P}}
 
 # Elements and names that declare something other than an article.
 NOISE_TAGS = frozenset(
@@ -116,7 +120,7 @@ def path_hash(above: int, label: str) -> int:
 
 
 class Node:
-    __slots__ = ("tag", "names", "noise", "named", "children", "parent", "depth", "scope", "outermost", "path")
+    __slots__ = ("tag", "names", "noise", "named", "children", "parent", "depth", "barrier", "scope", "outermost", "path")
 
     def __init__(self, tag: str, attrs: str, parent: Node | None):
         self.tag, self.parent, self.children = tag, parent, []
@@ -135,13 +139,20 @@ class Node:
                 self.noise = self.named
             if role == "main" or found.get("itemprop", "").lower() == "articlebody":
                 self.names += " main"
-        self.path = path_hash(parent.path if parent else 0, self.label)
-        self.depth = parent.depth + 1 if parent else 0
-        # the innermost scope around (or at) the element, and the outermost
-        # elements of each kind in ENDED that are open inside that scope
-        self.scope, self.outermost = (self, {}) if parent is None or tag in SCOPE else (parent.scope, parent.outermost)
-        if self.scope is not self and tag in ENDED and tag not in self.outermost:
-            self.outermost = self.outermost | {tag: self}
+        if parent is None:
+            self.path, self.depth, self.barrier, self.scope, self.outermost = path_hash(0, tag), 0, 0, self, {}
+            return
+        self.path = path_hash(parent.path, self.label)
+        self.depth = depth = parent.depth + 1
+        # depth of the innermost barrier and the innermost scope around (or
+        # at) the element; the outermost elements of ENDED open inside that scope
+        self.barrier = depth if tag in BARRIERS else parent.barrier
+        if tag in SCOPE:
+            self.scope, self.outermost = self, {}
+        else:
+            self.scope, self.outermost = parent.scope, parent.outermost
+            if tag in ENDED and tag not in self.outermost:
+                self.outermost = self.outermost | {tag: self}
 
     @property
     def label(self) -> str:
@@ -149,79 +160,59 @@ class Node:
         return f"{self.tag}.{re.sub('[0-9]+', '0', self.names)}" if self.names else self.tag
 
 
-class _Open:
-    """The element being read and how many of each tag are open, in all and
-    since the innermost table, article or body, which end tags of inline
-    elements don't reach beyond."""
-
-    def __init__(self, root: Node):
-        self.here, self.all, self.inner = root, Counter(), [Counter()]
-
-    def enter(self, node: Node) -> None:
-        self.here = node
-        self.all[node.tag] += 1
-        if node.tag in BARRIERS:
-            self.inner.append(Counter())
-        self.inner[-1][node.tag] += 1
-
-    def leave_to(self, ancestor: Node) -> None:
-        """End all elements below ``ancestor``."""
-        while self.here is not ancestor:
-            tag = self.here.tag
-            self.all[tag] -= 1
-            self.inner[-1][tag] -= 1
-            if tag in BARRIERS:
-                self.inner.pop()
-            self.here = self.here.parent
-
-    def end(self, tag: str) -> None:
-        if (self.all if tag in SCOPE or tag == "html" else self.inner[-1])[tag]:
-            up = self.here
-            while up.tag != tag:
-                up = up.parent
-            self.leave_to(up.parent)
-
-
 def parse(text: str) -> Node:
     """Tree of elements; text nodes are plain strings. The work for a tag
     doesn't depend on the number of open elements."""
-    root = Node("#root", "", None)
-    at_now, named = _Open(root), []
+    root = here = Node("#root", "", None)
+    opened: defaultdict[str, list[Node]] = defaultdict(list)  # open elements of each tag, outer ones first
+    named = []
+
+    def leave_to(ancestor: Node) -> Node:
+        """End all elements below ``ancestor``."""
+        at = here
+        while at is not ancestor:
+            opened[at.tag].pop()
+            at = at.parent
+        return at
+
     at, size = 0, len(text)
     while at < size:
         m = TOKEN.match(text, at)
         at = m.end()
         if m["text"]:
-            at_now.here.children.append(m["text"])
+            here.children.append(m["text"])
             continue
         tag = (m["tag"] or m["tag2"] or "").lower()
         if not tag:
             continue  # a comment or declaration
         if m["end"] or m["end2"]:
-            at_now.end(tag)
+            # the end of an inline element doesn't reach beyond a barrier
+            if opened[tag] and (opened[tag][-1].depth >= here.barrier or tag in SCOPE or tag == "html"):
+                here = leave_to(opened[tag][-1].parent)
             continue
-        here = at_now.here
-        ended = [here.outermost[t] for t in (*SIBLINGS.get(tag, ()), *(("p",) if tag in ENDS_P else ()))
-                 if t in here.outermost]
         scope = here.scope
-        if scope.tag in ("td", "th") and tag in ("td", "th", "tr"):
+        if tag in CELLS and scope.tag in ("td", "th"):
             up = scope
             while up.parent is not None and up.tag not in ("tr", "table"):
                 up = up.parent
-            at_now.leave_to(up if tag != "tr" or up.tag != "tr" else up.parent)
-        elif ended:
-            at_now.leave_to(min(ended, key=lambda n: n.depth).parent)
-        node = Node(tag, m["attrs"] or m["attrs2"] or "", at_now.here)
-        at_now.here.children.append(node)
+            here = leave_to(up if tag != "tr" or up.tag != "tr" else up.parent)
+        elif here.outermost and tag in ENDS:
+            ended = [here.outermost[t] for t in ENDS[tag] if t in here.outermost]
+            if ended:
+                here = leave_to(min(ended, key=lambda n: n.depth).parent)
+        node = Node(tag, m["attrs"] or m["attrs2"] or "", here)
+        here.children.append(node)
         if node.named:
             named.append(node)
         if tag in RAW:
             end = re.compile(f"</{tag}", re.I).search(text, at)
             at = end.start() if end else size
-            if end:
-                at_now.enter(node)
-        elif tag not in VOID and not (m["attrs"] or "").endswith("/"):
-            at_now.enter(node)
+            if not end:
+                continue
+        elif tag in VOID or (m["attrs"] or "").endswith("/"):
+            continue
+        opened[tag].append(node)
+        here = node
     _clear_names(root, [n for n in named if n.tag != "article" and any(
         not isinstance(c, str) and (c.tag in BLOCKS or c.tag == "br") for c in n.children)])
     return root
