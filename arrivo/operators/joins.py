@@ -7,6 +7,11 @@ overfill a reducer are salted: their rows on the big side are spread over
 A key is hot when its rows exceed ``HOT_PARTITIONS`` mean shuffle partitions,
 so the limit follows the partition size and at most
 ``partitions / HOT_PARTITIONS`` keys are hot.
+
+An inner join beyond the threshold first leaves out rows of the big side that
+cannot match: one bit for the hash of every key of the small side, in bitmaps
+that an aggregate builds. They take ``BITS_PER_KEY`` bits a key, a small part
+of the table itself, and are broadcast if that is within the threshold.
 """
 
 from __future__ import annotations
@@ -17,6 +22,11 @@ from pyspark.sql import functions as F
 from arrivo.session import cut_lineage, default_parallelism, drop_cut
 
 HOT_PARTITIONS = 2
+#: Bits of the key filter for each key: of the rows without a match, one in
+#: that many stays for the join to remove.
+BITS_PER_KEY = 16
+#: Bits of one row of the filter, as the bitmap functions have it.
+BITMAP_BITS = 32_768
 #: Bytes of a row beside its text, as an in-memory hash table holds it.
 ROW_OVERHEAD = 32
 
@@ -33,6 +43,32 @@ def measured(df: DataFrame) -> tuple[int, int]:
     return rows, size
 
 
+def _place(key: Column, maps: int) -> tuple[Column, Column]:
+    """Bitmap and bit of a key among ``maps`` bitmaps."""
+    bit = F.pmod(F.xxhash64(key.cast("string")), F.lit(maps * BITMAP_BITS))
+    return F.floor(bit / BITMAP_BITS), (bit % BITMAP_BITS).cast("int")
+
+
+def key_filter(keys: DataFrame, key: str, rows: int) -> tuple[DataFrame, int]:
+    """(map, bits) of the non-null keys of a table of ``rows`` rows, and the
+    number of bitmaps."""
+    maps = max(1, -(-rows * BITS_PER_KEY // BITMAP_BITS))
+    no, bit = _place(F.col(key), maps)
+    held = keys.filter(F.col(key).isNotNull()).select(no.alias("__map"), bit.cast("long").alias("__bit"))
+    return held.groupBy("__map").agg(F.bitmap_construct_agg("__bit").alias("__bits")), maps
+
+
+def may_match(big: DataFrame, big_key: Column, keys: DataFrame, key: str, rows: int) -> DataFrame:
+    """Rows of ``big`` whose key may be one of the ``rows`` keys; all rows if
+    the filter would be too large to broadcast."""
+    held, maps = key_filter(keys, key, rows)
+    if maps * BITMAP_BITS // 8 > broadcast_bytes(big.sparkSession):
+        return big
+    no, bit = _place(big_key, maps)
+    byte = F.conv(F.hex(F.substring("__bits", F.floor(bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    return big.join(F.broadcast(held), (no == F.col("__map")) & (F.getbit(byte, bit % 8) == 1), "left_semi")
+
+
 def hot_keys(freq: DataFrame, key: str, count: str, total: int, partitions: int) -> list:
     """Keys of ``freq`` that would overfill a reducer."""
     limit = HOT_PARTITIONS * total / max(partitions, 1)

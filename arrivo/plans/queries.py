@@ -323,6 +323,7 @@ def q_standard_scale(spark, sf):
     scaler, _, _ = flow.scaled_parts(prep, prep.features, squares=False)
     rows = [(i, f, float(m), float(s)) for i, (f, m, s) in
             enumerate(zip(prep.features, scaler.mean.toArray(), scaler.std.toArray()))]
+    prep.close()
     df = spark.createDataFrame(rows, "position int, feature string, mean double, std double")
     return df.select("position", "feature", F.round("mean", 4).alias("mean"),
                      F.round("std", 4).alias("std"))

@@ -1,3 +1,5 @@
+from pyspark.sql import functions as F
+
 from arrivo.operators.enrich import enrich_from_csv, join_dimension, lookup
 from arrivo.sources.tables import DIMENSION_HEADER
 
@@ -103,3 +105,28 @@ def test_key_of_three_percent_is_salted(spark):
     dealt = big.repartition(8).withColumn("s", F.pmod(F.xxhash64("k", "v") + F.spark_partition_id(), F.lit(200)))
     per = [r["count"] for r in dealt.filter("k = 'hot'").groupBy("s").count().collect()]
     assert len(per) == 8 and max(per) <= 80  # equal rows are spread over the partitions they come from
+
+
+def test_rows_without_a_match_are_not_shuffled(spark):
+    """One fact row in ten has its key in a dimension beyond the limit."""
+    from arrivo.operators.joins import may_match, measured
+    dim = spark.createDataFrame([(f"k{i}", f"m{i}", "e") for i in range(0, 20_000, 10)] + [(None, "m", "e")],
+                                "tailnum string, model string, engine_type string")
+    fact = spark.createDataFrame([(f"k{i}", i) for i in range(20_000)] + [(None, 1)], "v string, n int")
+    some = may_match(fact, F.col("v"), dim, "tailnum", measured(dim)[0])
+    hits = [int(r.v[1:]) for r in some.collect()]
+    assert set(range(0, 20_000, 10)) <= set(hits) and len(hits) < 2000 + 2 * 18_000 / 16
+    enr = join_dimension(fact, dim, "v", broadcast_limit=0, partitions=8)
+    want = sorted((i, f"m{i}", "e") for i in range(0, 20_000, 10))
+    assert sorted(map(tuple, enr.frame.select("n", "model", "engine_type").collect())) == want
+    plan = enr.frame._jdf.queryExecution().executedPlan().toString()
+    assert "LeftSemi" in plan and "bitmap_construct_agg" in plan
+    # a filter beyond the threshold is left out, with the same result
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1000")
+    try:
+        enr = join_dimension(fact, dim, "v", broadcast_limit=0, partitions=8)
+        assert "LeftSemi" not in enr.frame._jdf.queryExecution().executedPlan().toString()
+        assert sorted(map(tuple, enr.frame.select("n", "model", "engine_type").collect())) == want
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
