@@ -3,19 +3,24 @@
 Each Spark task opens an in-memory DuckDB with two tables made from the rank
 file: ``merges`` (pair of ids -> id of the joined token, which is its rank)
 and ``vocab`` (id -> bytes). Texts are cut into pieces by the tokenizer's
-pattern. Pieces that are tokens are done; the others become token-position
-rows, and one recursive query joins them with ``merges``, contracts the
-leftmost pair of least rank of every piece, and repeats until no piece has a
-pair left. Decoding joins the ids with ``vocab`` and concatenates the bytes
-of a document by an ordered aggregate.
-
-Equal pieces of a task are encoded once. The pattern never matches across
-white space that precedes a piece, so texts are first cut at white space and
-equal cuts are matched once. What a task remembers is bounded by
-``CACHE_ROWS`` (it forgets and starts anew, results stay the same), the rows
-of one query by ``PIECE_ROWS`` and ``TOKEN_BLOCK`` or one text; texts are
-whole, whatever their length. Pieces of ``LONG_PIECE`` bytes and more are
-contracted alone, all occurrences of their least pair in a step.
+pattern. Pieces that are tokens are done; others of ``SPLIT_PIECE`` bytes and
+more are cut wherever no token of the vocabulary matches across (no
+contraction ever joins the two sides, so each part can be contracted by
+itself); pieces and parts become token-position rows, and one recursive query joins them with ``merges``,
+contracts the leftmost pair of least rank of each, and repeats until none has
+a pair left. Decoding joins the ids with ``vocab`` and concatenates
+the bytes of a document by an ordered aggregate.
+
+Equal pieces and equal parts of a task are encoded once. The pattern never
+matches across white space that precedes a piece, so texts are first cut at
+white space and equal cuts are matched once. What a task remembers is bounded
+by ``CACHE_ROWS`` (it forgets and starts anew, results stay the same), the
+rows of one query by ``PIECE_ROWS`` and ``TOKEN_BLOCK`` or one text; texts are
+whole, whatever their length. Of parts of ``LONG_PIECE`` bytes and more all
+occurrences of the least pair are contracted in a step, many parts in a query.
+
+Letters and numbers are those of the Unicode version that the public
+tokenizer library knows; ``regex`` knows newer ones, see ``LATER``.
 
 Null and empty texts have no tokens. Repeated rows give equal rows; an empty
 table gives no rows. Extra columns of the input are left out.
@@ -26,6 +31,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Callable, Iterable, Iterator
+from functools import cached_property
 
 import duckdb
 import numpy as np
@@ -42,15 +48,30 @@ RANKS = "byte_bpe_multi_50k.tiktoken"
 #: Distinct cuts that a task remembers, rows that one recursive query may keep,
 #: and characters in one decoding query.
 CACHE_ROWS, PIECE_ROWS, TOKEN_BLOCK = 250_000, 3_000_000, 400_000
-#: Bytes from which a piece is long, and rows that the steps of one query on
-#: long pieces may keep.
-LONG_PIECE, LONG_ROWS = 128, 1_000_000
+#: Bytes from which a piece is cut into parts and from which a part is long,
+#: and rows that the steps of one query on long parts may keep.
+SPLIT_PIECE, LONG_PIECE, LONG_ROWS = 32, 128, 1_000_000
 MEMORY = "700MB"
 
 #: White space of the pattern, fixed by Unicode.
 SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 CUT = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]")
 
+#: Letters and numbers that Unicode got after the version that the
+#: tokenizer library's classes follow; to it they are neither.
+LATER = (
+    "\u0558\u058b-\u058c\u088f\u0c5c\u0cdc\u208f\u209d-\u209f\ua7ce-\ua7cf\ua7d2\ua7d4\ua7dd\ua7e2\ua7f1"
+    "\uab6c-\uab6d\U000107bb-\U000107bf\U00010940-\U00010959\U00010ec5-\U00010ec7\U00010ed9-\U00010eee"
+    "\U00011b0a\U00011db0-\U00011ddb\U00011de0-\U00011de9\U00011df1\U0001246f\U00012475-\U0001247f"
+    "\U00012550-\U00012686\U00016ea0-\U00016eb8\U00016ebb-\U00016ed3\U00016ff2-\U00016ff6"
+    "\U000187f8-\U000187ff\U00018cd6-\U00018cda\U00018d09-\U00018d20\U00018d80-\U00018df2"
+    "\U00018e00-\U00019191\U000191a0-\U000191d2\U0001b123-\U0001b128\U0001b168\U0001d6a6"
+    "\U0001df1f-\U0001df24\U0001df2b-\U0001df81\U0001df90-\U0001df96\U0001dfcd-\U0001dfff"
+    "\U0001e6c0-\U0001e6de\U0001e6e0-\U0001e6e2\U0001e6e4-\U0001e6e5\U0001e6e7-\U0001e6ed"
+    "\U0001e6f0-\U0001e6f4\U0001e6fe-\U0001e6ff\U0002b73a-\U0002b73f\U0002b81e\U0002cea2-\U0002cead"
+    "\U000323b0-\U00033479\U0003d000-\U0003fc3f"
+)
+
 ENCODE = """
 WITH RECURSIVE state(piece, pos, id, next, step) AS (
   SELECT piece, pos, id, next, 0 FROM positions
@@ -75,17 +96,17 @@ FROM state s JOIN (SELECT piece, max(step) AS step FROM state GROUP BY piece) f
 ORDER BY s.piece, s.pos
 """
 
-# For long pieces: every occurrence of the least pair is contracted in one
-# step, from the left. That equals one at a time as long as no pair that holds
-# the joined token ranks before it; the few tokens that are otherwise (not
-# ``safe``) are contracted once in a step.
+# For long parts: every occurrence of the least pair is contracted in one
+# step, from the left, up to the first whose joined token makes a pair with a
+# neighbour that ranks before it, as that pair is next. Only tokens that are
+# not ``safe`` have such pairs at all.
 ENCODE_LONG = """
 WITH RECURSIVE state(piece, pos, id, step) AS (
   SELECT piece, pos, id, 0 FROM positions
   UNION ALL
   (WITH pairs AS (
-     SELECT piece, pos, id, step, lead(id) OVER (PARTITION BY piece ORDER BY pos) AS next
-     FROM state WHERE step < {steps}),
+     SELECT piece, pos, id, step, lag(id) OVER w AS before, lead(id) OVER w AS next, lead(id, 2) OVER w AS after
+     FROM state WHERE step < {steps} WINDOW w AS (PARTITION BY piece ORDER BY pos)),
    ranked AS (
      SELECT p.*, m.rank, m.safe, min(m.rank) OVER (PARTITION BY piece) AS least
      FROM pairs p LEFT JOIN merges m ON m.pair = (p.id::BIGINT << 32) | p.next),
@@ -94,11 +115,22 @@ WITH RECURSIVE state(piece, pos, id, step) AS (
             pos - row_number() OVER (PARTITION BY piece, coalesce(rank = least, false) ORDER BY pos) AS run
      FROM ranked WHERE least IS NOT NULL),
    chosen AS (
-     SELECT *, hit AND CASE WHEN safe THEN row_number() OVER (PARTITION BY piece, hit, run ORDER BY pos) % 2 = 1
-                            ELSE row_number() OVER (PARTITION BY piece, hit ORDER BY pos) = 1 END AS joins
-     FROM hits),
+     SELECT *, hit AND row_number() OVER (PARTITION BY piece, hit, run ORDER BY pos) % 2 = 1 AS odd FROM hits),
+   beside AS (
+     SELECT *, odd AND NOT safe AS open,
+            CASE WHEN lag(odd, 2, false) OVER (PARTITION BY piece ORDER BY pos) THEN least ELSE before END AS left_id
+     FROM chosen),
+   checked AS (
+     SELECT b.*, coalesce(l.rank < least, false) OR coalesce(r.rank < least, false) AS stops
+     FROM beside b
+     LEFT JOIN merges l ON l.pair = CASE WHEN open THEN (left_id::BIGINT << 32) | least END
+     LEFT JOIN merges r ON r.pair = CASE WHEN open THEN (least::BIGINT << 32) | after END),
+   limited AS (
+     SELECT *, odd AND NOT coalesce(bool_or(stops) OVER (PARTITION BY piece ORDER BY pos
+                                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), false) AS joins
+     FROM checked),
    taken AS (
-     SELECT *, coalesce(lag(joins) OVER (PARTITION BY piece ORDER BY pos), false) AS gone FROM chosen)
+     SELECT *, coalesce(lag(joins) OVER (PARTITION BY piece ORDER BY pos), false) AS gone FROM limited)
    SELECT piece, (row_number() OVER (PARTITION BY piece ORDER BY pos) - 1)::INTEGER,
           CASE WHEN joins THEN least::INTEGER ELSE id END, step + 1
    FROM taken WHERE NOT gone))
@@ -116,6 +148,17 @@ GROUP BY doc
 """
 
 
+def finder(pattern: str) -> Callable[[str], list[str]]:
+    """Finds the matches of the pattern with the library's letters and
+    numbers. Texts without later ones take the faster plain classes."""
+    exact = pattern
+    for kind in (r"\p{L}", r"\p{N}"):
+        exact = exact.replace(kind, f"[{kind}--[{LATER}]]")
+    plain, exact = regex.compile(pattern).findall, regex.compile(exact, regex.V1).findall
+    later = re.compile(f"[{LATER}]").search
+    return lambda text: plain(text) if text.isascii() or not later(text) else exact(text)
+
+
 class _Numbers(dict):
     """Numbers keys in the order in which they are first asked for."""
 
@@ -128,7 +171,7 @@ class Codec:
     """Encoder and decoder of one task."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
-        self.ranks, self.pattern = ranks, regex.compile(pattern)
+        self.ranks, self.find = ranks, finder(pattern)
         self.singles = np.arange(max(ranks.values()) + 1, dtype=np.int32)
         self.byte_ids = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
         pairs = [(ranks[t[:i]] << 32 | ranks[t[i:]], r) for t, r in ranks.items()
@@ -150,11 +193,32 @@ class Codec:
     def forget(self) -> None:
         self.cuts, self.known = _Numbers(), 0
         self.pieces: dict[str, np.ndarray] = {}
+        self.parts = {bytes([b]): self.byte_ids[b:b + 1] for b in range(256)}
         # ids of all known cuts end to end, and where each cut's begin
         self.ids, self.starts = np.empty(0, np.int32), np.zeros(1, np.int64)
 
+    @cached_property
+    def prefixes(self) -> frozenset[bytes]:
+        return frozenset(t[:i] for t in self.ranks for i in range(1, len(t) + 1))
+
+    def split(self, raw: bytes) -> list[bytes]:
+        """The piece cut wherever no token matches across."""
+        parts, start, reach, ranks, prefixes = [], 0, 1, self.ranks, self.prefixes
+        for i in range(len(raw)):
+            # reach: where the furthest token that starts before i ends
+            if reach == i:
+                parts.append(raw[start:i])
+                start, reach = i, i + 1
+            end = reach + 1
+            while end <= len(raw) and raw[i:end] in prefixes:
+                if raw[i:end] in ranks:
+                    reach = end
+                end += 1
+        parts.append(raw[start:])
+        return parts
+
     def merge(self, pieces: list[bytes]) -> list[np.ndarray]:
-        """Ids of pieces that are no tokens, by the recursive query."""
+        """Ids of short pieces and parts, by the recursive query."""
         size = np.fromiter(map(len, pieces), np.int64, len(pieces))
         ends = np.cumsum(size)
         ids = self.byte_ids[np.frombuffer(b"".join(pieces), np.uint8)]
@@ -170,17 +234,24 @@ class Codec:
         stops = np.cumsum(np.bincount(out["piece"].to_numpy(), minlength=len(pieces))).tolist()
         return [merged[i:j] for i, j in zip([0, *stops], stops)]
 
-    def merge_long(self, piece: bytes) -> np.ndarray:
-        """Ids of one long piece, some steps at a time, so that the rows that
-        a recursive query keeps stay bounded."""
-        ids, more = self.byte_ids[np.frombuffer(piece, np.uint8)], True
-        while more:
+    def merge_long(self, parts: list[bytes]) -> list[np.ndarray]:
+        """Ids of long parts, some steps at a time, so that the rows that a
+        recursive query keeps stay bounded."""
+        ids = [self.byte_ids[np.frombuffer(p, np.uint8)] for p in parts]
+        live = list(range(len(parts)))
+        while live:
+            size = np.array([len(ids[i]) for i in live])
             self.db.register("positions", pa.table({
-                "piece": np.zeros(len(ids), np.int32), "pos": np.arange(len(ids), dtype=np.int32), "id": ids}))
-            steps = max(1, LONG_ROWS // len(ids))
-            out = self.db.sql(ENCODE_LONG.format(steps=steps)).to_arrow_table()
+                "piece": np.repeat(np.arange(len(live), dtype=np.int32), size),
+                "pos": (np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)).astype(np.int32),
+                "id": np.concatenate([ids[i] for i in live])}))
+            out = self.db.sql(ENCODE_LONG.format(steps=max(1, LONG_ROWS // int(size.sum())))).to_arrow_table()
             self.db.unregister("positions")
-            ids, more = out["id"].to_numpy(), bool(out["more"][0].as_py())
+            piece, merged, more = (out[c].to_numpy() for c in ("piece", "id", "more"))
+            stops = np.cumsum(np.bincount(piece, minlength=len(live)))
+            for i, got in zip(live, np.split(merged, stops[:-1])):
+                ids[i] = got
+            live = [i for i, stop in zip(live, stops) if more[stop - 1]]
         return ids
 
     def learn(self) -> None:
@@ -188,23 +259,30 @@ class Codec:
         fresh = [c for c, n in zip(reversed(self.cuts), range(len(self.cuts) - self.known))][::-1]
         if not fresh:
             return
-        split = [self.pattern.findall(c) for c in fresh]
+        split = [self.find(c) for c in fresh]
         todo = {p: p.encode() for ps in split for p in ps if p not in self.pieces}
-        short = {}
+        cut, uncut = {}, {}
         for p, raw in todo.items():
             whole = self.ranks.get(raw)
             if whole is not None:
                 self.pieces[p] = self.singles[whole:whole + 1]
-            elif len(raw) < LONG_PIECE:
-                short[p] = raw
+            elif len(raw) < SPLIT_PIECE:
+                uncut[p] = raw
             else:
-                self.pieces[p] = self.merge_long(raw)
-        # a piece of n bytes takes at most n steps of at most n rows
-        for block in _blocks(short, PIECE_ROWS, lambda p: len(short[p]) ** 2):
-            self.pieces.update(zip(block, self.merge([short[p] for p in block])))
-        parts = [np.concatenate([self.pieces[p] for p in ps]) if len(ps) != 1 else self.pieces[ps[0]] for ps in split]
-        self.ids = np.concatenate([self.ids, *parts])
-        ends = self.starts[-1] + np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)))
+                cut[p] = self.split(raw)
+        parts = dict.fromkeys(s for ss in cut.values() for s in ss if s not in self.parts)
+        # n bytes take at most n steps of at most n rows
+        for block in _blocks(uncut, PIECE_ROWS, lambda p: len(uncut[p]) ** 2):
+            self.pieces.update(zip(block, self.merge([uncut[p] for p in block])))
+        for block in _blocks((s for s in parts if len(s) < LONG_PIECE), PIECE_ROWS, lambda s: len(s) ** 2):
+            self.parts.update(zip(block, self.merge(block)))
+        for block in _blocks((s for s in parts if len(s) >= LONG_PIECE), LONG_ROWS // LONG_PIECE):
+            self.parts.update(zip(block, self.merge_long(block)))
+        for p, ss in cut.items():
+            self.pieces[p] = np.concatenate([self.parts[s] for s in ss])
+        ids = [np.concatenate([self.pieces[p] for p in ps]) if len(ps) != 1 else self.pieces[ps[0]] for ps in split]
+        self.ids = np.concatenate([self.ids, *ids])
+        ends = self.starts[-1] + np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)))
         self.starts = np.concatenate([self.starts, ends])
         self.known = len(self.cuts)
 

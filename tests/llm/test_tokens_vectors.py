@@ -3,6 +3,7 @@ library and brute force; the pipeline against its parts."""
 
 import hashlib
 import random
+import time
 
 import numpy as np
 import public_tokenizers
@@ -43,6 +44,51 @@ def test_bpe_equals_library(codec, encoding):
     assert codec.decode(ids) == [t.encode() for t in texts]
 
 
+def test_bpe_pieces_without_spaces(encoding):
+    """A thousand pieces of 180 bytes, text without spaces in several scripts,
+    long runs of one letter: right, and without a query for each."""
+    rng = random.Random(5)
+    letters = {"han": (0x4e00, 0x7000), "kana": (0x3042, 0x3093), "thai": (0xe01, 0xe2e), "latin": (0x61, 0x7b)}
+    word = {k: lambda n, a=a: "".join(chr(rng.randrange(*a)) for _ in range(n)) for k, a in letters.items()}
+    texts = [word["han"](60) for _ in range(1000)] + [word[k](4000) for k in letters]
+    texts += ["".join(rng.choice("ACGT") for _ in range(100_000)), "=" * 20_000, "ab" * 9_000, "-" * 300 + "=" * 300]
+    codec = bpe.Codec(bpe.load_ranks(RANKS), public_tokenizers.PATTERN)
+    start = time.process_time()
+    ids = codec.encode(texts)
+    assert time.process_time() - start < 15
+    assert [i.tolist() for i in ids] == [encoding.encode_ordinary(t) for t in texts]
+
+
+def test_bpe_parts_join_to_the_piece(codec):
+    for raw in ["日本語の文章".encode() * 30, b"qxzjvk" * 50, b"a", b"\xff\xfe", b"token" * 40]:
+        parts = codec.split(raw)
+        assert b"".join(parts) == raw and all(parts)
+        for n in range(1, len(parts)):
+            at = len(b"".join(parts[:n]))
+            assert not any(raw[i:j] in codec.ranks for i in range(max(0, at - 40), at) for j in range(at + 1, at + 40))
+
+
+def test_bpe_long_parts_in_blocks(codec, encoding, monkeypatch):
+    monkeypatch.setattr(bpe, "LONG_ROWS", 2_000)
+    monkeypatch.setattr(bpe, "LONG_PIECE", 8)
+    codec.forget()
+    texts = ["ab" * 90, "=" * 700, "aab" * 130, "z" * 64, "tokenization" * 12, "information" * 30]
+    assert [i.tolist() for i in codec.encode(texts)] == [encoding.encode_ordinary(t) for t in texts]
+    codec.forget()
+
+
+def test_bpe_letters_are_the_library_s(codec):
+    """Over all code points: pieces are cut as the library's classes say."""
+    ranks = bpe.load_ranks(RANKS)
+    chars = [chr(i) for i in range(0x110000) if not 0xD800 <= i <= 0xDFFF]
+    for kind in (r"\p{L}", r"\p{N}", r"\s"):
+        library = tiktoken.Encoding("one", pat_str=kind, mergeable_ranks=ranks, special_tokens={})
+        find = bpe.finder(kind)
+        assert [c for c in chars if find(c)] == [c for c in chars if library.encode_ordinary(c)], kind
+    for c in "\u0558\u088f\ua7f1\U00010ee7\U0001246f\U000323b0":
+        assert codec.find(f" {c}a1") == [f" {c}", "a", "1"]
+
+
 def test_bpe_forgets_safely(codec, encoding, monkeypatch):
     monkeypatch.setattr(bpe, "CACHE_ROWS", 20)
     monkeypatch.setattr(bpe, "PIECE_ROWS", 200)
