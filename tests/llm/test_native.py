@@ -4,6 +4,7 @@ import re
 import zlib
 from collections import Counter
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -122,8 +123,8 @@ def test_mix_takes_near_target(spark, docs):
     rows = mixing.mix(big).collect()
     taken, target, largest = Counter(), {}, Counter()
     for r in rows:
-        assert 0 <= r.times <= 3
-        taken[r.source] += r.times * r["size"] * r.copies
+        assert 0 <= r.times <= 3 * r.copies
+        taken[r.source] += r.times * r["size"]
         target[r.source] = r.target
         largest[r.source] = max(largest[r.source], r["size"])
     assert sum(taken.values()) <= sum(r["size"] * r.copies for r in rows)
@@ -132,11 +133,36 @@ def test_mix_takes_near_target(spark, docs):
     again = {(r.doc_id, r.source, r["size"]): r.times for r in mixing.mix(big.repartition(7)).collect()}
     assert again == {(r.doc_id, r.source, r["size"]): r.times for r in rows}
     mixed = mixing.mixed_documents(docs)
-    want = Counter({(r.doc_id, r.source, r["size"]): r.times * r.copies for r in mixing.mix(docs).collect()})
+    want = Counter({(r.doc_id, r.source, r["size"]): r.times for r in mixing.mix(docs).collect()})
     got = Counter((r.doc_id, r.source, len(split(r.text))) for r in mixed.collect())
     assert got == +want
 
 
+@pytest.mark.parametrize("copies", [50, 150, 350, 3000])
+def test_mix_repeated_rows(spark, copies, tmp_path):
+    """One row repeated often: its source still ends near its target, the
+    rows taken are those of the mix, and the SQL states the same."""
+    rows = [(i, "w " * 100, "en", "abc"[i % 3], i) for i in range(300)] + [(10 ** 6, "w " * 100, "en", "b", 0)] * copies
+    docs = frame(spark, rows)
+    groups = mixing.mix(docs).collect()
+    taken, target, want = Counter(), {}, {}
+    for r in groups:
+        taken[r.source] += r.times * r["size"]
+        target[r.source] = r.target
+        want[r.doc_id] = r.times
+    assert sum(r.copies for r in groups) == len(rows)
+    for s, t in target.items():
+        assert abs(taken[s] - t) <= 300, (s, taken, target)
+    mixed = Counter(r.doc_id for r in mixing.mixed_documents(docs).select("doc_id").collect())
+    assert mixed == +Counter(want)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    names = ["doc_id", "size", "source_size", "taken"]
+    got = Counter(tuple(r[c] for c in names) for r in mixing.op5_mixing(spark, str(tmp_path)).collect())
+    with duckdb.connect() as db:
+        db.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+        assert got == Counter(db.execute(f"SELECT {', '.join(names)} FROM ({mixing.OP5_SQL})").fetchall())
+
+
 def test_shards(spark, docs):
     big = table(spark, "/root/testdata/sf0.01", "documents").select("doc_id", "text")
     hot = spark.range(10_000, 13_000).select(F.col("id").alias("doc_id"), F.lit("copy of one text " * 9).alias("text"))
