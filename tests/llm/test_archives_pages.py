@@ -88,6 +88,69 @@ def test_read_some_records(spark, pages):
     assert sorted(r.page_id for r in warc.read_records(bundles, wanted).collect()) == [1, 7]
 
 
+def test_http_records():
+    head = warc.record_bytes(1, "HTTP://a/x", b"<p>a</p>", "D", None)
+    assert b"\r\nContent-Type: application/http; msgtype=response\r\n" in head
+    assert head.endswith(b"\r\n\r\nHTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n"
+                         b"Content-Length: 8\r\n\r\n<p>a</p>\r\n\r\n")
+    assert warc.parse_record(memoryview(head))["payload"] == b"<p>a</p>"
+    again = warc.record_bytes(2, "http://a/y", b"<p>a</p>", "D", 1)
+    assert warc.parse_record(memoryview(again))["payload"] == b""
+    other = warc.record_bytes(3, None, b"HTTP/1.1 \r\n\r\n", "D", None)
+    assert warc.parse_record(memoryview(other))["payload"] == b"HTTP/1.1 \r\n\r\n"
+
+
+def test_files(spark, pages, tmp_path):
+    bundles = warc.write_bundles(pages)
+    folder = f"file://{tmp_path}/archives"
+    for _ in range(2):  # a rerun leaves the same files
+        made = {r.bundle: r.bytes for r in warc.write_files(bundles, folder).collect()}
+    files = {f.name: f for f in (tmp_path / "archives").iterdir() if not f.name.endswith(".crc")}
+    assert {n: f.stat().st_size for n, f in files.items()} == made
+    for f in files.values():
+        data = f.read_bytes()
+        at = 0
+        for packed, full in warc.read_seek_table(data):
+            assert len(zstandard.ZstdDecompressor().decompress(data[at:at + packed])) == full
+            at += packed
+        records = zstandard.ZstdDecompressor().stream_reader(data, read_across_frames=True).read()
+        assert records.startswith(b"WARC/1.1\r\n") and records.endswith(b"\r\n\r\n")
+    wanted = spark.createDataFrame([(7,), (9,), (2 ** 60 + 3,)], "page_id long")
+    got = {r.page_id: r for r in warc.read_files(warc.record_index(bundles), folder, wanted).collect()}
+    assert set(got) == {7, 9, 2 ** 60 + 3}
+    assert bytes(got[7].payload).decode() == "long é " * 400_000
+    assert got[9].refers_to == 3 and got[2 ** 60 + 3].refers_to == 2 ** 60 + 1
+
+
+def broken(bundles, how):
+    rows = [r.asDict(recursive=True) for r in bundles.collect()]
+    for r in rows if how == "size" else []:
+        if r["footer"] is not None:
+            sizes = warc.read_seek_table(bytes(r["footer"]))
+            r["footer"] = r["data"] = warc.seek_table([(c + 1, d) for c, d in sizes])
+    if how == "magic":
+        rows = [r | ({"footer": bytes(r["footer"])[:-1] + b"x"} if r["footer"] is not None else {}) for r in rows]
+    if how == "no footer":
+        rows = [r for r in rows if r["footer"] is None]
+    if how == "no frame":
+        rows = [r for r in rows if r["footer"] is not None or r["frame"] > 0]
+    return bundles.sparkSession.createDataFrame(rows, warc.FRAMES)
+
+
+@pytest.mark.parametrize("how", ["size", "magic", "no footer", "no frame"])
+def test_broken_bundles_raise(spark, pages, how):
+    bundles = broken(warc.write_bundles(pages), how)
+    with pytest.raises(Exception, match="seek table"):
+        warc.read_bundles(bundles).collect()
+
+
+def test_seek_tables_are_read_without_frames(spark, pages):
+    bundles = warc.write_bundles(pages)
+    plan = bundles.filter("footer IS NOT NULL").select("bundle", "footer")._jdf.queryExecution().toString()
+    scan = [line for line in plan.splitlines() if "ReadSchema" in line]
+    assert scan and not any("data" in line.split("ReadSchema")[1] for line in scan)
+
+
 def test_empty_tables(spark, pages):
     none = pages.limit(0)
     assert warc.read_bundles(warc.write_bundles(none)).count() == 0
