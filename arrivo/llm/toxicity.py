@@ -12,12 +12,16 @@ them, and are composed into one transducer before any text is read:
 
 The first arcs carry weights too: the insult lexicon is learned, whole words
 and word stems that a labelled sample holds in toxic texts far above chance,
-each with its log-odds. The weights of a text's events are summed for each
-kind of event; logistic regression on the sums scores the text.
+each with its log-odds. The words that stand before a lexicon word are learned
+as well: such that make a text far less often toxic than other texts with a
+lexicon word are negations, such that make it far more often toxic are targets.
+The seed words are what is known before. The weights of a text's events are
+summed for each kind of event; logistic regression on the sums scores the text.
 
 Only rows whose crc32(doc_id as text) mod 4 is not ``HELD_OUT`` are learned
-from, at most about ``TRAIN_DOCS`` of each label (a bounded sample by hash).
-Every text is scored whole. Null and empty texts have no clause and get the
+from, at most about ``TRAIN_DOCS`` of each label (a bounded sample by hash). A
+doc_id that the labels repeat counts once, as toxic if any of its labels is; a
+doc_id that the documents repeat, with the text of the least hash. Every text is scored whole. Null and empty texts have no clause and get the
 score of a text without events; so do all texts if no label can be learned
 from and no seed word matches. Repeated rows score alike; an empty table
 gives no rows.
@@ -30,7 +34,7 @@ import re
 from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from itertools import groupby
 
 import ahocorasick
@@ -48,6 +52,8 @@ PARTS, HELD_OUT = 4, 2  # fixed by the data contract
 THRESHOLD = 0.3  # fixed by the data contract
 #: Stem lengths that the lexicon may use, and log-odds that a term needs.
 STEMS, MIN_ODDS = range(4, 9), 3.0
+#: Log-odds that a learned negation or target needs.
+MARK_ODDS = 1.0
 #: Terms of a text, as a bound of how many are tried for the lexicon.
 TERMS_TRIED = 300
 #: Further min-hashes that tell near copies, and the share alike that they need.
@@ -58,15 +64,20 @@ L2 = 0.05
 
 # Seed words (English, German, French, Spanish).
 SEED_WORDS = {
-    "T": "kill hurt shoot stab strangle murder töten umbringen tuer matar",
-    "Y": "you your he she they him her them people du ihr dich vous tu toi usted tú ellos",
-    "N": "not never no isn't aren't wasn't nicht kein keine nie pas jamais nunca",
+    "T": "kill kills killed killing hurt hurts hurting shoot shoots shooting stab stabs stabbed stabbing strangle "
+         "strangles strangled strangling murder murders murdered murdering töten töte tötet tötete getötet umbringen "
+         "umbringe umgebracht ermorden ermordet tuer tuerai tuerons tuez assassiner matar mato mataré matado asesinar",
+    "Y": "you your he his she they their him her them people du dein ihr euch dich vous votre tu toi usted tú ellos",
+    "N": "not never no none nobody nothing neither without cannot nicht nichts niemand kein keine nie ohne pas rien "
+         "aucun aucune jamais sans nunca nadie nada ningún sin",
     "R": "said says wrote called claimed quoted reported sagte schrieb dit écrit dijo escribió",
 }
 DEFAULT_LEXICON = "idiot moron stupid scum"
 
-WORD = re.compile(r"[^\W\d_]+(?:'[^\W\d_]+)?")
+WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)?")
 CLAUSE = re.compile(r"[.!?;\n]+")
+#: Words before an event that the grammar's negations and targets reach.
+REACH_N, REACH_Y = 2, 4
 
 
 class Machine:
@@ -133,8 +144,8 @@ PLAIN = ["Y", "N", "R", "O"]
 
 def grammar() -> Machine:
     machine = reported(INPUT)
-    for build, marks in ((lambda a: window(a, "N", 2, "n"), ("r",)),
-                         (lambda a: window(a, "Y", 4, "t"), ("r", "n")),
+    for build, marks in ((lambda a: window(a, "N", REACH_N, "n"), ("r",)),
+                         (lambda a: window(a, "Y", REACH_Y, "t"), ("r", "n")),
                          (lambda a: addressed(a, 2), ("r", "n", "t"))):
         machine = compose(machine, build(events(marks) + PLAIN), INPUT)
     return machine
@@ -151,16 +162,18 @@ PRIOR_BIAS = -4.0
 
 @dataclass(frozen=True)
 class Lexicon:
-    """Weights of insults: whole words, and stems of words that begin so."""
+    """Weights of insults: whole words, and stems of words that begin so.
+    ``marks`` are learned symbols of other words."""
     words: dict[str, float]
     stems: dict[str, float]
+    marks: dict[str, str] = field(default_factory=dict)
 
     def arcs(self, clause: str) -> list[tuple[str, float]]:
         """Symbol and weight of each word of a clause."""
         out = []
         for w in WORD.findall(clause):
             weight = max([self.words.get(w, 0.0), *(self.stems.get(w[:n], 0.0) for n in STEMS)])
-            out.append(("I", weight) if weight > 0 else (SYMBOL_OF.get(w, "O"), 1.0))
+            out.append(("I", weight) if weight > 0 else (self.marks.get(w) or seed_symbol(w), 1.0))
         return out
 
     def finder(self) -> ahocorasick.Automaton:
@@ -174,6 +187,15 @@ class Lexicon:
 SYMBOL_OF = {w: symbol for symbol, ws in SEED_WORDS.items() for w in ws.split()}
 
 
+def seed_symbol(word: str) -> str:
+    """Symbol of a seed word; "isn't" negates, "you're" is its first part."""
+    if word in SYMBOL_OF:
+        return SYMBOL_OF[word]
+    if word.endswith(("n't", "n’t")):
+        return "N"
+    return SYMBOL_OF.get(re.split("['’]", word)[0], "O")
+
+
 def clause_events(arcs: list[tuple[str, float]]) -> Counter:
     """Summed weights of the kinds of marked events in one clause."""
     state, out = 0, Counter()
@@ -187,18 +209,24 @@ def clause_events(arcs: list[tuple[str, float]]) -> Counter:
 def text_events(text: str | None, lexicon: Lexicon, finder: ahocorasick.Automaton) -> Counter:
     """Summed weights of the kinds of marked events of a whole text. Clauses
     without a hit of the finder hold no event and are skipped."""
-    text, out = (text or "").lower(), Counter()
+    out = Counter()
+    for clause in hit_clauses((text or "").lower(), finder):
+        out.update(clause_events(lexicon.arcs(clause)))
+    return out
+
+
+def hit_clauses(text: str, finder: ahocorasick.Automaton) -> Iterator[str]:
+    """Clauses of a text that hold a hit of the finder."""
     hits = [end for end, _ in finder.iter(text)]
     if not hits:
-        return out
+        return
     start, at = 0, 0
     for stop in [*(m.start() for m in CLAUSE.finditer(text)), len(text)]:
         if at < len(hits) and hits[at] < stop:
             while at < len(hits) and hits[at] < stop:
                 at += 1
-            out.update(clause_events(lexicon.arcs(text[start:stop])))
+            yield text[start:stop]
         start = stop
-    return out
 
 
 def features(found: Counter) -> np.ndarray:
@@ -228,15 +256,16 @@ def training_sample(docs: DataFrame, labels: DataFrame, bound: int = TRAIN_DOCS)
     Copies and near copies (equal least hash of their word triples, and at
     least ``NEAR`` of ``MIN_HASHES`` further ones alike) are one row, or their
     rare words would pass for signs of the label."""
-    known = labels.filter(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).select(
-        "doc_id", F.col("toxic").cast("int").alias("toxic"))
+    known = labels.filter(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).groupBy(
+        "doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     counts = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
     share = F.lit(1.0)  # no such label, no such row
     for value, n in counts.items():
         share = F.when(F.col("toxic") == value, F.lit(min(1.0, bound / n))).otherwise(share)
     chosen = known.filter(uniform(F.col("doc_id"), F.lit("train")) < share)
     chosen = chosen.withColumn("weight", 1 / share)
-    drawn = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    drawn = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "toxic", "weight").agg(
+        F.min_by("text", F.xxhash64("text")).alias("text"))
     triples = let(words(F.lower("text")), lambda w: F.transform(F.sequence(F.lit(0), F.greatest(
         F.size(w) - 3, F.lit(0))), lambda i: F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2))))
     texts = cut_lineage(drawn.groupBy("text", "toxic").agg(
@@ -338,6 +367,52 @@ def learn_lexicon(sample: DataFrame) -> Lexicon:
                    {t: w for t, w in weight.items() if t[-1] != "$"})
 
 
+def learn_marks(sample: DataFrame, lexicon: Lexicon) -> Lexicon:
+    """The lexicon with the negations and targets that stand before its words.
+    The test is that of the lexicon, among the texts with a lexicon word."""
+    def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        finder, counts = lexicon.finder(), {0: Counter(), 1: Counter()}
+        for pdf in batches:
+            for text, toxic in zip(pdf["text"], pdf["toxic"]):
+                counts[int(toxic)].update(places_before(text, lexicon, finder))
+        for toxic, found in counts.items():
+            yield pd.DataFrame([(w, k, n if toxic else 0, 0 if toxic else n) for (w, k), n in found.items()],
+                               columns=["word", "symbol", "tox", "clean"])
+
+    # the bounded sample bounds the words; "I" counts the texts with a lexicon word
+    rows = sample.mapInPandas(counted, "word string, symbol string, tox long, clean long").groupBy("word", "symbol").agg(
+        F.sum("tox").alias("tox"), F.sum("clean").alias("clean")).collect()
+    n1, n0 = next(((r["tox"], r["clean"]) for r in rows if r["symbol"] == "I"), (0, 0))
+    marks: dict[str, str] = {}
+    if n1 and n0:
+        bar = 1 + math.log(len(rows))
+        for r in sorted(rows, key=lambda r: (r["word"], r["symbol"])):
+            odds = math.log((r["tox"] + 0.5) / (n1 + 1)) - math.log((r["clean"] + 0.5) / (n0 + 1))
+            if r["symbol"] != "I" and gain(r["tox"], r["clean"], n1 / (n1 + n0)) > bar and (
+                    odds <= -MARK_ODDS if r["symbol"] == "N" else odds >= MARK_ODDS):
+                marks[r["word"]] = r["symbol"]
+    return Lexicon(lexicon.words, lexicon.stems, marks)
+
+
+def gain(tox: int, clean: int, rate: float) -> float:
+    """Log-likelihood gain of the counts' own share of toxic texts over ``rate``."""
+    n = tox + clean
+    return sum(k * math.log(k / n / p) for k, p in ((tox, rate), (clean, 1 - rate)) if k)
+
+
+def places_before(text: str | None, lexicon: Lexicon, finder: ahocorasick.Automaton) -> set[tuple[str, str]]:
+    """(word, N or Y) of the words without a symbol that a negation's or a
+    target's place before an insult holds, and ("", "I") if there is one."""
+    out = set()
+    for clause in hit_clauses((text or "").lower(), finder):
+        ws, symbols = WORD.findall(clause), [a[0] for a in lexicon.arcs(clause)]
+        for i in (i for i, x in enumerate(symbols) if x == "I"):
+            out.add(("", "I"))
+            for symbol, reach in (("N", REACH_N), ("Y", REACH_Y)):
+                out.update((ws[k], symbol) for k in range(max(i - reach, 0), i) if symbols[k] == "O")
+    return out
+
+
 def fit(sample: DataFrame, lexicon: Lexicon) -> Model:
     """Weights of the event kinds by ridge logistic regression around the
     prior, from at most 2 * ``TRAIN_DOCS`` rows of event counts."""
@@ -374,7 +449,7 @@ def train(docs: DataFrame, labels: DataFrame, bound: int = TRAIN_DOCS) -> Model:
     small_batches(docs.sparkSession)
     sample = training_sample(docs, labels, bound).persist()
     try:
-        return fit(sample, learn_lexicon(sample))
+        return fit(sample, learn_marks(sample, learn_lexicon(sample)))
     finally:
         sample.unpersist()
 

@@ -1,6 +1,9 @@
 """SimHash and toxicity against brute force and held-out labels."""
 
+import math
 import random
+import re
+import zlib
 from collections import Counter
 from functools import reduce
 
@@ -195,6 +198,104 @@ def test_lexicon_keeps_weaker_terms_beside_many(spark):
     assert all(marked(w, lexicon) for w in strong.split())
 
 
+def test_forms_of_seed_words():
+    assert marked("I am killing you") == {"T": 1.0, "a": 1.0}
+    assert marked("he kills them") == {"Tt": 1.0, "a": 1.0}
+    assert marked("ich töte dich") == {"T": 1.0, "a": 1.0}
+    assert marked("you're an idiot") == marked("you’re an idiot") == {"It": 1.0}
+    assert marked("nobody is idiot") == marked("doesn't seem idiot") == {"In": 1.0}
+
+
+def test_marks_are_learned_from_places(spark):
+    rng = random.Random(5)
+    fill = ["".join(rng.choices("abcdefgh", k=5)) for _ in range(300)]
+
+    def text(*core):
+        return " ".join(rng.choices(fill, k=6) + list(core) + rng.choices(fill, k=6))
+
+    rows = [(text("zork", "blah", "moronic"), 1, 1.0) for _ in range(60)]
+    rows += [(text("moronic"), 1, 1.0) for _ in range(60)] + [(text("moronic"), 0, 1.0) for _ in range(60)]
+    rows += [(text("hardly", "moronic"), 0, 1.0) for _ in range(60)]
+    sample = spark.createDataFrame(rows, "text string, toxic int, weight double")
+    got = toxicity.learn_marks(sample, toxicity.Lexicon({"moronic": 1.0}, {})).marks
+    assert got["hardly"] == "N" and got["zork"] == got["blah"] == "Y" and len(got) <= 5
+    assert toxicity.learn_marks(sample.limit(0), toxicity.Lexicon({"moronic": 1.0}, {})).marks == {}
+
+
+def test_repeated_ids_count_once(spark):
+    docs = spark.createDataFrame([(i // 50, f"text {i} " + " ".join(f"w{i}x{k}" for k in range(9))) for i in range(500)],
+                                 "doc_id long, text string")
+    labels = spark.createDataFrame([(i % 10, int(i % 10 == 3 and i > 900)) for i in range(1000)],
+                                   "doc_id long, toxic int")
+    got = toxicity.training_sample(docs, labels).collect()
+    known = [i for i in range(10) if zlib.crc32(str(i).encode()) % 4 != 2]
+    assert sorted(int(r.text.split()[1]) // 50 for r in got) == known
+    assert {int(r.text.split()[1]) // 50 for r in got if r.toxic} == {3} & set(known)
+
+
+def plain_events(text, lexicon):
+    """Marks by their definition, clause by clause, without machines."""
+    out = Counter()
+    for clause in re.split(r"[.!?;\n]+", (text or "").lower()):
+        ws = re.findall(r"[^\W\d_]+(?:['’][^\W\d_]+)?", clause)
+        weights = [max([lexicon.words.get(w, 0), *(v for k, v in lexicon.stems.items() if w.startswith(k))]) for w in ws]
+        symbols = ["I" if v else lexicon.marks.get(w) or toxicity.seed_symbol(w) for w, v in zip(ws, weights)]
+        last = -9
+        for i, x in enumerate(symbols):
+            if x in "IT":
+                mark = ("r" if "R" in symbols[:i] else "") + ("n" if "N" in symbols[max(i - 2, 0):i] else "") + (
+                    "t" if "Y" in symbols[max(i - 4, 0):i] else "")
+                out[x + mark] += weights[i] or 1.0
+                last = i
+            elif x == "Y":
+                if i - last <= 2:
+                    out["a"] += 1.0
+                last = -9
+    return out
+
+
+def test_lexicon_fit_and_scores_equal_brute_force(spark):
+    docs, labels = table(spark, SF, "documents"), table(spark, SF, "labels")
+    sample = toxicity.training_sample(docs, labels)
+    rows = sample.collect()
+    lexicon = toxicity.learn_lexicon(sample)
+    n = Counter(r.toxic for r in rows)
+    held = {0: Counter(), 1: Counter()}
+    for r in rows:
+        ws = set(re.findall(r"[^\W\d_]+(?:['’][^\W\d_]+)?", r.text.lower()))
+        held[r.toxic].update({w + "$" for w in ws} | {w[:k] for w in ws for k in range(4, 9) if k <= len(w)})
+    odds, rate = {}, n[1] / (n[0] + n[1])
+    for t, a in held[1].items():
+        b = held[0][t]
+        share = a / (a + b)
+        gain = a * math.log(share / rate) + (b * math.log((1 - share) / (1 - rate)) if b else 0)
+        o = math.log((a + 0.5) / (n[1] + 1)) - math.log((b + 0.5) / (n[0] + 1))
+        if o >= 3 and gain > 1 + math.log((n[0] + n[1]) * 300):
+            odds[t] = o
+    assert odds
+    want = {}
+    for t in sorted(odds, key=lambda t: (len(t), t)):
+        if any(u != t and u.startswith(t) and held[1][u] >= 0.9 * held[1][t] for u in odds):
+            continue
+        if all(odds[t] > want[s] + 0.5 for s in want if len(s) < len(t) and t.startswith(s)):
+            want[t] = odds[t]
+    weights = {t: min(o / 5, 1.5) for t, o in want.items()}
+    assert lexicon.words == pytest.approx({t[:-1]: w for t, w in weights.items() if t[-1] == "$"})
+    assert lexicon.stems == pytest.approx({t: w for t, w in weights.items() if t[-1] != "$"})
+
+    model = toxicity.train(docs, labels)
+    x = np.array([[math.log1p(plain_events(r.text, model.lexicon)[k]) for k in toxicity.KINDS] + [1.0] for r in rows])
+    y, c = (np.array([r[k] for r in rows], dtype=float) for k in ("toxic", "weight"))
+    w, start = np.append(model.weights, model.bias), np.append(toxicity.PRIOR, toxicity.PRIOR_BIAS)
+    slope = x.T @ (c * (1 / (1 + np.exp(-x @ w)) - y)) + np.append(np.full(len(toxicity.KINDS), 0.05), 0.005) * (w - start)
+    assert np.abs(slope).max() < 1e-3  # the only minimum of a convex loss
+
+    for r in docs.select("text", toxicity.toxicity(F.col("text"), model).alias("p")).collect():
+        found = plain_events(r.text, model.lexicon)
+        z = model.bias + sum(math.log1p(found[k]) * v for k, v in zip(toxicity.KINDS, model.weights))
+        assert r.p == pytest.approx(1 / (1 + math.exp(-z)), abs=1e-9)
+
+
 def test_toxicity_odd_rows(spark):
     rows = [(1, None), (1, None), (2, ""), (None, "you idiot"), (3, "x " * 100_000)]
     docs = spark.createDataFrame([(i, t, "s", 1) for i, t in rows], "doc_id long, text string, score string, toxic int")
