@@ -369,48 +369,60 @@ def learn_lexicon(sample: DataFrame) -> Lexicon:
 
 def learn_marks(sample: DataFrame, lexicon: Lexicon) -> Lexicon:
     """The lexicon with the negations and targets that stand before its words.
-    The test is that of the lexicon, among the texts with a lexicon word."""
+    A word's texts are compared with those that hold insults of the same
+    weights, or words of a language with surer insults would pass for targets.
+    The test is that of the lexicon, for as many words as there are."""
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         finder, counts = lexicon.finder(), {0: Counter(), 1: Counter()}
         for pdf in batches:
             for text, toxic in zip(pdf["text"], pdf["toxic"]):
                 counts[int(toxic)].update(places_before(text, lexicon, finder))
         for toxic, found in counts.items():
-            yield pd.DataFrame([(w, k, n if toxic else 0, 0 if toxic else n) for (w, k), n in found.items()],
-                               columns=["word", "symbol", "tox", "clean"])
-
-    # the bounded sample bounds the words; "I" counts the texts with a lexicon word
-    rows = sample.mapInPandas(counted, "word string, symbol string, tox long, clean long").groupBy("word", "symbol").agg(
-        F.sum("tox").alias("tox"), F.sum("clean").alias("clean")).collect()
-    n1, n0 = next(((r["tox"], r["clean"]) for r in rows if r["symbol"] == "I"), (0, 0))
+            yield pd.DataFrame([(*place, n if toxic else 0, 0 if toxic else n) for place, n in found.items()],
+                               columns=["word", "symbol", "weight", "tox", "clean"])
+
+    # the bounded sample bounds the words
+    rows = sample.mapInPandas(counted, "word string, symbol string, weight double, tox long, clean long").groupBy(
+        "word", "symbol", "weight").agg(F.sum("tox").alias("tox"), F.sum("clean").alias("clean")).collect()
+    share = {r["weight"]: (r["tox"] + 0.5) / (r["tox"] + r["clean"] + 1) for r in rows if r["symbol"] == "I"}
+    found: dict[tuple[str, str], np.ndarray] = {}
+    for r in rows:
+        if r["symbol"] != "I":
+            n = r["tox"] + r["clean"]
+            found[r["word"], r["symbol"]] = found.get((r["word"], r["symbol"]), 0) + np.array(
+                [r["tox"], r["clean"], n * share[r["weight"]]])
     marks: dict[str, str] = {}
-    if n1 and n0:
-        bar = 1 + math.log(len(rows))
-        for r in sorted(rows, key=lambda r: (r["word"], r["symbol"])):
-            odds = math.log((r["tox"] + 0.5) / (n1 + 1)) - math.log((r["clean"] + 0.5) / (n0 + 1))
-            if r["symbol"] != "I" and gain(r["tox"], r["clean"], n1 / (n1 + n0)) > bar and (
-                    odds <= -MARK_ODDS if r["symbol"] == "N" else odds >= MARK_ODDS):
-                marks[r["word"]] = r["symbol"]
+    for (word, symbol), (tox, clean, expected) in sorted(found.items()):
+        rate = expected / (tox + clean)
+        odds = math.log((tox + 0.5) / (clean + 0.5)) - math.log(rate / (1 - rate))
+        if gain(tox, clean, rate) > 1 + math.log(len(found)) and (
+                odds <= -MARK_ODDS if symbol == "N" else odds >= MARK_ODDS):
+            marks[word] = symbol
     return Lexicon(lexicon.words, lexicon.stems, marks)
 
 
-def gain(tox: int, clean: int, rate: float) -> float:
+def gain(tox: float, clean: float, rate: float) -> float:
     """Log-likelihood gain of the counts' own share of toxic texts over ``rate``."""
     n = tox + clean
     return sum(k * math.log(k / n / p) for k, p in ((tox, rate), (clean, 1 - rate)) if k)
 
 
-def places_before(text: str | None, lexicon: Lexicon, finder: ahocorasick.Automaton) -> set[tuple[str, str]]:
-    """(word, N or Y) of the words without a symbol that a negation's or a
-    target's place before an insult holds, and ("", "I") if there is one."""
-    out = set()
+def places_before(text: str | None, lexicon: Lexicon, finder: ahocorasick.Automaton) -> list[tuple[str, str, float]]:
+    """(word, N or Y, weight) of the words without a symbol that a negation's
+    or a target's place before an insult holds, once with the largest weight of
+    these insults, and ("", "I", weight) for each weight of an insult."""
+    places, weights = {}, set()
     for clause in hit_clauses((text or "").lower(), finder):
-        ws, symbols = WORD.findall(clause), [a[0] for a in lexicon.arcs(clause)]
-        for i in (i for i, x in enumerate(symbols) if x == "I"):
-            out.add(("", "I"))
-            for symbol, reach in (("N", REACH_N), ("Y", REACH_Y)):
-                out.update((ws[k], symbol) for k in range(max(i - reach, 0), i) if symbols[k] == "O")
-    return out
+        ws, arcs = WORD.findall(clause), lexicon.arcs(clause)
+        for i, (symbol, weight) in enumerate(arcs):
+            if symbol != "I":
+                continue
+            weights.add(weight)
+            for mark, reach in (("N", REACH_N), ("Y", REACH_Y)):
+                for k in range(max(i - reach, 0), i):
+                    if arcs[k][0] == "O":
+                        places[ws[k], mark] = max(weight, places.get((ws[k], mark), 0.0))
+    return [(*place, w) for place, w in places.items()] + [("", "I", w) for w in weights]
 
 
 def fit(sample: DataFrame, lexicon: Lexicon) -> Model:

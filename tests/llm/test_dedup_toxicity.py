@@ -222,6 +222,12 @@ def test_marks_are_learned_from_places(spark):
     assert toxicity.learn_marks(sample.limit(0), toxicity.Lexicon({"moronic": 1.0}, {})).marks == {}
 
 
+def test_words_beside_surer_insults_are_no_marks(spark):
+    rows = [("an zork", 1, 1.0)] * 90 + [("der bleh", 1, 1.0)] * 60 + [("der bleh", 0, 1.0)] * 60
+    sample = spark.createDataFrame(rows, "text string, toxic int, weight double")
+    assert toxicity.learn_marks(sample, toxicity.Lexicon({"zork": 1.5, "bleh": 0.6}, {})).marks == {}
+
+
 def test_repeated_ids_count_once(spark):
     docs = spark.createDataFrame([(i // 50, f"text {i} " + " ".join(f"w{i}x{k}" for k in range(9))) for i in range(500)],
                                  "doc_id long, text string")
