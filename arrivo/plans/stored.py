@@ -105,7 +105,7 @@ def save_fit(prep: flow.Prepared, path: str, scored: flow.Scored | None = None)
         "decisions": [asdict(x) for x in prep.policy.decisions],
         "string_columns": sorted(prep.policy.string_columns),
         "dictionaries": {"specs": [asdict(s) for s in d.specs], "sizes": d.sizes, "totals": d.totals,
-                         "bytes": d.bytes, "broadcast_limit": d.broadcast_limit, "partitions": d.partitions},
+                         "bytes": d.bytes, "sized": d.sized, "broadcast_limit": d.broadcast_limit, "partitions": d.partitions},
         "model": scored is not None,
         "model_features": scored.features if scored else prep.features,
         "squares": scored.squares if scored else False,
@@ -121,7 +121,7 @@ def load_fit(spark: SparkSession, path: str) -> StoredFit:
     d = held["dictionaries"]
     dictionaries = DictionaryModel(
         tuple(DictSpec(s["name"], tuple(s["columns"])) for s in d["specs"]), spark.read.parquet(f"{path}/codes"),
-        d["sizes"], d["totals"], d["bytes"], d["broadcast_limit"], d["partitions"])
+        d["sizes"], d["totals"], d["bytes"], d["broadcast_limit"], d["partitions"], sized=d.get("sized", {}))
     policy = MissingPolicy(tuple(Decision(**x) for x in held["decisions"]), frozenset(held["string_columns"]),
                            held["rows_left"])
     layout = Layout(**{k: tuple(v) if isinstance(v, list) else v for k, v in held["layout"].items()})
