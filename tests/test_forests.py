@@ -1,0 +1,28 @@
+"""Shallower forests are read off the deepest one."""
+
+import numpy as np
+import pytest
+from pyspark.ml.linalg import DenseVector
+from pyspark.ml.regression import RandomForestRegressor
+
+from arrivo.plans.model import Grid, build_search, fit_forests
+
+
+def test_search_equals_a_fit_for_each_depth(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(900, 6))
+    y = x[:, 0] * x[:, 1] + x[:, 2] + rng.normal(size=900) / 4
+    rows = [(float(b), i % 3, DenseVector(a)) for i, (a, b) in enumerate(zip(x, y))]
+    train = spark.createDataFrame(rows, ["y", "fold", "scaledFeatures"]).repartition(3).cache()
+    cv = build_search("rf", "y", grid=Grid(rf_depths=(2, 5), rf_trees=(3, 4)))
+    want = cv.fit(train)
+    fits = []
+    plain = RandomForestRegressor._fit
+    monkeypatch.setattr(RandomForestRegressor, "_fit", lambda self, df: fits.append(self.getMaxDepth()) or plain(self, df))
+    got = fit_forests(cv, train, "y")
+    train.unpersist()
+    assert got.avgMetrics == pytest.approx(want.avgMetrics, rel=1e-9)
+    assert got.stdMetrics == pytest.approx(want.stdMetrics, rel=1e-9)
+    assert got.bestModel.toDebugString.split("\n", 1)[1] == want.bestModel.toDebugString.split("\n", 1)[1]
+    # two numbers of trees, three folds, and the best point: seven instead of thirteen
+    assert len(fits) == 7
