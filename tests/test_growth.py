@@ -5,10 +5,10 @@ import glob
 from pyspark.sql import functions as F
 
 from arrivo.layout import TRIPS
-from arrivo.operators.clean import dedup_rows
+from arrivo.operators.clean import dedup_in_order, dedup_rows
 from arrivo.operators.encode import DictSpec, fit_dictionaries
 from arrivo.operators.joins import BITMAP_BITS, filter_maps
-from arrivo.plans import queries
+from arrivo.plans import flow, queries
 from arrivo.session import checkpoint_root, use_local_checkpoints
 from arrivo.sources.tables import trips
 
@@ -86,3 +86,56 @@ def test_applied_rows_are_read_from_a_written_table(spark):
     out = queries.q_apply_fitted(spark, SF_SMALL)
     assert out.inputFiles() and all("/arrivo-scratch/" in f for f in out.inputFiles())
     assert TRIPS.label in out.columns
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_cleaned_trips_hold_no_whole_rows_in_hash_tables(spark):
+    t = trips(spark, SF_SMALL)
+    held = _large(spark, lambda: _plan(flow.clean(t, TRIPS)[0]))
+    assert "HashAggregate" not in held and "Window" in held
+    moved = _large(spark, lambda: len(exchanges(flow.clean(t, TRIPS)[0])))
+    assert moved == _large(spark, lambda: len(exchanges(t)))
+
+
+def test_dedup_in_order_is_distinct(spark):
+    rows = [(i % 40 if i % 9 else None, None if i % 4 else "a", i % 3) for i in range(600)] + [(7, "hot", 1)] * 900
+    df = spark.createDataFrame(rows, "k int, t string, n int").repartition(5)
+    assert sorted(map(str, dedup_in_order(df, "k").collect())) == sorted(map(str, df.distinct().collect()))
+    zeros = spark.createDataFrame([(1, 0.0), (1, -0.0), (1, None), (1, None)], "k int, d double")
+    assert dedup_in_order(zeros, "k").count() == zeros.distinct().count() == 2
+
+
+def test_two_large_dictionaries_are_joined_in_turn(spark):
+    rows = [(i, f"pay{i}", None if i % 3 == 0 else f"t{i % 90}", None if i % 4 == 0 else i % 70) for i in range(900)]
+    df = spark.createDataFrame(rows, "id int, payload string, t string, n int")
+    specs = [DictSpec("t", ("t",)), DictSpec("n", ("n",))]
+    want = fit_dictionaries(df.filter("id < 60"), specs).transform(df)
+    fitted = fit_dictionaries(df.filter("id < 60"), specs, broadcast_limit=0, partitions=4)
+    got = fitted.transform(df)
+    assert not fitted.written and got.schema == want.schema     # no frame written with row numbers
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    # the frame moves once for each, without a second copy of its key
+    moved = [m for m in _large(spark, lambda: exchanges(fitted.transform(df)), "-1") if "payload" in m]
+    assert len(moved) == 2 and not any("__key" in m for m in moved)
+
+
+def test_rows_without_a_key_are_spread(spark):
+    df = spark.createDataFrame([(i, None if i % 10 else i) for i in range(1000)], "id int, n int").repartition(3)
+    fitted = fit_dictionaries(df, [DictSpec("n", ("n",))], broadcast_limit=0, partitions=4)
+    held = _large(spark, lambda: fitted.transform(df).filter("n = -1").groupBy(F.spark_partition_id()).count().collect(), "-1")
+    assert len(held) == 4 and sum(r["count"] for r in held) == 900 and max(r["count"] for r in held) < 350
+
+
+def test_whole_numbers_meet_only_the_texts_they_are_cast_to(spark):
+    df = spark.createDataFrame([("01", 1), ("x", 2), ("2", None), ("-0", 0), ("99999999999999999999", -5), (None, 7)],
+                               "t string, n long")
+    spec = [DictSpec("d", ("t", "n"))]
+    new = spark.createDataFrame([(i,) for i in (0, 1, 2, -5, 7, 99, None)], "n long")
+    fit = df.withColumn("n", F.when(F.col("n") < 0, F.col("n")))
+    want = fit_dictionaries(fit, spec).transform(new)
+    got = fit_dictionaries(fit, spec, broadcast_limit=0, partitions=4).transform(new)
+    assert sorted(r[0] for r in got.collect()) == sorted(r[0] for r in want.collect())
+    assert got.filter("n >= 0").count() == 2
