@@ -2,10 +2,14 @@
 
 import numpy as np
 import pytest
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.linalg import DenseVector
-from pyspark.ml.regression import RandomForestRegressor
+from pyspark.ml.regression import RandomForestRegressionModel, RandomForestRegressor
+from pyspark.sql import functions as F
 
+from arrivo.plans import model
 from arrivo.plans.model import Grid, build_search, fit_forests
+from arrivo.session import storage_bytes
 
 
 def test_search_equals_a_fit_for_each_depth(spark, monkeypatch):
@@ -26,3 +30,78 @@ def test_search_equals_a_fit_for_each_depth(spark, monkeypatch):
     assert got.bestModel.toDebugString.split("\n", 1)[1] == want.bestModel.toDebugString.split("\n", 1)[1]
     # two numbers of trees, three folds, and the best point: seven instead of thirteen
     assert len(fits) == 7
+
+
+def test_held_out_rows_are_scored_without_a_call_for_each_row(spark, monkeypatch):
+    """MLlib's own pass calls a function for each row and walks the objects of
+    every tree; scores are those of its shallower fits."""
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(600, 5))
+    y = x[:, 0] * x[:, 1] + x[:, 2]
+    rows = [(float(b), i % 3, DenseVector(a)) for i, (a, b) in enumerate(zip(x, y))]
+    train = spark.createDataFrame(rows, ["y", "fold", "scaledFeatures"]).repartition(2).cache()
+    cv = build_search("rf", "y", grid=Grid(rf_depths=(0, 1, 6), rf_trees=(4,)))
+    want = cv.fit(train).avgMetrics
+
+    def row_by_row(*_):
+        raise AssertionError("rows are scored one by one")
+
+    monkeypatch.setattr(RandomForestRegressionModel, "transform", row_by_row)
+    got = fit_forests(cv, train, "y")
+    train.unpersist()
+    assert got.avgMetrics == pytest.approx(want, rel=1e-9)
+
+
+def test_nominal_features_are_walked_by_category(spark):
+    rng = np.random.default_rng(9)
+    x = np.column_stack([rng.integers(0, 6, 500), rng.normal(size=500)]).astype(float)
+    y = np.isin(x[:, 0], (1, 4)) * 3 + x[:, 1]
+    rows = [(float(b), i % 3, *map(float, a)) for i, (a, b) in enumerate(zip(x, y))]
+    plain = spark.createDataFrame(rows, "y double, fold int, kind double, size double").coalesce(1)
+    attrs = {"ml_attr": {"type": "nominal", "name": "kind", "vals": list("abcdef")}}
+    marked = plain.withColumn("kind", F.col("kind").alias("kind", metadata=attrs))
+    train = VectorAssembler(inputCols=["kind", "size"], outputCol="scaledFeatures").transform(marked).cache()
+    cv = build_search("rf", "y", grid=Grid(rf_depths=(1, 4), rf_trees=(3,)))
+    got, want = fit_forests(cv, train, "y"), cv.fit(train)
+    train.unpersist()
+    assert " in {" in got.bestModel.toDebugString
+    assert got.avgMetrics == pytest.approx(want.avgMetrics, rel=1e-9)
+
+
+@pytest.mark.parametrize("storage, together", [(10**9, 2), (0, 1)])
+def test_fits_run_together_only_while_storage_holds_their_rows(spark, monkeypatch, storage, together):
+    """Rows beyond storage are read from disk at every level, by each fit."""
+    rng = np.random.default_rng(6)
+    rows = [(float(a.sum()), i % 3, DenseVector(a)) for i, a in enumerate(rng.normal(size=(300, 3)))]
+    train = spark.createDataFrame(rows, ["y", "fold", "scaledFeatures"]).coalesce(1).cache()
+    cv = build_search("rf", "y", grid=Grid(rf_depths=(2,), rf_trees=(2, 3)))
+    running, most = [], []
+    plain = RandomForestRegressor._fit
+
+    def fit(self, df):
+        running.append(1)
+        most.append(len(running))
+        try:
+            return plain(self, df)
+        finally:
+            running.pop()
+
+    monkeypatch.setattr(RandomForestRegressor, "_fit", fit)
+    monkeypatch.setattr(model, "storage_bytes", lambda _: storage)
+    got = fit_forests(cv, train, "y")
+    train.unpersist()
+    assert len(got.avgMetrics) == 2 and max(most) == together
+
+
+def test_fits_at_once():
+    assert storage_share(5) == 2 and storage_share(2) == 2 and storage_share(1.9) == 1 and storage_share(0.1) == 1
+
+
+def storage_share(rows_of_fits):
+    return model.fits_at_once(int(rows_of_fits * 1000), 1000, 2)
+
+
+def test_storage_of_the_session(spark):
+    """Local mode: the driver's unified memory, below its heap."""
+    heap = spark.sparkContext._jvm.Runtime.getRuntime().maxMemory()
+    assert 0.3 * heap < storage_bytes(spark) < heap
