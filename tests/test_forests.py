@@ -1,5 +1,7 @@
 """Shallower forests are read off the deepest one."""
 
+from types import SimpleNamespace
+
 import numpy as np
 import pytest
 from pyspark.ml.feature import VectorAssembler
@@ -105,3 +107,28 @@ def test_storage_of_the_session(spark):
     """Local mode: the driver's unified memory, below its heap."""
     heap = spark.sparkContext._jvm.Runtime.getRuntime().maxMemory()
     assert 0.3 * heap < storage_bytes(spark) < heap
+
+
+def test_storage_on_a_cluster_leaves_out_the_driver():
+    def call(value):
+        return lambda *_: value
+
+    class Each:
+        def __init__(self, found):
+            self.left = list(found.items())
+
+        def hasNext(self):
+            return bool(self.left)
+
+        def next(self):
+            key, most = self.left.pop()
+            return SimpleNamespace(_1=call(key), _2=call(SimpleNamespace(_1=call(most))))
+
+    def session(found):
+        ids = SimpleNamespace(blockManagerId=call(SimpleNamespace(hostPort=call("a:1"))))
+        sc = SimpleNamespace(env=call(SimpleNamespace(blockManager=call(ids))),
+                             getExecutorMemoryStatus=call(SimpleNamespace(iterator=lambda: Each(found))))
+        return SimpleNamespace(sparkContext=SimpleNamespace(_jsc=SimpleNamespace(sc=call(sc))))
+
+    assert storage_bytes(session({"a:1": 7, "a:2": 30, "b:1": 50})) == 80
+    assert storage_bytes(session({"a:1": 7})) == 7
